@@ -129,8 +129,8 @@ def deck_usage_trend(daily: DataFrame) -> DataFrame:
     day_list = daily.select(F.array_sort(F.collect_set("battle_date")).alias("d")).scalar()
     per = daily.groupBy("cards_list").agg(
         F.map_from_entries(F.collect_list(F.struct("battle_date", "usage"))).alias("__m"))
-    conc = F.transform(day_list, lambda d: F.coalesce(F.col("__m")[d], F.lit(0).cast("bigint")))
-    out = per.select("cards_list", conc.alias("concatenated")) \
+    conc = F.transform("__days", lambda d: F.coalesce(F.col("__m")[d], F.lit(0).cast("bigint")))
+    out = per.withColumn("__days", day_list).select("cards_list", conc.alias("concatenated")) \
              .withColumn("total_usage",
                          F.aggregate("concatenated", F.lit(0).cast("bigint"), lambda a, x: a + x))
     return out.orderBy(F.desc("total_usage"), F.asc(F.to_json("cards_list")))

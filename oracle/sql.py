@@ -280,11 +280,12 @@ FROM (
 GROUP BY arena_name""", [deck_dim_cte(dedupe=False)])
 SQL["deck_usage_daily"] = _daily_query(True)
 SQL["deck_usage_inclusive"] = _daily_query(False)
-SQL["deck_usage_pivot"] = with_ctes(BASE + ["fct", "date_dim"], """,
-pv AS (PIVOT (SELECT strftime(battle_date, '%Y-%m-%d') AS d, cards_list, usage FROM daily)
-       ON d USING SUM(usage) GROUP BY cards_list)
+_pivot_src = with_ctes(BASE + ["fct", "date_dim"], """
+SELECT strftime(battle_date, '%Y-%m-%d') AS d, cards_list, usage FROM daily""",
+                       [deck_dim_cte(), daily(True)])
+SQL["deck_usage_pivot"] = f"""
 SELECT to_json(cards_list) AS cards_list, CAST(COALESCE(COLUMNS(* EXCLUDE (cards_list)), 0) AS BIGINT)
-FROM pv""", [deck_dim_cte(), daily(True)])
+FROM (PIVOT ({_pivot_src}) ON d USING SUM(usage) GROUP BY cards_list)"""
 SQL["deck_usage_trend"] = with_ctes(BASE + ["fct", "date_dim"], """
 , days AS (SELECT DISTINCT battle_date FROM daily),
 grid AS (
