@@ -199,3 +199,263 @@ QUERIES = {
     "clan_tags": q_clan_tags,
     "season_urls": q_season_urls,
 }
+
+
+# ---- ingest, keyed writes, quality -------------------------------------------
+from ..functions.text import encode_tag, format_url  # noqa: E402
+from ..operators.quality import check_violations, key_violations, orphan_facts  # noqa: E402
+from ..operators.topk import top_k_per_group  # noqa: E402
+from ..operators.writes import insert_ignore, upsert  # noqa: E402
+from ..functions.arrays import flatten_struct  # noqa: E402
+from ..sources import files as FS  # noqa: E402
+from ..sources import json as JS  # noqa: E402
+from ..sources.catalog import export_snapshot, import_snapshot, table_counts  # noqa: E402
+from ..session import shared_dir  # noqa: E402
+from .. import schemas as S  # noqa: E402
+from . import parse as P  # noqa: E402
+from . import refresh as RF  # noqa: E402
+
+# fixed values: API URL templates (tag already percent-encoded)
+BATTLELOG_URL = "https://api.clashroyale.com/v1/players/%s/battlelog"
+PLAYER_URL = "https://api.clashroyale.com/v1/players/%s"
+SPLIT_OLD = "20000101"     # landing batches: battles before / from these days
+SPLIT_NEW = "19990101"
+STATS_BEFORE = _dt.date(2000, 1, 1)
+ACTIVE_FROM = _dt.date(2001, 1, 1)
+
+
+def top_players(orders, customer, nation, k: int = 10):
+    """``staging.stg_top_players_by_season``: top k customers per month."""
+    per = orders.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("season_id"),
+                         F.col("o_custkey")).agg(
+        F.sum(F.floor(F.col("o_totalprice") * 100)).alias("score"),
+        F.count(F.lit(1)).alias("n"))
+    ranked = top_k_per_group(per, ["season_id"], [F.desc("score"), F.asc("o_custkey")], k, "rank")
+    j = ranked.join(customer, F.col("o_custkey") == F.col("c_custkey")) \
+              .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    has = F.col("c_nationkey") != 0
+    return j.select(
+        F.col("c_name").alias("tag"),
+        F.concat(F.lit("Player "), F.col("c_custkey").cast("string")).alias("name"),
+        (F.col("c_nationkey") + 30).cast("bigint").alias("expLevel"),
+        (F.col("n") * 10 + fx.TROPHY_BASE).cast("bigint").alias("tophies"),
+        F.col("rank").cast("bigint").alias("rank"),
+        F.struct(F.when(has, F.concat(F.lit("#C"), F.col("c_nationkey").cast("string"))).alias("tag"),
+                 F.when(has, F.col("n_name")).alias("name"),
+                 F.when(has, F.lit(fx.CLAN_BADGE_BASE) + F.col("c_nationkey")).cast("bigint")
+                  .alias("badgeId")).alias("clan"),
+        F.col("season_id"))
+
+
+def q_top_players_per_season(spark, sf_dir):
+    st = fx.load_star(spark, sf_dir)
+    return stable(top_players(st["orders"], st["customer"], st["nation"]))
+
+
+def q_insert_ignore_log(spark, sf_dir):
+    log = Game(spark, sf_dir).log
+    target = log.where(F.col("battleTime") < SPLIT_OLD)
+    batch = log.where(F.col("battleTime") >= SPLIT_NEW)
+    new = insert_ignore(target, batch, S.PLAYER_BATTLE_LOG_KEY, order=RF.log_order())
+    return stable(target.unionByName(new))
+
+
+def _stats_pair(spark, sf_dir):
+    st = fx.load_star(spark, sf_dir)
+    o, c = st["orders"], st["customer"]
+    target = fx.player_stats(c, o.where(F.col("o_orderdate") < F.lit(STATS_BEFORE)))
+    active = o.where(F.col("o_orderdate") >= F.lit(ACTIVE_FROM)).select(F.col("o_custkey").alias("k"))
+    batch = fx.player_stats(c.join(active, F.col("c_custkey") == F.col("k"), "left_semi"), o)
+    return target, batch
+
+
+def q_upsert_stats(spark, sf_dir):
+    target, batch = _stats_pair(spark, sf_dir)
+    return stable(upsert(target, batch, S.STATS_KEY))
+
+
+def q_upsert_partial_columns(spark, sf_dir):
+    target, batch = _stats_pair(spark, sf_dir)
+    part = batch.select("tag", "wins", "losses", "battleCount",
+                        F.lit(None).cast("int").alias("threeCrownWins"))
+    return stable(upsert(target, part, S.STATS_KEY))
+
+
+def q_pk_violations(spark, sf_dir):
+    li = fx.read_table(spark, sf_dir, "lineitem")
+    return stable(key_violations(li, ["l_orderkey", "l_linenumber"]))
+
+
+def q_check_violations(spark, sf_dir):
+    pd_ = M.player_dim(Game(spark, sf_dir).player_stats())
+    return stable(check_violations(
+        pd_, {"current_trophies_not_larger_than_best_trophies":
+              F.col("trophy_count") <= F.col("best_trophy_count")},
+        ["player_tag", "trophy_count", "best_trophy_count"]))
+
+
+def q_orphan_facts(spark, sf_dir):
+    g = Game(spark, sf_dir)
+    dims = {"player_dim": (M.player_dim(g.player_stats()), "player_id", "player_id"),
+            "clan_dim": (M.clan_dim(g.clan_stats()), "clan_id", "clan_id"),
+            "deck_dim": (g.deck(), "deck_id", "deck_id"),
+            "date_dim": (g.dates(), "date_id", "date_id")}
+    return stable(orphan_facts(g.fct(), dims, ["battle_id", "player_id"]))
+
+
+def q_flatten_struct(spark, sf_dir):
+    ev = fx.read_table(spark, sf_dir, "events")
+    nested = ev.select("event_id", F.from_json("props", "k INT").alias("props"),
+                       F.struct("user_id", F.struct("event_type", "value").alias("what")).alias("who"))
+    return stable(flatten_struct(nested))
+
+
+def landed_responses(events):
+    """Events as landed API responses: (key, status, body)."""
+    et = F.col("event_type")
+    status = F.when(et == "error", F.lit(500)).when(et == "signup", F.lit(404)).otherwise(F.lit(200))
+    body = (F.when((et == "click") & (F.col("value") < 50), F.lit("[]"))
+             .when((et == "purchase") & (F.col("value") < 20), F.lit(""))
+             .otherwise(F.col("props")))
+    return events.select(F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("key"),
+                         status.alias("status"), body.alias("body"))
+
+
+def q_response_routing(spark, sf_dir):
+    ev = fx.read_table(spark, sf_dir, "events")
+    return stable(JS.outcome_counts(JS.route_responses(landed_responses(ev))))
+
+
+def q_request_urls(spark, sf_dir):
+    c = fx.read_table(spark, sf_dir, "customer")
+    enc = encode_tag("c_name")
+    return stable(c.select(F.col("c_name").alias("tag"), enc.alias("encoded_tag"),
+                           format_url(BATTLELOG_URL, enc).alias("battlelog_url"),
+                           format_url(PLAYER_URL, enc).alias("player_url")))
+
+
+def dump_file_names(orders):
+    return orders.select(F.concat(F.lit("battles_"), F.date_format("o_orderdate", "MMddyyyy"),
+                                  F.lit("_WL_tagged.csv")).alias("file_name")).distinct()
+
+
+def q_filename_date_range(spark, sf_dir):
+    o = fx.read_table(spark, sf_dir, "orders")
+    return stable(FS.date_range_label(dump_file_names(o)))
+
+
+def ladder_frame(log):
+    """Ladder dump rows with dotted column names (``winner.tag``, ``loser.tag``)."""
+    team_won = F.col("team_crowns") >= F.col("opponent_crowns")
+    return log.select(
+        F.when(team_won, F.col("team_tag")).otherwise(F.col("opponent_tag")).alias("winner.tag"),
+        F.when(team_won, F.col("opponent_tag")).otherwise(F.col("team_tag")).alias("loser.tag"),
+        F.col("battleTime"))
+
+
+def ladder_tags(ladder):
+    """Distinct player tags of winners and losers (D9 ladder variant)."""
+    return ladder.select(F.col("`winner.tag`").alias("player_tag")) \
+                 .union(ladder.select(F.col("`loser.tag`").alias("player_tag"))).distinct()
+
+
+def q_dotted_columns(spark, sf_dir):
+    return stable(ladder_tags(ladder_frame(Game(spark, sf_dir).log)))
+
+
+def q_parse_battle_log(spark, sf_dir):
+    docs = P.battle_documents(Game(spark, sf_dir).log)
+    return stable(P.parse_battle_json(docs))
+
+
+def q_parse_players(spark, sf_dir):
+    ps = Game(spark, sf_dir).player_stats()
+    doc = F.to_json(F.struct(*[F.col(c) for c in ps.columns],
+                             F.lit("member").alias("role"),
+                             F.struct(F.lit(54000001).alias("id"), F.lit("Arena 1").alias("name")).alias("arena")))
+    parsed = ps.select(doc.alias("body")).select(F.from_json("body", P.PLAYER).alias("p")).select("p.*")
+    return stable(P.parse_player(parsed))
+
+
+def q_parse_clans(spark, sf_dir):
+    cs = Game(spark, sf_dir).clan_stats()
+    doc = F.to_json(F.struct(
+        *[F.col(c) for c in ["tag", "name", "type", "description", "clanScore", "clanWarTrophies",
+                             "requiredTrophies", "members"]],
+        F.lit(16000001).alias("badgeId"),
+        F.struct(F.col("location_id").alias("id"), F.col("location_name").alias("name"),
+                 F.col("is_country").alias("isCountry")).alias("location")))
+    parsed = cs.select(doc.alias("body")).select(F.from_json("body", P.CLAN).alias("c")).select("c.*")
+    return stable(P.parse_clan(parsed))
+
+
+def q_csv_to_parquet(spark, sf_dir):
+    log = Game(spark, sf_dir).log
+    base = shared_dir(spark, "ladder")
+    ladder = ladder_frame(log).withColumn(
+        "dump", F.concat(F.lit("x"), F.substring("battleTime", 5, 4), F.substring("battleTime", 1, 4),
+                         F.lit("y")))
+    ladder.write.mode("overwrite").partitionBy("dump").option("header", True).csv(base + "/csv")
+    out = FS.csv_to_parquet(spark, base + "/csv", base + "/parquet",
+                            schema="`winner.tag` STRING, `loser.tag` STRING, battleTime STRING",
+                            suffix=".csv")
+    return stable(out.select("`winner.tag`", "`loser.tag`", "battleTime"))
+
+
+def q_stream_ingest(spark, sf_dir):
+    log = Game(spark, sf_dir).log
+    base = shared_dir(spark, "stream")
+    log.write.mode("overwrite").json(base + "/landing")
+    from ..streaming.ingest import stream_insert_ignore
+    stream_insert_ignore(spark, base + "/landing", base + "/table", base + "/checkpoint")
+    t = spark.read.schema(S.PLAYER_BATTLE_LOG).parquet(base + "/table")
+    return stable(t.select(*S.PLAYER_BATTLE_LOG_KEY))
+
+
+def q_refresh_daily(spark, sf_dir):
+    g = Game(spark, sf_dir)
+    wh = shared_dir(spark, "warehouse")
+    RF.init_warehouse(spark, wh, reset=True)
+    RF._rebuild(spark, wh, RF.CARDS, g.cards)
+    out = RF.refresh_daily(spark, wh, g.log, g.player_stats(), FIXTURE_DECK_CATEGORIES)
+    return stable(out["fct_battle"])
+
+
+def q_snapshot_roundtrip(spark, sf_dir):
+    g = Game(spark, sf_dir)
+    st = g.star
+    frames = {
+        "player_dim": M.player_dim(g.player_stats()), "deck_dim": g.deck(),
+        "date_dim": g.dates(), "fct_battle": g.fct(), "clan_dim": M.clan_dim(g.clan_stats()),
+        "card_dim": g.card_dim(), "raw.player_battle_log": g.log,
+        "staging.stg_top_players_by_season": top_players(st["orders"], st["customer"], st["nation"]),
+        "staging.stg_seasons": M.season_urls(fx.season_ids(st["orders"])),
+        "staging.stg_cards": g.cards, "staging.stg_player_stats": g.player_stats(),
+        "staging.stg_clan_stats": g.clan_stats()}
+    base = shared_dir(spark, "snapshot")
+    export_snapshot(frames, base + "/files")
+    imported = import_snapshot(spark, base + "/files", base + "/tables")
+    return table_counts(imported)
+
+
+QUERIES.update({
+    "top_players_per_season": q_top_players_per_season,
+    "insert_ignore_log": q_insert_ignore_log,
+    "upsert_stats": q_upsert_stats,
+    "upsert_partial_columns": q_upsert_partial_columns,
+    "pk_violations": q_pk_violations,
+    "check_violations": q_check_violations,
+    "orphan_facts": q_orphan_facts,
+    "flatten_struct": q_flatten_struct,
+    "response_routing": q_response_routing,
+    "request_urls": q_request_urls,
+    "filename_date_range": q_filename_date_range,
+    "dotted_columns": q_dotted_columns,
+    "parse_battle_log": q_parse_battle_log,
+    "parse_players": q_parse_players,
+    "parse_clans": q_parse_clans,
+    "csv_to_parquet": q_csv_to_parquet,
+    "stream_ingest": q_stream_ingest,
+    "refresh_daily": q_refresh_daily,
+    "snapshot_roundtrip": q_snapshot_roundtrip,
+})
