@@ -392,10 +392,10 @@ def q_parse_clans(spark, sf_dir):
 def q_csv_to_parquet(spark, sf_dir):
     log = Game(spark, sf_dir).log
     base = shared_dir(spark, "ladder")
-    ladder = ladder_frame(log).withColumn(
-        "dump", F.concat(F.lit("x"), F.substring("battleTime", 5, 4), F.substring("battleTime", 1, 4),
-                         F.lit("y")))
-    ladder.write.mode("overwrite").partitionBy("dump").option("header", True).csv(base + "/csv")
+    # one dump folder per month, each written by one task
+    ladder = ladder_frame(log).withColumn("dump", F.substring("battleTime", 1, 6))
+    ladder.repartition("dump").write.mode("overwrite").partitionBy("dump") \
+          .option("header", True).csv(base + "/csv")
     out = FS.csv_to_parquet(spark, base + "/csv", base + "/parquet",
                             schema="`winner.tag` STRING, `loser.tag` STRING, battleTime STRING",
                             suffix=".csv")
