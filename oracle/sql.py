@@ -534,3 +534,20 @@ _dedup_log = f"""log AS (SELECT * EXCLUDE (rn) FROM (
 SQL["refresh_daily"] = with_ctes(["cards", "lines", "per_order"], f"\nSELECT {_fct_cols} FROM fct",
                                  [CTE["log"].replace("log AS (", "log0 AS (", 1), _dedup_log,
                                   CTE["fct"]])
+
+_TOP = SQL["top_players_per_season"].strip()
+SQL["snapshot_roundtrip"] = with_ctes(
+    BASE + ["fct", "date_dim", "card_dim", "player_stats", "clan_stats"], """
+SELECT 'player_dim' AS table_name, count(*) AS n_rows FROM player_stats
+UNION ALL SELECT 'deck_dim', count(*) FROM deck_dim
+UNION ALL SELECT 'date_dim', count(*) FROM date_dim
+UNION ALL SELECT 'fct_battle', count(*) FROM fct
+UNION ALL SELECT 'clan_dim', count(*) FROM clan_stats
+UNION ALL SELECT 'card_dim', count(*) FROM card_dim
+UNION ALL SELECT 'raw.player_battle_log', count(*) FROM log
+UNION ALL SELECT 'staging.stg_top_players_by_season', count(*) FROM top_players
+UNION ALL SELECT 'staging.stg_seasons', count(DISTINCT strftime(o_orderdate, '%Y-%m')) FROM orders
+UNION ALL SELECT 'staging.stg_cards', count(*) FROM cards
+UNION ALL SELECT 'staging.stg_player_stats', count(*) FROM player_stats
+UNION ALL SELECT 'staging.stg_clan_stats', count(*) FROM clan_stats""",
+    [deck_dim_cte(), "top_players AS (" + _TOP.replace("\n", " ") + ")"])
