@@ -1,0 +1,22 @@
+"""Spread inputs that arrive in too few splits.
+
+A Parquet file written as one row group is one split, so every map-side
+operator over it runs as one task.  ``ensure_parallelism`` adds a hash
+repartition only when the planned split count is below the cluster's default
+parallelism; inputs of real size (thousands of splits) pass through
+untouched, so it never adds a shuffle at scale.  Hashing on the keys of the
+next aggregation or window lets those reuse the partitioning, and one
+repartitioned frame feeding several branches is scanned and shuffled once
+(exchange reuse).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def ensure_parallelism(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)

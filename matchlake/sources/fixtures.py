@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.parallel import ensure_parallelism
 from ..operators.topk import top_k_per_group
 
 STAR_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
@@ -98,6 +99,8 @@ def battle_log(t: dict[str, DataFrame], deck_size: int = 8) -> DataFrame:
              .join(t["part"].select("p_partkey", "p_name"),
                    F.col("l_partkey") == F.col("p_partkey"))
              .join(cards, F.col("p_name") == F.col("name")))
+    # both branches below group by the order: one shared (reused) partitioning
+    lines = ensure_parallelism(lines, "l_orderkey")
 
     # per-order counters (partial aggregation before the shuffle)
     per_order = lines.groupBy("l_orderkey").agg(
