@@ -18,6 +18,8 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 # fixed values: arena display order on the dashboard; unlisted arenas last
 ARENA_ORDER = [f"Arena {i}" for i in range(1, 24)] + ["Legendary Arena", "Clan League"]
 
@@ -111,6 +113,10 @@ def deck_usage_pivot(daily: DataFrame, dates: list | None = None) -> DataFrame:
     not given) moves at most ``days`` values to the driver.
     """
     if dates is None:
+        # materialize once in the shared checkpoint folder: the day list and
+        # the pivot then read it instead of recomputing the whole plan
+        ensure_checkpoint_dir(daily.sparkSession)
+        daily = daily.checkpoint(eager=True)
         dates = [r[0] for r in daily.select("battle_date").distinct().orderBy("battle_date").collect()]
     vals = [str(d) for d in dates]
     p = daily.withColumn("__d", F.col("battle_date").cast("string")) \
@@ -126,6 +132,8 @@ def deck_usage_trend(daily: DataFrame) -> DataFrame:
     with the day count: the window's day list is a scalar subquery (bounded by
     the window length), each deck's (day, usage) pairs are bounded by it too.
     """
+    ensure_checkpoint_dir(daily.sparkSession)
+    daily = daily.checkpoint(eager=True)   # read by the day list and by the per-deck maps
     day_list = daily.select(F.array_sort(F.collect_set("battle_date")).alias("d")).scalar()
     per = daily.groupBy("cards_list").agg(
         F.map_from_entries(F.collect_list(F.struct("battle_date", "usage"))).alias("__m"))

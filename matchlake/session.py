@@ -25,6 +25,9 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
+    # collect_list over bounded (<= 16 element) per-order lists: keep the
+    # object hash map up to 16k groups per task before sorting (default 128)
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
 }
 
 

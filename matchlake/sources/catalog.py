@@ -108,3 +108,23 @@ def table_counts(frames: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def sql_over(spark: SparkSession, query: str, **frames: DataFrame) -> DataFrame:
+    """Run SQL over local frames referenced by name, e.g. ``{df}``."""
+    return spark.sql(query, **frames)
+
+
+def ladder_table(spark: SparkSession, parquet_dir: str, dest_dir: str,
+                 schema_name: str = "raw") -> str:
+    """CREATE OR REPLACE TABLE raw.raw_battles_<first>_<last> from a dump
+    directory (D11); the dates come from the file names.  Only the one-row
+    label reaches the driver.  Returns the table name."""
+    from .files import date_range_label, read_parquet_dir, source_file_names
+    df = read_parquet_dir(spark, parquet_dir)
+    label = date_range_label(source_file_names(df)).first()["table_name"]
+    name = f"{schema_name}.{label}"
+    ensure_schemas(spark, schema_name)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    write_table(df, name, f"{dest_dir.rstrip('/')}/{label}")
+    return name

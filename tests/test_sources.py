@@ -73,3 +73,16 @@ def test_stream_ingest_is_idempotent(spark, tmpdir_path):
     out = spark.read.parquet(tgt)
     assert out.count() == 2
     assert out.select("team_tag", "opponent_tag", "battleTime").distinct().count() == 2
+
+
+def test_ladder_table_named_by_date_range(spark, tmpdir_path):
+    from matchlake.sources.catalog import ladder_table, sql_over
+    src = f"{tmpdir_path}/dumps"
+    os.makedirs(src)
+    for d, tag in [("12272020", "#A"), ("01042021", "#B")]:
+        spark.createDataFrame([(tag, "#Z")], "`winner.tag` string, `loser.tag` string") \
+             .toPandas().to_parquet(f"{src}/x{d}y_WL_tagged.parquet")
+    name = ladder_table(spark, src, f"{tmpdir_path}/wh")
+    assert name == "raw.raw_battles_12272020_01042021"
+    df = spark.table(name)
+    assert sql_over(spark, "SELECT count(*) AS n FROM {t}", t=df).first().n == 2
