@@ -34,17 +34,19 @@ def orphan_facts(fact: DataFrame, dims: dict[str, tuple[DataFrame, str, str]],
 
     ``dims`` maps a label to (dimension frame, fact column, dimension column).
     NULL fact keys are not reported (an inner join would also drop them, but
-    they are not a broken reference).  Each check is an anti join against the
-    distinct dimension keys.
+    they are not a broken reference).  One pass over the facts: each
+    dimension contributes its distinct keys (one row per key, so the left
+    join never multiplies facts; small key sets are broadcast by AQE), and
+    the labels of the missing ones are exploded at the end.
     """
-    parts = []
-    for label, (dim, fcol, dcol) in dims.items():
-        keys = dim.select(F.col(dcol).alias("__k")).distinct()
-        miss = (fact.where(F.col(fcol).isNotNull())
-                    .join(keys, F.col(fcol) == F.col("__k"), "left_anti")
-                    .select(*carry, F.lit(label).alias("dimension")))
-        parts.append(miss)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    need = list(dict.fromkeys(carry + [fcol for _, fcol, _ in dims.values()]))
+    out = fact.select(*need)
+    flags = []
+    for i, (label, (dim, fcol, dcol)) in enumerate(dims.items()):
+        k, hit = f"__k{i}", f"__hit{i}"
+        keys = dim.select(F.col(dcol).alias(k)).where(F.col(k).isNotNull()).distinct() \
+                  .withColumn(hit, F.lit(True))
+        out = out.join(keys, F.col(fcol) == F.col(k), "left")
+        flags.append(F.when(F.col(fcol).isNotNull() & F.col(hit).isNull(), F.lit(label)))
+    missing = F.filter(F.array(*flags), lambda x: x.isNotNull())
+    return out.select(*carry, F.explode(missing).alias("dimension"))
