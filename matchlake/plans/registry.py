@@ -53,8 +53,20 @@ class Game:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self.star = fx.load_star(spark, sf_dir)
-        self.log = fx.battle_log(self.star)
-        self.cards = fx.stg_cards(self.star["part"])
+        self._log = None
+        self._cards = None
+
+    @property
+    def log(self):
+        if self._log is None:
+            self._log = fx.battle_log(self.star)
+        return self._log
+
+    @property
+    def cards(self):
+        if self._cards is None:
+            self._cards = fx.stg_cards(self.star["part"])
+        return self._cards
 
     def fct(self):
         return M.fct_battle(self.log)
