@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DateType, DoubleType, MapType, StructType
 
+from ..session import ensure_checkpoint_dir
 from ..sources import fixtures as fx
 from . import models as M
 from . import reports as R
@@ -48,10 +49,16 @@ def stable(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 class Game:
-    """Lazily derived game tables and models for one scale-factor dir."""
+    """Lazily derived game tables and models for one scale-factor dir.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    ``landed=True`` materializes the derived battle log once (an eager
+    checkpoint into the shared checkpoint folder), the way production models
+    read a stored landing table: queries whose plan reads the log in several
+    branches (facts, decks, dates) then derive it once instead of per branch.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, landed: bool = False):
+        self.spark, self.sf_dir, self.landed = spark, sf_dir, landed
         self.star = fx.load_star(spark, sf_dir)
         self._log = None
         self._cards = None
@@ -59,7 +66,11 @@ class Game:
     @property
     def log(self):
         if self._log is None:
-            self._log = fx.battle_log(self.star)
+            log = fx.battle_log(self.star)
+            if self.landed:
+                ensure_checkpoint_dir(self.spark)
+                log = log.checkpoint(eager=True)
+            self._log = log
         return self._log
 
     @property
@@ -91,27 +102,27 @@ class Game:
 # ---- reports -----------------------------------------------------------------
 
 def q_card_usage_by_rarity(spark, sf_dir):
-    g = Game(spark, sf_dir)
+    g = Game(spark, sf_dir, landed=True)
     return stable(R.card_usage(g.fct(), g.deck(), g.card_dim(), "rarity"))
 
 
 def q_card_usage_by_type(spark, sf_dir):
-    g = Game(spark, sf_dir)
+    g = Game(spark, sf_dir, landed=True)
     return stable(R.card_usage(g.fct(), g.deck(), g.card_dim(), "card_type"))
 
 
 def q_card_usage_fanout(spark, sf_dir):
-    g = Game(spark, sf_dir)
+    g = Game(spark, sf_dir, landed=True)
     return stable(R.card_usage(g.fct(), g.deck(dedupe=False), g.card_dim(), "rarity"))
 
 
 def q_card_usage_by_cost(spark, sf_dir):
-    g = Game(spark, sf_dir)
+    g = Game(spark, sf_dir, landed=True)
     return stable(R.card_usage_by_cost(g.fct(), g.deck(), g.card_dim()))
 
 
 def q_elixir_cost_by_arena(spark, sf_dir):
-    g = Game(spark, sf_dir)
+    g = Game(spark, sf_dir, landed=True)
     return stable(R.elixir_cost_by_arena(g.fct(), g.deck()))
 
 
@@ -121,19 +132,19 @@ def _daily(g, exclude="predefined"):
 
 
 def q_deck_usage_daily(spark, sf_dir):
-    return stable(_daily(Game(spark, sf_dir)))
+    return stable(_daily(Game(spark, sf_dir, landed=True)))
 
 
 def q_deck_usage_inclusive(spark, sf_dir):
-    return stable(_daily(Game(spark, sf_dir), exclude=None))
+    return stable(_daily(Game(spark, sf_dir, landed=True), exclude=None))
 
 
 def q_deck_usage_pivot(spark, sf_dir):
-    return stable(R.deck_usage_pivot(_daily(Game(spark, sf_dir))))
+    return stable(R.deck_usage_pivot(_daily(Game(spark, sf_dir, landed=True))))
 
 
 def q_deck_usage_trend(spark, sf_dir):
-    return stable(R.deck_usage_trend(_daily(Game(spark, sf_dir))))
+    return stable(R.deck_usage_trend(_daily(Game(spark, sf_dir, landed=True))))
 
 
 def q_card_info(spark, sf_dir):
@@ -265,7 +276,7 @@ def q_top_players_per_season(spark, sf_dir):
 
 
 def q_insert_ignore_log(spark, sf_dir):
-    log = Game(spark, sf_dir).log
+    log = Game(spark, sf_dir, landed=True).log
     target = log.where(F.col("battleTime") < SPLIT_OLD)
     batch = log.where(F.col("battleTime") >= SPLIT_NEW)
     new = insert_ignore(target, batch, S.PLAYER_BATTLE_LOG_KEY, order=RF.log_order())
@@ -307,7 +318,7 @@ def q_check_violations(spark, sf_dir):
 
 
 def q_orphan_facts(spark, sf_dir):
-    g = Game(spark, sf_dir)
+    g = Game(spark, sf_dir, landed=True)
     dims = {"player_dim": (M.player_dim(g.player_stats()), "player_id", "player_id"),
             "clan_dim": (M.clan_dim(g.clan_stats()), "clan_id", "clan_id"),
             "deck_dim": (g.deck(), "deck_id", "deck_id"),
@@ -434,7 +445,7 @@ def q_refresh_daily(spark, sf_dir):
 
 
 def q_snapshot_roundtrip(spark, sf_dir):
-    g = Game(spark, sf_dir)
+    g = Game(spark, sf_dir, landed=True)
     st = g.star
     frames = {
         "player_dim": M.player_dim(g.player_stats()), "deck_dim": g.deck(),
