@@ -16,7 +16,11 @@ from pyspark.sql import DataFrame
 
 
 def ensure_parallelism(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
+    """Repartition (to ``spark.sql.shuffle.partitions``, which AQE may
+    coalesce) only when ``df`` plans fewer than ``min_partitions`` splits
+    (default: the cluster's default parallelism)."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)
+    return df.repartition(*keys) if keys else df.repartition(
+        int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
