@@ -51,18 +51,30 @@ def _key_match(keys: list[str], left: str, right: str) -> Column:
 
 
 def insert_ignore(target: DataFrame, batch: DataFrame, keys: list[str],
-                  order: list[Column] | None = None, by_name: bool = True) -> DataFrame:
+                  order: list[Column] | None = None, by_name: bool = True,
+                  prune_on: str | None = None) -> DataFrame:
     """Rows of ``batch`` to append to ``target`` (an anti join on ``keys``).
 
     ``by_name`` aligns the batch to the target's columns, filling absent ones
     with NULL; positional mode renames the batch columns to the target's.
+
+    ``prune_on`` names a column of both frames that is a function of the key
+    (e.g. the battle day of the key's battle time, the landing table's
+    partition column).  Equal keys then have equal values there, so only the
+    target rows whose value occurs in the batch can match: the target is
+    semi-joined to the batch's distinct values first, which dynamic partition
+    pruning turns into a scan of just those partitions instead of the whole
+    table.  Exact for any batch.
     """
     if by_name:
         batch = align_by_name(batch, target)
     else:
         batch = batch.toDF(*target.columns)
     batch = dedupe_batch(batch, keys, order)
-    t = target.select(*[F.col(f"`{k}`") for k in keys]).alias("t")
+    t = target
+    if prune_on:
+        t = t.join(batch.select(prune_on).distinct(), prune_on, "left_semi")
+    t = t.select(*[F.col(f"`{k}`") for k in keys]).alias("t")
     return batch.alias("b").join(t, _key_match(keys, "b", "t"), "left_anti")
 
 

@@ -25,6 +25,17 @@ CLAN_STATS = "staging.stg_clan_stats"
 CARDS = "staging.stg_cards"
 
 # load order inside a battle batch (first wins): a total order on the content
+BATTLE_MONTH = "battle_month"
+
+
+def with_battle_month(log: DataFrame) -> DataFrame:
+    """Adds the landing table's partition column: the ``yyyyMM`` prefix of
+    the battle time.  It is part of the key, so equal keys share it and a
+    keyed load reads only the month(s) its batch touches; months keep the
+    partition count modest for multi-year logs."""
+    return log.withColumn(BATTLE_MONTH, F.substring(F.col("battleTime"), 1, 6))
+
+
 def log_order():
     return [F.to_json(F.col("team_cards")), F.to_json(F.col("opponent_cards"))]
 
@@ -48,7 +59,11 @@ def init_warehouse(spark: SparkSession, warehouse: str, reset: bool = False) ->
         for name in [LOG, PLAYER_STATS, CLAN_STATS, CARDS, "fct_battle", "player_dim",
                      "date_dim", "deck_dim", "card_dim", "clan_dim"]:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
-    for name, ddl in [(LOG, S.PLAYER_BATTLE_LOG), (PLAYER_STATS, S.STG_PLAYER_STATS),
+    # the battle log is partitioned by battle month, a function of its key,
+    # so each keyed load reads only the months its batch touches
+    create_table(spark, LOG, S.PLAYER_BATTLE_LOG + f", {BATTLE_MONTH} STRING", _loc(warehouse, LOG),
+                 partition_by=[BATTLE_MONTH])
+    for name, ddl in [(PLAYER_STATS, S.STG_PLAYER_STATS),
                       (CLAN_STATS, S.STG_CLAN_STATS), (CARDS, S.STG_CARDS)]:
         create_table(spark, name, ddl, _loc(warehouse, name))
 
@@ -58,11 +73,12 @@ def refresh_daily(spark: SparkSession, warehouse: str, battles: DataFrame,
                   reset: bool = False) -> dict[str, DataFrame]:
     """Battle log load, fct_battle, player stats and player_dim (+ log-derived dims)."""
     init_warehouse(spark, warehouse, reset)
-    insert_ignore_table(spark, LOG, battles, S.PLAYER_BATTLE_LOG_KEY, order=log_order())
+    insert_ignore_table(spark, LOG, with_battle_month(battles), S.PLAYER_BATTLE_LOG_KEY,
+                        order=log_order(), prune_on=BATTLE_MONTH)
     if player_stats is not None:
         upsert_table(spark, PLAYER_STATS, player_stats, S.STATS_KEY,
                      base=_loc(warehouse, PLAYER_STATS))
-    log = spark.table(LOG)
+    log = spark.table(LOG).drop(BATTLE_MONTH)
     out = {"fct_battle": _rebuild(spark, warehouse, "fct_battle", M.fct_battle(log)),
            "player_dim": _rebuild(spark, warehouse, "player_dim",
                                   M.player_dim(spark.table(PLAYER_STATS))),

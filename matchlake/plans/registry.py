@@ -276,11 +276,12 @@ def q_top_players_per_season(spark, sf_dir):
 
 
 def q_insert_ignore_log(spark, sf_dir):
-    log = Game(spark, sf_dir, landed=True).log
+    log = RF.with_battle_month(Game(spark, sf_dir, landed=True).log)
     target = log.where(F.col("battleTime") < SPLIT_OLD)
     batch = log.where(F.col("battleTime") >= SPLIT_NEW)
-    new = insert_ignore(target, batch, S.PLAYER_BATTLE_LOG_KEY, order=RF.log_order())
-    return stable(target.unionByName(new))
+    new = insert_ignore(target, batch, S.PLAYER_BATTLE_LOG_KEY, order=RF.log_order(),
+                        prune_on=RF.BATTLE_MONTH)
+    return stable(target.unionByName(new).drop(RF.BATTLE_MONTH))
 
 
 def _stats_pair(spark, sf_dir):

@@ -22,11 +22,12 @@ def ensure_schemas(spark: SparkSession, *names: str) -> None:
 
 
 def create_table(spark: SparkSession, name: str, schema_ddl: str, location: str,
-                 replace: bool = False) -> None:
+                 replace: bool = False, partition_by: list[str] | None = None) -> None:
     """CREATE [OR REPLACE] TABLE with explicit columns (K1/K2)."""
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema_ddl}) USING parquet "
+    part = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema_ddl}) USING parquet{part} "
               f"LOCATION '{location}'")
 
 
@@ -52,12 +53,20 @@ def swap_location(spark: SparkSession, name: str, new_location: str) -> None:
 
 
 def insert_ignore_table(spark: SparkSession, name: str, batch: DataFrame, keys: list[str],
-                        order=None, by_name: bool = True) -> int | None:
-    """INSERT OR IGNORE into a catalog table (K4/K5): anti join, then append."""
+                        order=None, by_name: bool = True, prune_on: str | None = None) -> None:
+    """INSERT OR IGNORE into a catalog table (K4/K5): anti join, then append.
+
+    With ``prune_on`` (the table's partition column, a function of the key)
+    only the partitions the batch touches are read for the anti join.
+    """
     target = spark.table(name)
-    new = insert_ignore(target, batch, keys, order, by_name)
+    new = insert_ignore(target, batch, keys, order, by_name, prune_on=prune_on)
+    if prune_on:
+        # cluster the append by (partition, key bucket): a few files per
+        # partition, and a batch of one day still spreads over many writers
+        buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
+        new = new.repartition(F.col(prune_on), F.pmod(F.xxhash64(*keys), F.lit(buckets)))
     new.write.insertInto(name)
-    return None
 
 
 def upsert_table(spark: SparkSession, name: str, batch: DataFrame, keys: list[str],
