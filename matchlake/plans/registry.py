@@ -483,3 +483,28 @@ QUERIES.update({
     "refresh_daily": q_refresh_daily,
     "snapshot_roundtrip": q_snapshot_roundtrip,
 })
+
+
+# ---- ordering helpers (O3, O6, A6) -------------------------------------------
+from pyspark.sql import Window  # noqa: E402
+
+
+def q_arena_order(spark, sf_dir):
+    """Arenas seen in battles with their dashboard position (O6): the fixed
+    category list first, anything unlisted after it."""
+    log = Game(spark, sf_dir).log
+    arenas = log.where(F.col("arena_name").isNotNull()).select("arena_name").distinct()
+    return stable(arenas.select("arena_name", R.category_rank(F.col("arena_name"), R.ARENA_ORDER)
+                                .cast("int").alias("arena_rank")))
+
+
+def q_season_order(spark, sf_dir):
+    """Distinct seasons with their position in season order (A6/O3).  The
+    ranking window sees one row per season (bounded by the months covered),
+    after a distributed distinct."""
+    seasons = fx.season_ids(fx.read_table(spark, sf_dir, "orders"))
+    w = Window.orderBy("id")
+    return stable(seasons.select("id", F.row_number().over(w).cast("int").alias("season_rank")))
+
+
+QUERIES.update({"arena_order": q_arena_order, "season_order": q_season_order})

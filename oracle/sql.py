@@ -551,3 +551,13 @@ UNION ALL SELECT 'staging.stg_cards', count(*) FROM cards
 UNION ALL SELECT 'staging.stg_player_stats', count(*) FROM player_stats
 UNION ALL SELECT 'staging.stg_clan_stats', count(*) FROM clan_stats""",
     [deck_dim_cte(), "top_players AS (" + _TOP.replace("\n", " ") + ")"])
+
+_ARENAS = ", ".join([f"'Arena {i}'" for i in range(1, 24)] + ["'Legendary Arena'", "'Clan League'"])
+SQL["arena_order"] = with_ctes(BASE, f"""
+SELECT arena_name,
+  CAST(CASE WHEN list_position([{_ARENAS}], arena_name) IS NULL THEN 26
+            ELSE list_position([{_ARENAS}], arena_name) END AS INTEGER) AS arena_rank
+FROM (SELECT DISTINCT arena_name FROM log WHERE arena_name IS NOT NULL)""")
+SQL["season_order"] = """
+SELECT id, CAST(row_number() OVER (ORDER BY id) AS INTEGER) AS season_rank
+FROM (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS id FROM orders)"""
