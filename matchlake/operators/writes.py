@@ -71,13 +71,23 @@ def insert_ignore(target: DataFrame, batch: DataFrame, keys: list[str],
     else:
         batch = batch.toDF(*target.columns)
     batch = dedupe_batch(batch, keys, order)
-    t = target
+    # stored rows with a NULL key part can never match: drop them before the
+    # shuffle (they would all hash to one partition)
+    t = target.where(_all_keys_present(keys))
     if prune_on:
         t = t.join(batch.select(prune_on).distinct(), prune_on, "left_semi")
     t = t.select(*[F.col(f"`{k}`") for k in keys]).alias("t")
     return batch.alias("b").join(t, _key_match(keys, "b", "t"), "left_anti")
 
 
+def _all_keys_present(keys: list[str]) -> Column:
+    cond = None
+    for k in keys:
+        c = F.col(f"`{k}`").isNotNull()
+        cond = c if cond is None else cond & c
+    return cond
+
+
 def align_by_name(batch: DataFrame, target: DataFrame) -> DataFrame:
     have = set(batch.columns)
     cols = []
@@ -99,8 +109,13 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str],
     supplied = [c for c in target.columns if c in set(batch.columns) and c not in keys]
     b = dedupe_batch(batch.select(*[c for c in batch.columns if c in set(target.columns)]),
                      keys, order, keep="last")
-    b = b.withColumn("__in_batch", F.lit(True))
-    t = target.alias("t")
+    # rows with a NULL key part never match: they bypass the join (a full
+    # outer join cannot split a skewed partition, and they would all share one)
+    has_keys = _all_keys_present(keys)
+    t_null = target.where(~has_keys)
+    b_null = align_by_name(b.where(~has_keys), target)
+    b = b.where(has_keys).withColumn("__in_batch", F.lit(True))
+    t = target.where(has_keys).alias("t")
     j = t.join(b.alias("b"), _key_match(keys, "t", "b"), "full_outer")
     in_b = F.col("b.__in_batch").isNotNull()
     cols = []
@@ -111,4 +126,4 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str],
                         .cast(f.dataType).alias(n))
         else:
             cols.append(F.col(f"t.`{n}`").alias(n))
-    return j.select(*cols)
+    return j.select(*cols).unionByName(t_null).unionByName(b_null)

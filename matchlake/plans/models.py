@@ -96,12 +96,9 @@ def fct_battle(log: DataFrame, key=md5_key, distinct: bool = True) -> DataFrame:
              "princess_tower_hit_points", "cards", "support_cards", "global_rank",
              "elixir_leaked"]
     rows = rows.select(*order)
-    if not distinct:
-        return rows
-    # Equal rows always share battle_id, so hashing on that one column is
-    # enough for the DISTINCT (cheaper than hashing 23 nested columns); the
-    # following aggregation reuses this partitioning without a second shuffle.
-    return rows.repartition("battle_id").distinct()
+    # a plain DISTINCT: its partial aggregation collapses copies map-side, so
+    # a battle landed many times never gathers whole in one task
+    return rows.distinct() if distinct else rows
 
 
 def date_dim(log: DataFrame) -> DataFrame:

@@ -115,11 +115,12 @@ def _support(nationkey: Column, regionkey: Column, rname: Column) -> Column:
 def battle_log(t: dict[str, DataFrame], deck_size: int = 8) -> DataFrame:
     """``raw.player_battle_log`` (38 columns) built from the star tables."""
     cards = stg_cards(t["part"]).select("name", "elixir")
-    # both branches below group by the order, so spread by it (a no-op when
-    # the scan already has enough splits)
+    # spread a scan that arrives in too few splits (a no-op at scale); round
+    # robin, so a huge order cannot land whole on one task before the
+    # map-side aggregation and window limit below
     li = ensure_parallelism(
         t["lineitem"].select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                             "l_quantity", "l_linestatus"), "l_orderkey")
+                             "l_quantity", "l_linestatus"))
     lines = (li.join(t["part"].select("p_partkey", "p_name"),
                      F.col("l_partkey") == F.col("p_partkey"))
                .join(cards, F.col("p_name") == F.col("name")))

@@ -56,7 +56,11 @@ def test_csv_suffix_and_date_range(spark, tmpdir_path):
     assert label.table_name == "raw_battles_12272020_01042021"
 
 
-def test_stream_ingest_is_idempotent(spark, tmpdir_path):
+import pytest
+
+
+@pytest.mark.parametrize("state_dedupe", [False, True])
+def test_stream_ingest_is_idempotent(spark, tmpdir_path, state_dedupe):
     land = f"{tmpdir_path}/landing"
     fields = S.names(S.PLAYER_BATTLE_LOG)
     def rec(t, team, v):  # noqa: E306
@@ -67,9 +71,9 @@ def test_stream_ingest_is_idempotent(spark, tmpdir_path):
                                        rec("20231202T101010.000Z", "#A", "dup"),
                                        rec("20231203T101010.000Z", "#B", "1")]))
     tgt, ck = f"{tmpdir_path}/table", f"{tmpdir_path}/ck"
-    stream_insert_ignore(spark, land, tgt, ck)
+    stream_insert_ignore(spark, land, tgt, ck, state_dedupe=state_dedupe)
     write(f"{land}/b.json", rec("20231202T101010.000Z", "#A", "late"))   # already stored key
-    stream_insert_ignore(spark, land, tgt, ck)
+    stream_insert_ignore(spark, land, tgt, ck, state_dedupe=state_dedupe)
     out = spark.read.parquet(tgt)
     assert out.count() == 2
     assert out.select("team_tag", "opponent_tag", "battleTime").distinct().count() == 2

@@ -45,3 +45,11 @@ def test_upsert_last_in_batch_wins(spark):
     batch = spark.createDataFrame([("a", "x", 6, "q"), ("a", "x", 5, "p")], T)
     out = upsert(target, batch, ["k", "k2"], order=[F.col("v")])
     assert rows(out) == [("a", "x", 6, "q")]
+
+
+def test_upsert_null_keys_bypass_join(spark):
+    target = spark.createDataFrame([("a", "x", 1, "t"), (None, "x", 2, "t")], T)
+    batch = spark.createDataFrame([(None, "x", 3, "b"), ("a", "x", 4, "b")], T)
+    out = upsert(target, batch, ["k", "k2"])
+    got = sorted((tuple(r) for r in out.collect()), key=repr)
+    assert got == sorted([("a", "x", 4, "b"), (None, "x", 2, "t"), (None, "x", 3, "b")], key=repr)
