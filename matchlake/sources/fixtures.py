@@ -115,12 +115,13 @@ def _support(nationkey: Column, regionkey: Column, rname: Column) -> Column:
 def battle_log(t: dict[str, DataFrame], deck_size: int = 8) -> DataFrame:
     """``raw.player_battle_log`` (38 columns) built from the star tables."""
     cards = stg_cards(t["part"]).select("name", "elixir")
-    # spread a scan that arrives in too few splits (a no-op at scale); round
-    # robin, so a huge order cannot land whole on one task before the
-    # map-side aggregation and window limit below
+    # spread a scan that arrives in too few splits.  This only fires for
+    # small inputs (fewer splits than the default parallelism), where hashing
+    # by the order cannot be worse than the unsplit scan it replaces; at scale
+    # it is a no-op and the aggregate / window below combine map-side.
     li = ensure_parallelism(
         t["lineitem"].select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                             "l_quantity", "l_linestatus"))
+                             "l_quantity", "l_linestatus"), "l_orderkey")
     lines = (li.join(t["part"].select("p_partkey", "p_name"),
                      F.col("l_partkey") == F.col("p_partkey"))
                .join(cards, F.col("p_name") == F.col("name")))
