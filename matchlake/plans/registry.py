@@ -82,6 +82,12 @@ class Game:
     def fct(self):
         return M.fct_battle(self.log)
 
+    def fct_rows(self):
+        """Fact rows before the UNION's DISTINCT: enough for reports that apply
+        their own DISTINCT over fact columns (copies cannot change them), and
+        prunable to the columns those reports read."""
+        return M.fct_battle(self.log, distinct=False)
+
     def deck(self, dedupe=True, normalize=False):
         return M.deck_dim(self.log, self.cards, dedupe=dedupe,
                           categories=FIXTURE_DECK_CATEGORIES, normalize=normalize)
@@ -123,11 +129,11 @@ def q_card_usage_by_cost(spark, sf_dir):
 
 def q_elixir_cost_by_arena(spark, sf_dir):
     g = Game(spark, sf_dir, landed=True)
-    return stable(R.elixir_cost_by_arena(g.fct(), g.deck()))
+    return stable(R.elixir_cost_by_arena(g.fct_rows(), g.deck()))
 
 
 def _daily(g, exclude="predefined"):
-    return R.deck_usage_daily(g.fct(), g.deck(), g.dates(), as_of=AS_OF,
+    return R.deck_usage_daily(g.fct_rows(), g.deck(), g.dates(), as_of=AS_OF,
                               exclude_selection=exclude)
 
 

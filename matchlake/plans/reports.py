@@ -66,7 +66,8 @@ def elixir_cost_by_arena(fct: DataFrame, deck: DataFrame) -> DataFrame:
 
     Both join sides are made distinct on their own columns first; the join
     of two distinct inputs on ``deck_id`` is then already distinct, so the
-    wide 4-column DISTINCT of the SQL form is not needed.
+    wide 4-column DISTINCT of the SQL form is not needed.  Because of that
+    DISTINCT, ``fct`` may also be the fact rows before their own DISTINCT.
     """
     f = fct.where(F.col("arena_name").isNotNull()) \
            .select("player_id", "deck_id", "arena_name").distinct()
@@ -91,7 +92,8 @@ def deck_usage_daily(fct: DataFrame, deck: DataFrame, dates: DataFrame,
 
     Counts a battle once per deck even if both sides used it.  A NULL deck
     selection is dropped like SQL ``<>`` drops it; ``exclude_selection=None``
-    keeps every selection method.
+    keeps every selection method.  The DISTINCT over (battle, day, deck)
+    absorbs copies, so ``fct`` may be the fact rows before their DISTINCT.
     """
     f = fct
     if exclude_selection is not None:

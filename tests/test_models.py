@@ -109,3 +109,15 @@ def test_trend_matches_pivot(spark):
     a = {tuple(r.cards_list): [r[c] for c in cols] for r in piv.collect()}
     b = {tuple(r.cards_list): list(r.concatenated) for r in R.deck_usage_trend(daily).collect()}
     assert a == b and len(a) > 0
+
+
+def test_distinct_reports_accept_raw_fact_rows(spark):
+    from tests.conftest import SF_SMALL
+    from matchlake.plans.registry import AS_OF, Game
+    g = Game(spark, SF_SMALL)
+    doubled = g.fct_rows().unionByName(g.fct_rows())      # every fact row copied
+    for f in (lambda fct: R.elixir_cost_by_arena(fct, g.deck()),
+              lambda fct: R.deck_usage_daily(fct, g.deck(), g.dates(), as_of=AS_OF)):
+        a = sorted(tuple(map(str, r)) for r in f(g.fct()).collect())
+        b = sorted(tuple(map(str, r)) for r in f(doubled).collect())
+        assert a == b and len(a) > 0
