@@ -514,3 +514,17 @@ def q_season_order(spark, sf_dir):
 
 
 QUERIES.update({"arena_order": q_arena_order, "season_order": q_season_order})
+
+
+def q_first_side_fields(spark, sf_dir):
+    """First member of each side, nested fields flattened with a side prefix
+    (F25, P7), read back from API battle documents of the whole log."""
+    from ..functions.arrays import first_element_fields
+    docs = P.battle_documents(Game(spark, sf_dir).log)
+    parsed = docs.select(F.from_json("body", P.BATTLE).alias("b")).select("b.*")
+    fields = {"tag": "tag", "clan_tag": "clan.tag", "clan_badgeId": "clan.badgeId", "crowns": "crowns"}
+    return stable(parsed.select(*first_element_fields("team", fields, "team"),
+                                *first_element_fields("opponent", fields, "opponent")))
+
+
+QUERIES["first_side_fields"] = q_first_side_fields

@@ -561,3 +561,7 @@ FROM (SELECT DISTINCT arena_name FROM log WHERE arena_name IS NOT NULL)""")
 SQL["season_order"] = """
 SELECT id, CAST(row_number() OVER (ORDER BY id) AS INTEGER) AS season_rank
 FROM (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS id FROM orders)"""
+SQL["first_side_fields"] = with_ctes(BASE, """
+SELECT team_tag, team_clan_tag, team_clan_badgeId, team_crowns,
+       opponent_tag, opponent_clan_tag, opponent_clan_badgeId, opponent_crowns
+FROM log""")
