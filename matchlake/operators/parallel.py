@@ -19,8 +19,11 @@ def ensure_parallelism(df: DataFrame, *keys: str, min_partitions: int | None = N
     """Repartition (to ``spark.sql.shuffle.partitions``, which AQE may
     coalesce) only when ``df`` plans fewer than ``min_partitions`` splits
     (default: the cluster's default parallelism)."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave as is
         return df
     return df.repartition(*keys) if keys else df.repartition(
         int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -56,27 +56,38 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     registers it, so later ``checkpoint()`` calls land there too.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if not base and sc is not None:
+        base = sc.getCheckpointDir()
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="matchlake-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
-        base = spark.sparkContext.getCheckpointDir() or base
+        base = ensure_checkpoint_dir(spark) or tempfile.mkdtemp(prefix="matchlake-ckpt-")
     leaf = "/".join(parts) if parts else "scratch"
     return base.rstrip("/") + "/" + leaf + "-" + uuid.uuid4().hex[:12]
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make sure ``DataFrame.checkpoint()`` has a shared target."""
-    d = spark.sparkContext.getCheckpointDir()
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. Spark Connect has no driver-side context
+        return None
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+    """Make sure ``DataFrame.checkpoint()`` has a shared target: the context's
+    checkpoint dir, else ``spark.checkpoint.dir``; only when both are unset
+    (tests, a laptop) a local folder is created."""
+    sc = _context(spark)
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    if sc is None:
+        return conf
+    d = sc.getCheckpointDir()
     if d:
         return d
-    conf = spark.conf.get("spark.checkpoint.dir", None)
     if conf:
-        spark.sparkContext.setCheckpointDir(conf)
+        sc.setCheckpointDir(conf)
         return conf
     local = tempfile.mkdtemp(prefix="matchlake-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
     return local
 
 

@@ -70,3 +70,17 @@ def test_top_k_on_a_hot_group(spark):
     assert [r.v for r in got.orderBy("rn").collect()] == want
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_refresh_all_builds_every_model(spark, tmpdir_path):
+    from matchlake.plans.registry import FIXTURE_DECK_CATEGORIES, Game
+    g = Game(spark, SF_SMALL)
+    out = RF.refresh_all(spark, tmpdir_path, g.log, g.cards, g.player_stats(), g.clan_stats(),
+                         FIXTURE_DECK_CATEGORIES, reset=True)
+    assert set(out) == {"fct_battle", "player_dim", "date_dim", "deck_dim", "card_dim", "clan_dim"}
+    assert out["card_dim"].count() == g.cards.count()
+    assert out["clan_dim"].count() == g.clan_stats().count()
+    # every fact's date and deck resolve after a full refresh
+    fct = out["fct_battle"]
+    assert fct.join(out["date_dim"], "date_id", "left_anti").count() == 0
+    assert fct.join(out["deck_dim"], "deck_id", "left_anti").count() == 0
