@@ -27,11 +27,14 @@ GAME_DECK_CATEGORIES = {
     "building_count": ("type", "Building"),
 }
 
-# fixed values: season id after which the ranking moved to a new endpoint,
-# and the two URL templates
+# fixed values: the game API's base URL, the season id after which the
+# ranking moved to a new endpoint, and the request URL templates
+API_BASE = "https://api.clashroyale.com/v1"
 SEASON_CUTOVER = "2022-09"
-NEW_SEASON_URL = "https://api.clashroyale.com/v1/locations/global/pathoflegend/%s/rankings/players/"
-OLD_SEASON_URL = "https://api.clashroyale.com/v1/locations/global/seasons/%s/rankings/players/"
+NEW_SEASON_URL = API_BASE + "/locations/global/pathoflegend/%s/rankings/players/"
+OLD_SEASON_URL = API_BASE + "/locations/global/seasons/%s/rankings/players/"
+BATTLELOG_URL = API_BASE + "/players/%s/battlelog"
+PLAYER_URL = API_BASE + "/players/%s"
 
 DECK_SIZE = 8
 

@@ -244,9 +244,7 @@ from .. import schemas as S  # noqa: E402
 from . import parse as P  # noqa: E402
 from . import refresh as RF  # noqa: E402
 
-# fixed values: API URL templates (tag already percent-encoded)
-BATTLELOG_URL = "https://api.clashroyale.com/v1/players/%s/battlelog"
-PLAYER_URL = "https://api.clashroyale.com/v1/players/%s"
+BATTLELOG_URL, PLAYER_URL = M.BATTLELOG_URL, M.PLAYER_URL   # tag already percent-encoded
 SPLIT_OLD = "20000101"     # landing batches: battles before / from these days
 SPLIT_NEW = "19990101"
 STATS_BEFORE = _dt.date(2000, 1, 1)
