@@ -57,3 +57,9 @@ def whole_file(uri: str):
     with store.open_output_stream(part) as out:
         yield out
     store.move(part, path)
+
+
+def known_small(df: DataFrame, most_rows: int) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``most_rows`` rows (count
+    a written table); left to a shuffle join beyond."""
+    return F.broadcast(df) if df.count() <= most_rows else df

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from matchlake.session import shared_dir
 
-from . import bpe, mixing, quality_rules, record_files, url_filter, warc
+from . import ann, bpe, license_scan, line_dedup, mixing, ngram_join, quality_rules, record_files, url_filter, warc
 from .common import table
 
 URL_RULES = (
@@ -26,6 +26,11 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.Index(vectors).search(vectors.where("vec_id % 20 = 0").select(F.col("vec_id").alias("id")))
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "copies")
@@ -42,10 +47,23 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "lines_exact", "lines_near", F.md5("text").alias("text_md5"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary(), ["doc_id"], bpe.digests, bpe.DIGESTS)
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = record_files.write_records(
         table(spark, sf_dir, "documents"), shared_dir(spark, "llm", "records"), vocabulary())
@@ -58,6 +76,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_source_mix, op3_warc, op4_quality_rules, op6_bpe, op9_record_files, op10_url_filter)}
+    f.__name__: f for f in (
+        op1_ann, op2_source_mix, op3_warc, op4_quality_rules, op5_line_dedup, op6_bpe, op7_license_scan, op8_ngram_join,
+        op9_record_files, op10_url_filter)}
 
 SQL: dict[str, str] = {}
