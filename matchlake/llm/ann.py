@@ -124,7 +124,7 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 def _nearest(queries: list[int], q: np.ndarray, members: list[int], x: np.ndarray, k: int):
     """Rows (query, member, score) of the ``k`` best members of each query and all that tie."""
-    if not len(queries) or not len(members):
+    if not queries or not members:
         return [], [], []
     score = q @ x.T
     # products are summed in another order for other shapes; keep what is as good within rounding
@@ -162,7 +162,7 @@ class Index:
         self.ids = cut(named, "ann-ids")
         n = self.nodes.count()
         picked = self.nodes.sample(min(1.0, 1.2 * SAMPLE / max(n, 1)), seed=seed).select("v").limit(SAMPLE).collect()
-        self.tree = Tree(np.array([r.v for r in picked], np.float64).reshape(len(picked), -1))
+        self.tree = Tree(np.array([r.v for r in picked], np.float64).reshape(len(picked), len(picked[0].v) if picked else 1))
         self.filed = cut(self.nodes.select("node", "v").mapInArrow(
             self._file(), "node long, leaf long, b binary"), "ann-filed")
         sizes = self.filed.groupBy("leaf").agg(F.ceil(F.count("*") / F.lit(MEMBERS)).alias("chunks"))

@@ -104,7 +104,7 @@ def _round_group(seed: int, level: int, last: bool):
         held = _duel(weight, prob, _draws(seed, level, src, bucket, len(prob)))
         if held is not None and last:
             prob[held], held = float(prob[held] >= 0.5), None
-        frac = np.array(prob)
+        frac = np.array(prob, np.float64)
         done = np.ones(len(prob), bool)
         whole = rows["whole"].to_numpy().astype(np.int64)
         if held is not None:

@@ -11,6 +11,7 @@ from matchlake.session import shared_dir
 
 from . import ann, bpe, license_scan, line_dedup, mixing, ngram_join, quality_rules, record_files, url_filter, warc
 from .common import table
+from .oracle import SQL as SQL
 
 URL_RULES = (
     url_filter.host_rule("org", "/", "allow"),
@@ -80,4 +81,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_ann, op2_source_mix, op3_warc, op4_quality_rules, op5_line_dedup, op6_bpe, op7_license_scan, op8_ngram_join,
         op9_record_files, op10_url_filter)}
 
-SQL: dict[str, str] = {}
+
