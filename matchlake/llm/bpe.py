@@ -31,6 +31,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +39,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 BLOCK_BYTES = 32 << 20     # text of one block; a longer text is a block by itself
 MAX_VOCABULARY = 1 << 20   # the id-to-piece table is sent to tasks up to this size
-ENCODE_AT_ONCE = 2048
+ENCODE_AT_ONCE = 512
 SEPARATOR = "<|startoftext|>"
 
 
@@ -62,68 +63,96 @@ def pieces(path: str) -> list[str]:
     return [t.id_to_token(i) for i in range(n)]
 
 
-def encode_words(path: str, words: list[bytes]) -> list[bytes]:
-    """Ids of each word as little-endian 32-bit numbers.
+def encode_words(path: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all words one after another as uint32, number of ids of each).
 
     Words are encoded many at a time with a special token between them, which
     costs less than a call for each; words that hold the token go alone.
     """
     t = tokenizer(path)
     mark = t.token_to_id(SEPARATOR)
-    out: list[bytes] = []
+    flat, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
     for k in range(0, len(words), ENCODE_AT_ONCE):
-        part = [w.decode() for w in words[k:k + ENCODE_AT_ONCE]]
+        part = words[k:k + ENCODE_AT_ONCE]
         if mark is None or any(SEPARATOR in w for w in part):
-            out += [np.array(t.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in part]
+            for e in t.encode_batch_fast(part, add_special_tokens=False):
+                flat.append(np.array(e.ids, np.uint32))
+                counts.append(np.array([len(e.ids)]))
             continue
-        ids = np.array(t.encode(SEPARATOR.join(part), add_special_tokens=False).ids, "<u4")
+        ids = np.array(t.encode_batch_fast([SEPARATOR.join(part)], add_special_tokens=False)[0].ids, np.uint32)
         cuts = np.flatnonzero(ids == mark)
-        start = 0
-        for c in [*cuts.tolist(), len(ids)]:
-            out.append(ids[start:c].tobytes())
-            start = c + 1
-    return out
+        flat.append(np.delete(ids, cuts))
+        counts.append(np.diff(cuts, prepend=-1, append=len(ids)) - 1)
+    return np.concatenate(flat), np.concatenate(counts)
 
 
-class _Numbering(dict):
-    """word -> its number, in order of first use."""
+def number_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(word numbers of all texts one after another, words in each text, the
+    distinct words by number); numbers follow first use."""
+    split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    words, of = split.flatten(), pc.list_parent_indices(split)
+    some = pc.not_equal(pc.binary_length(words), 0)
+    coded = words.filter(some).dictionary_encode()
+    each = np.bincount(of.filter(some).to_numpy(zero_copy_only=False), minlength=len(texts))
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.uint32), each, coded.dictionary
 
-    def __missing__(self, word: bytes) -> int:
-        n = self[word] = len(self)
-        return n
 
+class Runs:
+    """Runs of ``counts`` neighbouring elements of ``flat``, fetched by number."""
+
+    def __init__(self, flat: np.ndarray, counts: np.ndarray):
+        self.flat, self.counts = flat, counts
+        self.starts = np.cumsum(counts) - counts
+
+    def gather(self, at: np.ndarray) -> np.ndarray:
+        """The runs with the numbers ``at``, one after another."""
+        n = self.counts[at]
+        shift = self.starts[at] - (np.cumsum(n) - n)
+        return self.flat[np.repeat(shift, n) + np.arange(int(n.sum()))]
+
+
+def joined(parts: pa.Array, counts: np.ndarray) -> pa.Array:
+    """Strings of ``counts`` neighbouring ``parts`` each, set apart by spaces."""
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, parts), " ")
+
+
+def row_blocks(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[pa.Table]:
+    """Neighbouring rows with up to ``limit`` bytes of text; where blocks end
+    follows from the rows alone, not from how they came in batches."""
+    parts: list[pa.RecordBatch] = []
+    held = 0
+    for b in batches:
+        start = 0
+        for i, n in enumerate(pc.fill_null(pc.binary_length(b[text]), 0).to_pylist()):
+            if (parts or i > start) and held + n > limit:
+                yield pa.Table.from_batches([*parts, b.slice(start, i - start)]).combine_chunks()
+                parts, start, held = [], i, 0
+            held += n
+        parts.append(b.slice(start))
+    if any(p.num_rows for p in parts):
+        yield pa.Table.from_batches(parts).combine_chunks()
 
-def _blocks(batches: Iterator[pa.RecordBatch], carried: list[str], limit: int, buckets: int):
-    """Neighbouring rows as (block id, carried columns, word positions of each
-    row, distinct words by (bucket, word), bucket of each word, digest)."""
-    part = TaskContext.get().partitionId() << 32
-    ordinal, size, seen = 0, 0, _Numbering()
-    rows: list[pa.RecordBatch] = []
-    numbers: list[np.ndarray] = []
 
-    def block():
-        words = list(seen)
+def _column(table: pa.Table, name: str) -> pa.Array:
+    c = table[name]
+    return c.chunk(0) if c.num_chunks == 1 else pa.concat_arrays(c.chunks) if c.num_chunks else pa.array([], c.type)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], limit: int, buckets: int):
+    """(block id, rows, word positions, words of each row, distinct words by
+    bucket, first position of each bucket and the end, digest) of each block."""
+    part = TaskContext.get().partitionId() << 32
+    for ordinal, table in enumerate(row_blocks(batches, "bpe_text", limit)):
+        numbers, each, words = number_words(_column(table, "bpe_text"))
+        words = words.cast(pa.binary()).to_pylist()
         bucket = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % buckets
-        order = sorted(range(len(words)), key=lambda i: (bucket[i], words[i]))
+        order = np.argsort(bucket, kind="stable")
         rank = np.empty(len(words), np.uint32)
         rank[order] = np.arange(len(words), dtype=np.uint32)
-        listed = [words[i] for i in order]
-        return (part + ordinal, pa.Table.from_batches(rows), [rank[n] for n in numbers], listed,
-                bucket[order], hashlib.md5(b" ".join(listed)).digest())
-
-    for b in batches:
-        kept = b.select(carried)
-        for i, t in enumerate(b["bpe_text"]):
-            data = (t.as_py() or "").encode()
-            if rows and size + len(data) > limit:
-                yield block()
-                ordinal, size, seen, rows, numbers = ordinal + 1, 0, _Numbering(), [], []
-            size += len(data)
-            words = data.split()
-            numbers.append(np.fromiter(map(seen.__getitem__, words), np.uint32, len(words)))
-            rows.append(kept.slice(i, 1))
-    if rows:
-        yield block()
+        listed = [words[i] for i in order.tolist()]
+        yield (part + ordinal, table, rank[numbers], each, listed,
+               np.searchsorted(bucket[order], np.arange(buckets + 1)), hashlib.md5(b" ".join(listed)).digest())
 
 
 def _pack(numbers: np.ndarray) -> bytes:
@@ -158,35 +187,33 @@ def encode_decode(docs: DataFrame, path: str, carried: list[str], finish: Callab
     buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.rdd.getNumPartitions())
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, _, _, words, bucket, digest in _blocks(batches, [], block_bytes, buckets):
-            starts = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist() if words else []
+        for block, _, _, _, words, starts, digest in _blocks(batches, block_bytes, buckets):
+            some = np.flatnonzero(np.diff(starts)).tolist()
             yield pa.RecordBatch.from_pydict({
-                "bucket": pa.array([int(bucket[a]) for a in starts], pa.int32()),
-                "block": pa.array([block] * len(starts), pa.int64()),
-                "digest": pa.array([digest] * len(starts), pa.binary()),
-                "words": pa.array([b" ".join(words[a:b]).decode() for a, b in
-                                   zip(starts, [*starts[1:], len(words)])], pa.string())})
+                "bucket": pa.array(some, pa.int32()),
+                "block": pa.array([block] * len(some), pa.int64()),
+                "digest": pa.array([digest] * len(some), pa.binary()),
+                "words": pa.array([b" ".join(words[starts[k]:starts[k + 1]]).decode() for k in some], pa.string())})
 
     def encode_bucket(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         """Encode a bucket's distinct words once and give each block the ids of its own."""
-        listed = [w.encode().split() for w in table["words"].to_pylist()]
-        distinct = sorted(set().union(*listed))
-        known = dict(zip(distinct, encode_words(path, distinct)))
-        ids = [[known[w] for w in words] for words in listed]
+        numbers, each, words = number_words(_column(table, "words"))
+        ids = Runs(*encode_words(path, words.to_pylist()))
+        of_block = np.split(numbers, np.cumsum(each)[:-1])
         return pa.table({
             "block": table["block"], "bucket": table["bucket"], "digest": table["digest"],
-            "n": pa.array([len(x) for x in ids], pa.int32()),
-            "lengths": pa.array([_pack(np.array([len(y) // 4 for y in x], "<u4")) for x in ids], pa.binary()),
-            "total": pa.array([sum(map(len, x)) // 4 for x in ids], pa.int32()),
-            "ids": pa.array([_pack(np.frombuffer(b"".join(x), "<u4")) for x in ids], pa.binary())})
+            "n": pa.array(each, pa.int32()),
+            "lengths": pa.array([_pack(ids.counts[x]) for x in of_block], pa.binary()),
+            "total": pa.array([int(ids.counts[x].sum()) for x in of_block], pa.int32()),
+            "ids": pa.array([_pack(ids.gather(x)) for x in of_block], pa.binary())})
 
     def positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, table, numbers, _, _, digest in _blocks(batches, names, block_bytes, buckets):
-            n = len(numbers)
-            out = pa.table([*table.columns, pa.array([block] * n, pa.int64()), pa.array([digest] * n, pa.binary()),
-                            pa.array([len(x) for x in numbers], pa.int64()),
-                            pa.array([_pack(x) for x in numbers], pa.binary())],
-                           names=[*names, "block", "digest", "n", "at"])
+        for block, table, numbers, each, _, _, digest in _blocks(batches, block_bytes, buckets):
+            n = len(each)
+            packed = [_pack(x) for x in np.split(numbers, np.cumsum(each)[:-1])]
+            out = pa.table([*(table[c] for c in names), pa.array([block] * n, pa.int64()),
+                            pa.array([digest] * n, pa.binary()), pa.array(each, pa.int64()),
+                            pa.array(packed, pa.binary())], names=[*names, "block", "digest", "n", "at"])
             yield from out.combine_chunks().to_batches(max_chunksize=2000)
 
     out_ddl = ", ".join(x for x in (kept, finished) if x)
@@ -197,27 +224,23 @@ def encode_decode(docs: DataFrame, path: str, carried: list[str], finish: Callab
         seen = set(ids["digest"].to_pylist()) or {hashlib.md5(b"").digest()}
         if docs_of.num_rows and {*docs_of["digest"].to_pylist()} != seen:
             raise RuntimeError("a block's rows came in another order the second time: encode from a table or file")
-        piece = pieces(path)
-        word_ids: list[bytes] = []
-        word_text: list[str] = []
-        for r in sorted(ids.to_pylist(), key=lambda r: r["bucket"]):
-            ends = np.cumsum(_unpack(r["lengths"], r["n"])).tolist()
-            flat = _unpack(r["ids"], r["total"])
-            data, text_of = flat.tobytes(), [piece[i] for i in flat.tolist()]
-            for a, b in zip([0, *ends], ends):
-                word_ids.append(data[4 * a:4 * b])
-                word_text.append(" ".join(text_of[a:b]))
-        cols: list[list] = [[] for _ in fields]
-        values = zip(*(docs_of[c].to_pylist() for c in names)) if names else [()] * docs_of.num_rows
-        for row, n, data in zip(values, docs_of["n"].to_pylist(), docs_of["at"].to_pylist()):
-            at = _unpack(data, n).tolist()
-            encoded = np.frombuffer(b"".join(map(word_ids.__getitem__, at)), "<u4")
-            # a word without ids (of exotic white space) leaves no gap
-            decoded = " ".join(filter(None, map(word_text.__getitem__, at)))
-            for c, v in zip(cols, (*row, *finish(encoded, decoded))):
+        listed = sorted(ids.select(["bucket", "n", "lengths", "total", "ids"]).to_pylist(), key=lambda r: r["bucket"])
+        counts = np.concatenate([np.zeros(0, np.int64), *(_unpack(r["lengths"], r["n"]) for r in listed)]).astype(np.int64)
+        flat = np.concatenate([np.zeros(0, "<u4"), *(_unpack(r["ids"], r["total"]) for r in listed)]).astype("<u4")
+        piece = pa.array(pieces(path), pa.string())
+        word_text = joined(piece.take(pa.array(flat)), counts)      # the id-to-piece join
+        runs = Runs(flat, counts)
+        out: list[list] = [[] for _ in finished_fields]
+        for n, data in zip(docs_of["n"].to_pylist(), docs_of["at"].to_pylist()):
+            at = _unpack(data, n)
+            at = at[counts[at] > 0]         # a word without ids (of exotic white space) leaves no gap
+            decoded = joined(word_text.take(pa.array(at)), np.array([len(at)]))[0].as_py()
+            for c, v in zip(out, finish(runs.gather(at), decoded)):
                 c.append(v)
-        return pa.table([pa.array(c, f.type) for c, f in zip(cols, fields)], schema=fields)
+        done = [pa.array(c, f.type) for c, f in zip(out, finished_fields)]
+        return pa.table([*(docs_of[c] for c in names), *done], names=fields.names).cast(fields)
 
+    finished_fields = list(fields)[len(names):]
     ids = rows.select("bpe_text").mapInArrow(lists, "bucket int, block long, digest binary, words string").groupBy(
         "bucket").applyInArrow(encode_bucket, "block long, bucket int, digest binary, n int, lengths binary, "
                                               "total int, ids binary")
@@ -232,3 +255,11 @@ def digests(ids: np.ndarray, decoded: str) -> tuple[int, str, str]:
 
 
 DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
+def ids_and_digests(ids: np.ndarray, decoded: str) -> tuple:
+    n, ids_hash, text_hash = digests(ids, decoded)
+    return n, ids.astype(np.int32), ids_hash, text_hash
+
+
+IDS_AND_DIGESTS = "n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string"

@@ -31,19 +31,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .bpe import encode_words, tokenizer
+from .bpe import Runs, encode_words, number_words, row_blocks, tokenizer
 from .common import cut, open_fs, whole_file
 
 ROLL_BYTES = 64 << 20
-WORDS_KEPT = 400_000      # word -> ids entries a worker keeps; emptied beyond
-LONG_WORD = 64            # longer words are not kept
+ENCODE_BYTES = 24 << 20   # text whose distinct words are encoded together
+READ_BYTES = 4 << 20
 MASK = 0xA282EAD8         # fixed value
 HEAD, PREFIX = struct.Struct("<QI"), struct.Struct("<qB")
 MANIFEST = "part int, seq int, path string, records long, ids long, bytes long"
 
-_kept: dict[str, dict[bytes, bytes]] = {}
-
-
 def masked(data: bytes) -> int:
     c = zlib.crc32(data)
     return (((c >> 15) | (c << 17)) + MASK) & 0xFFFFFFFF
@@ -64,39 +61,33 @@ def unframe(data: bytes) -> bytes:
     return payload
 
 
-def encode(path: str, text: str) -> bytes:
-    """Ids of a text as little-endian u32, word by word through the worker's kept words."""
-    known = _kept.setdefault(path, {})
-    if len(known) > WORDS_KEPT:
-        known.clear()
-    words = text.encode().split()
-    new = [w for w in set(words) if w not in known]
-    long = {}
-    for w, ids in zip(new, encode_words(path, new)):
-        (known if len(w) <= LONG_WORD else long)[w] = ids
-    if long:
-        return b"".join(long[w] if len(w) > LONG_WORD else known[w] for w in words)
-    return b"".join(map(known.__getitem__, words))
+def sequences(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[int | None, np.ndarray]]:
+    """(doc_id, ids) of each row; the words of some megabytes of text are
+    numbered and each distinct one is encoded once."""
+    for table in row_blocks(batches, "text", ENCODE_BYTES):
+        numbers, each, words = number_words(table["text"].combine_chunks())
+        ids = Runs(*encode_words(path, words.to_pylist()))
+        ends = np.cumsum(each)
+        for doc_id, a, b in zip(table["doc_id"].to_pylist(), (ends - each).tolist(), ends.tolist()):
+            yield doc_id, ids.gather(numbers[a:b])
 
 
 def write_records(docs: DataFrame, folder: str, path: str, end_id: int = 1) -> DataFrame:
     """Write all documents below ``folder`` in ascending doc_id order; the
     manifest, a row for each file in that order."""
     narrow = tokenizer(path).get_vocab_size(with_added_tokens=True) <= 1 << 16
-    end = np.array([end_id], "<u4").tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
-        rows = ((i, t) for b in batches for i, t in zip(b["doc_id"], b["text"]))
+        rows = sequences(batches, path)
         row = next(rows, None)
         while row is not None:
             name = f"{folder}/shard-{part:06d}-{seq:05d}"
             index, at, ids = [], 0, 0
             with whole_file(name + ".rec") as out:
                 while row is not None and at < ROLL_BYTES:
-                    doc_id, text = row[0].as_py(), row[1].as_py() or ""
-                    tokens = np.frombuffer(encode(path, text) + end, "<u4")
-                    record = frame(_payload(doc_id, tokens, narrow))
+                    tokens = np.append(row[1], np.uint32(end_id))
+                    record = frame(_payload(row[0], tokens, narrow))
                     out.write(record)
                     index += [at, len(record)]
                     at, ids = at + len(record), ids + len(tokens)
@@ -145,13 +136,15 @@ def read_records(manifest: DataFrame, with_ids: bool = True) -> DataFrame:
             for path, start in zip(b["path"].to_pylist(), b["start"].to_pylist()):
                 store, at = open_fs(path)
                 with store.open_input_file(at[:-4] + ".idx") as f:
-                    index = np.frombuffer(f.read(), "<u8").reshape(-1, 2).tolist()
+                    index = np.frombuffer(f.read(), "<u8").reshape(-1, 2).astype(np.int64)
                 with store.open_input_stream(at) as f:
-                    for k in range(0, len(index), 1000):
+                    # neighbouring records, some megabytes at a time
+                    for some in np.split(index, np.flatnonzero(np.diff(index[:, 0] // READ_BYTES)) + 1):
+                        data = memoryview(f.read(int(some[:, 1].sum())))
                         out: dict[str, list] = {c: [] for c in ("doc_id", "start", "n_tokens", "ids_crc32", "ids")}
-                        for _, length in index[k:k + 1000]:
-                            doc_id, ids = _sequence(unframe(f.read(length)))
-                            for c, v in zip(out, (doc_id, start, len(ids), zlib.crc32(ids.tobytes()), ids)):
+                        for offset, length in (some - [some[0, 0], 0]).tolist():
+                            doc_id, ids = _sequence(unframe(data[offset:offset + length]))
+                            for c, v in zip(out, (doc_id, start, len(ids), zlib.crc32(ids), ids if with_ids else None)):
                                 out[c].append(v)
                             start += len(ids)
                         cols = [pa.array(out[c], pa.int64()) for c in ("doc_id", "start", "n_tokens", "ids_crc32")]
