@@ -1,7 +1,8 @@
 """Session construction and the shared scratch location.
 
-Cluster jobs must cut lineage into the shared folder named by
-``spark.checkpoint.dir``; only tests and local runs create their own.
+Cluster jobs cut lineage into the shared folder named by
+``spark.checkpoint.dir``; without one they fail.  Only a local master creates
+a folder of its own.
 """
 
 from __future__ import annotations
@@ -51,44 +52,30 @@ def build_session(master: str | None = None, app: str = "matchlake",
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint location.
 
-    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Only
-    when neither is set -- a test or a laptop -- it creates a local one and
-    registers it, so later ``checkpoint()`` calls land there too.
+    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Only a
+    local master, whose executors share the driver's disk, gets a folder of its
+    own when neither is set; on a cluster that is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    sc = _context(spark)
-    if not base and sc is not None:
-        base = sc.getCheckpointDir()
-    if not base:
-        base = ensure_checkpoint_dir(spark) or tempfile.mkdtemp(prefix="matchlake-ckpt-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
     leaf = "/".join(parts) if parts else "scratch"
     return base.rstrip("/") + "/" + leaf + "-" + uuid.uuid4().hex[:12]
 
 
-def _context(spark: SparkSession):
-    try:
-        return spark.sparkContext
-    except Exception:  # noqa: BLE001 - e.g. Spark Connect has no driver-side context
-        return None
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make sure ``DataFrame.checkpoint()`` has a shared target: the context's
-    checkpoint dir, else ``spark.checkpoint.dir``; only when both are unset
-    (tests, a laptop) a local folder is created."""
-    sc = _context(spark)
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    if sc is None:
-        return conf
+    checkpoint dir, else ``spark.checkpoint.dir``, else (local master only) a
+    temporary folder."""
+    sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if d:
         return d
-    if conf:
-        sc.setCheckpointDir(conf)
-        return conf
-    local = tempfile.mkdtemp(prefix="matchlake-ckpt-")
-    sc.setCheckpointDir(local)
-    return local
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        conf = tempfile.mkdtemp(prefix="matchlake-ckpt-")
+    sc.setCheckpointDir(conf)
+    return conf
 
 
 def local_path(p: str) -> str:
