@@ -1,4 +1,4 @@
-"""Two-sided rows -> one row per side, and distinct unions."""
+"""Two-sided rows -> one row per side."""
 
 from __future__ import annotations
 
@@ -29,11 +29,3 @@ def two_sided_unpivot(df: DataFrame, common: dict[str, Column],
     if side_col:
         outs.append(F.col("__side." + side_col).alias(side_col))
     return staged.select(*outs)
-
-
-def union_distinct(*dfs: DataFrame) -> DataFrame:
-    """SQL ``UNION``: by-name union, duplicates removed (one shuffle)."""
-    out = dfs[0]
-    for d in dfs[1:]:
-        out = out.unionByName(d)
-    return out.distinct()

@@ -6,8 +6,10 @@ wrappers (atomic directory swap) live in :mod:`matchlake.sources.catalog`.
 
 Semantics (those of a SQL ``INSERT OR IGNORE`` / ``INSERT OR REPLACE ... BY
 NAME`` against a UNIQUE key):
-* duplicates inside one batch collapse to the first row in load order, NULL
-  key parts comparing equal there;
+* duplicates inside one batch collapse to one row, NULL key parts comparing
+  equal there: insert-or-ignore keeps the first in load order, upsert the last.
+  Load order (landing file and position, fetch time, or any total order on the
+  rows) must be given: without it "first" and "last" have no meaning;
 * a NULL key part never matches a stored row, so such rows are always
   inserted;
 * upsert replaces only the columns the batch carries; an explicit NULL in the
@@ -20,26 +22,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def dedupe_batch(batch: DataFrame, keys: list[str], order: list[Column] | None = None,
-                 keep: str = "first") -> DataFrame:
-    """One row per key (NULLs equal).  An aggregate, not a window: partial
-    aggregation keeps a hot key from landing whole on one task.
-
-    ``order`` defines load order; without it an arbitrary row per key is
-    kept, which is only exact when duplicates are identical.
-    """
+def dedupe_batch(batch: DataFrame, keys: list[str], order: list[Column], keep: str = "first") -> DataFrame:
+    """One row per key (NULLs equal), the first or last in load ``order``.  An
+    aggregate, not a window: partial aggregation keeps a hot key from landing
+    whole on one task."""
     others = [c for c in batch.columns if c not in keys]
     if not others:
         return batch.dropDuplicates(keys)
-    payload = F.struct(*[F.col(f"`{c}`") for c in others])
-    if order:
-        rank = F.struct(*order)
-        pick = (F.min_by if keep == "first" else F.max_by)(payload, rank)
-    else:
-        pick = F.first(payload, ignorenulls=False)
-    agg = batch.groupBy(*keys).agg(pick.alias("__row"))
-    return agg.select(*keys, *[F.col("__row").getField(c).alias(c) for c in others]) \
-              .select(*batch.columns)
+    if not order:
+        raise ValueError("load order is needed to choose between rows of the same key")
+    pick = F.min_by if keep == "first" else F.max_by
+    # rows that tie in load order are settled by their content
+    rank = F.struct(*order, F.xxhash64(*[F.col(f"`{c}`") for c in others]))
+    agg = batch.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
+        pick(F.struct(*[F.col(f"`{c}`") for c in others]), rank).alias("__row"))
+    return agg.select(*[F.col(f"`{k}`") for k in keys], *[F.col("__row").getField(c).alias(c) for c in others]) \
+              .select(*[F.col(f"`{c}`") for c in batch.columns])
 
 
 def _key_match(keys: list[str], left: str, right: str) -> Column:
@@ -59,25 +57,24 @@ def insert_ignore(target: DataFrame, batch: DataFrame, keys: list[str],
     with NULL; positional mode renames the batch columns to the target's.
 
     ``prune_on`` names a column of both frames that is a function of the key
-    (e.g. the battle day of the key's battle time, the landing table's
-    partition column).  Equal keys then have equal values there, so only the
-    target rows whose value occurs in the batch can match: the target is
-    semi-joined to the batch's distinct values first, which dynamic partition
-    pruning turns into a scan of just those partitions instead of the whole
-    table.  Exact for any batch.
+    (e.g. the battle month of the key's battle time, the landing table's
+    partition column).  Only target rows between the batch's least and greatest
+    value can match; the two are scalar subqueries, so the scan reads just the
+    partitions between them.  Exact for any batch.
     """
     if by_name:
         batch = align_by_name(batch, target)
     else:
         batch = batch.toDF(*target.columns)
-    batch = dedupe_batch(batch, keys, order)
+    deduped = dedupe_batch(batch, keys, order)
     # stored rows with a NULL key part can never match: drop them before the
     # shuffle (they would all hash to one partition)
     t = target.where(_all_keys_present(keys))
     if prune_on:
-        t = t.join(batch.select(prune_on).distinct(), prune_on, "left_semi")
+        span = batch.agg(F.min(prune_on).alias("a"), F.max(prune_on).alias("b"))
+        t = t.where(F.col(prune_on).between(span.select("a").scalar(), span.select("b").scalar()))
     t = t.select(*[F.col(f"`{k}`") for k in keys]).alias("t")
-    return batch.alias("b").join(t, _key_match(keys, "b", "t"), "left_anti")
+    return deduped.alias("b").join(t, _key_match(keys, "b", "t"), "left_anti")
 
 
 def _all_keys_present(keys: list[str]) -> Column:
@@ -100,12 +97,15 @@ def align_by_name(batch: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str],
-           order: list[Column] | None = None) -> DataFrame:
-    """Full new content of ``target`` after an insert-or-replace by name.
+           order: list[Column] | None = None, by_name: bool = True) -> DataFrame:
+    """Full new content of ``target`` after an insert-or-replace, by name or
+    (``by_name=False``) by position.
 
     Batch rows whose key has a NULL part never match and are appended.
     Within the batch the *last* row per key in load order wins.
     """
+    if not by_name:
+        batch = batch.toDF(*target.columns)
     supplied = [c for c in target.columns if c in set(batch.columns) and c not in keys]
     b = dedupe_batch(batch.select(*[c for c in batch.columns if c in set(target.columns)]),
                      keys, order, keep="last")

@@ -35,6 +35,7 @@ NEW_SEASON_URL = API_BASE + "/locations/global/pathoflegend/%s/rankings/players/
 OLD_SEASON_URL = API_BASE + "/locations/global/seasons/%s/rankings/players/"
 BATTLELOG_URL = API_BASE + "/players/%s/battlelog"
 PLAYER_URL = API_BASE + "/players/%s"
+CLAN_URL = API_BASE + "/clans/%s"
 
 DECK_SIZE = 8
 
@@ -138,9 +139,8 @@ def deck_dim(log: DataFrame, stg_cards: DataFrame, dedupe: bool = True,
 
     Plan: slots are exploded once and joined to one flag row per card name
     (broadcast when AQE measures it small), then a single aggregation keyed by
-    the deck both sums the flags and removes duplicates.  Without dedupe, the
-    multiplicity of each deck is carried as a count and re-expanded, which is
-    exact and never groups by a row id.
+    the deck both sums the flags and removes duplicates.  NULL slots never
+    reach the join.  Without dedupe, every side is joined to its deck's counts.
     """
     cats = categories or GAME_DECK_CATEGORIES
     names = slots(F.col("deck"), "name", DECK_SIZE)
@@ -154,16 +154,15 @@ def deck_dim(log: DataFrame, stg_cards: DataFrame, dedupe: bool = True,
                  for out, (col, val) in cats.items()]
     flags = stg_cards.groupBy(F.col("name").alias("__card")).agg(*flag_aggs)
 
-    per_deck = sides.groupBy("cards_list", "average_elixir_cost").agg(
-        F.count(F.lit(1)).alias("__mult"))
-    exploded = per_deck.select("cards_list", "average_elixir_cost", "__mult",
-                               F.explode("cards_list").alias("__card"))
+    per_deck = sides.distinct()
+    exploded = per_deck.select("cards_list", "average_elixir_cost", F.explode_outer(
+        F.filter("cards_list", lambda c: c.isNotNull())).alias("__card"))
     counted = (exploded.join(flags, "__card", "left")
-               .groupBy("cards_list", "average_elixir_cost", "__mult")
+               .groupBy("cards_list", "average_elixir_cost")
                .agg(*[F.coalesce(F.sum(out), F.lit(0)).cast("bigint").alias(out) for out in cats]))
     if not dedupe:
-        counted = counted.withColumn(
-            "__rep", F.explode(F.array_repeat(F.lit(1), F.col("__mult").cast("int"))))
+        counted = sides.alias("s").join(counted.alias("c"), F.expr(
+            "s.cards_list = c.cards_list AND s.average_elixir_cost <=> c.average_elixir_cost")).select("s.*", *cats)
     return counted.select(
         list_key("cards_list", key).alias("deck_id"), "cards_list",
         *[F.col(out) for out in cats], "average_elixir_cost")
@@ -199,6 +198,11 @@ def season_urls(seasons: DataFrame, cutover: str = SEASON_CUTOVER) -> DataFrame:
     return seasons.select(sid, url.alias("query_url")).distinct()
 
 
+def ranking_url(query_url: Column | str, limit: int) -> Column:
+    """A season's ranking request for its first ``limit`` players."""
+    return F.concat(F.col(query_url) if isinstance(query_url, str) else query_url, F.lit(f"?limit={limit}"))
+
+
 def player_tags(log: DataFrame) -> DataFrame:
     """Distinct tags of both sides (``UNION``); NULL kept as a value."""
     return log.select(F.explode(F.array("team_tag", "opponent_tag")).alias("tag")).distinct()

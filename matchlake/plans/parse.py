@@ -31,11 +31,8 @@ PLAYER_LADDER = PLAYER + (", role STRING, currentFavoriteCard STRUCT<name: STRIN
 CLAN = ("tag STRING, name STRING, type STRING, description STRING, clanScore INT, "
         "clanWarTrophies INT, requiredTrophies INT, members INT, "
         "location STRUCT<id: BIGINT, name: STRING, isCountry: BOOLEAN>")
-TOP_PLAYER = ("tag STRING, name STRING, expLevel BIGINT, trophies BIGINT, rank BIGINT, "
-              "clan STRUCT<tag: STRING, name: STRING, badgeId: BIGINT>")
 
-OUTER = ["type", "battleTime", "isLadderTournament", "arena_id", "arena_name", "gameMode_id",
-         "gameMode_name", "deckSelection", "isHostedMatch", "leagueNumber"]
+# fixed values: payload field names
 # per-side output suffix -> path inside the side element
 INNER = {
     "tag": "tag", "name": "name", "startingTrophies": "startingTrophies",

@@ -1,33 +1,48 @@
 """Refresh plans: the daily and the monthly (full) warehouse rebuild.
 
-Both run as a sequence of distributed jobs over catalog tables whose data
-lives under ``warehouse``.  Keyed loads are idempotent, model rebuilds
-write a new directory per run and then repoint the table, so a failed run
-can simply be repeated.  Unlike the reference's daily job, the daily plan
-also rebuilds the log-derived dimensions, so new battles never vanish from
-inner joins until the monthly run.
+Both run as a sequence of distributed jobs over catalog tables whose data lives
+under ``warehouse``.  Keyed loads are idempotent; a rebuilt table is written to
+a new folder and the table is then pointed at it, so readers see the old or the
+new content; a failed run can simply be repeated.  The facts are partitioned by
+battle month, and a load rebuilds the months it touched.  Unlike the
+reference's daily job, the daily plan also rebuilds the log-derived dimensions,
+so new battles never vanish from inner joins until the monthly run.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..sources.catalog import create_table, ensure_schemas, insert_ignore_table, upsert_table
+from ..sources.catalog import (create_table, drop_versions, ensure_schemas, insert_ignore_table,
+                               replace_table, upsert_table)
 from . import models as M
 
 LOG = "raw.player_battle_log"
 PLAYER_STATS = "staging.stg_player_stats"
 CLAN_STATS = "staging.stg_clan_stats"
 CARDS = "staging.stg_cards"
-
-# load order inside a battle batch (first wins): a total order on the content
+SEASONS = "staging.stg_seasons"
+TOP_PLAYERS = "staging.stg_top_players_by_season"
 BATTLE_MONTH = "battle_month"
 
 
+class Names:
+    """Table names of one warehouse.  ``prefix`` goes before each schema name,
+    so that a run has schemas of its own; models then live in ``<prefix>main``."""
+
+    def __init__(self, prefix: str = ""):
+        self.prefix = prefix
+
+    def __call__(self, name: str) -> str:
+        if not self.prefix:
+            return name
+        return self.prefix + name if "." in name else f"{self.prefix}main.{name}"
+
+
 def with_battle_month(log: DataFrame) -> DataFrame:
     """Adds the landing table's partition column: the ``yyyyMM`` prefix of
     the battle time.  It is part of the key, so equal keys share it and a
@@ -36,67 +51,113 @@ def with_battle_month(log: DataFrame) -> DataFrame:
     return log.withColumn(BATTLE_MONTH, F.substring(F.col("battleTime"), 1, 6))
 
 
-def log_order():
+def log_order() -> list[Column]:
+    """Load order inside a battle batch (first wins): a total order on the content."""
     return [F.to_json(F.col("team_cards")), F.to_json(F.col("opponent_cards"))]
 
 
+def player_order() -> list[Column]:
+    """Load order of player snapshots (last wins): battles only ever increase."""
+    return [F.col("battleCount"), F.col("bestTrophies"), F.col("trophies")]
+
+
+def clan_order() -> list[Column]:
+    return [F.col("clanScore"), F.col("members")]
+
+
 def _loc(warehouse: str, name: str) -> str:
     return f"{warehouse.rstrip('/')}/{name.replace('.', '/')}/v-{uuid.uuid4().hex[:12]}"
 
 
 def _rebuild(spark: SparkSession, warehouse: str, name: str, df: DataFrame) -> DataFrame:
     loc = _loc(warehouse, name)
-    df.write.mode("error").parquet(loc)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{loc}'")
-    return spark.table(name)
+    out = replace_table(spark, name, df, loc)
+    drop_versions(spark, loc.rpartition("/")[0], loc)
+    return out
 
 
-def init_warehouse(spark: SparkSession, warehouse: str, reset: bool = False) -> None:
-    """Create the landing tables (IF NOT EXISTS); ``reset`` drops them first."""
-    ensure_schemas(spark, "raw", "staging")
+def init_warehouse(spark: SparkSession, warehouse: str, reset: bool = False, prefix: str = "") -> None:
+    """Create the landing tables and the fact table (IF NOT EXISTS); ``reset``
+    drops them first."""
+    n = Names(prefix)
+    ensure_schemas(spark, prefix + "raw", prefix + "staging", *([prefix + "main"] if prefix else []))
     if reset:
-        for name in [LOG, PLAYER_STATS, CLAN_STATS, CARDS, "fct_battle", "player_dim",
+        for name in [LOG, PLAYER_STATS, CLAN_STATS, CARDS, SEASONS, TOP_PLAYERS, "fct_battle", "player_dim",
                      "date_dim", "deck_dim", "card_dim", "clan_dim"]:
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
-    # the battle log is partitioned by battle month, a function of its key,
-    # so each keyed load reads only the months its batch touches
-    create_table(spark, LOG, S.PLAYER_BATTLE_LOG + f", {BATTLE_MONTH} STRING", _loc(warehouse, LOG),
-                 partition_by=[BATTLE_MONTH])
-    for name, ddl in [(PLAYER_STATS, S.STG_PLAYER_STATS),
-                      (CLAN_STATS, S.STG_CLAN_STATS), (CARDS, S.STG_CARDS)]:
-        create_table(spark, name, ddl, _loc(warehouse, name))
+            spark.sql(f"DROP TABLE IF EXISTS {n(name)}")
+    # the battle log and the facts are partitioned by battle month, a function
+    # of the key: a keyed load reads, and a rebuild writes, the months it touches
+    for name, ddl in [(LOG, S.PLAYER_BATTLE_LOG), ("fct_battle", S.FCT_BATTLE)]:
+        create_table(spark, n(name), f"{ddl}, {BATTLE_MONTH} STRING", _loc(warehouse, n(name)),
+                     partition_by=[BATTLE_MONTH])
+    for name, ddl in [(PLAYER_STATS, S.STG_PLAYER_STATS), (CLAN_STATS, S.STG_CLAN_STATS),
+                      (CARDS, S.STG_CARDS), (TOP_PLAYERS, S.STG_TOP_PLAYERS_BY_SEASON)]:
+        create_table(spark, n(name), ddl, _loc(warehouse, n(name)))
+
+
+def with_fact_month(fct: DataFrame) -> DataFrame:
+    return fct.withColumn(BATTLE_MONTH, F.substring("date_id", 1, 6))
+
+
+def rebuild_facts(spark: SparkSession, battles: DataFrame, name: str, log_name: str) -> DataFrame:
+    """Rebuild the fact partitions of the months in ``battles`` from the log."""
+    months = battles.select(F.substring("battleTime", 1, 6).alias(BATTLE_MONTH)).distinct()
+    span = months.agg(F.min(BATTLE_MONTH).alias("a"), F.max(BATTLE_MONTH).alias("b"))
+    touched = spark.table(log_name).where(F.col(BATTLE_MONTH).between(
+        span.select("a").scalar(), span.select("b").scalar())).join(months, BATTLE_MONTH, "left_semi")
+    fct = with_fact_month(M.fct_battle(touched.drop(BATTLE_MONTH)))
+    setting, before = "spark.sql.sources.partitionOverwriteMode", spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set(setting, "dynamic")     # an insert into a table takes this from the session only
+    try:
+        fct.write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(setting, before)
+    return spark.table(name).drop(BATTLE_MONTH)
 
 
 def refresh_daily(spark: SparkSession, warehouse: str, battles: DataFrame,
                   player_stats: DataFrame | None = None, categories=None,
-                  reset: bool = False) -> dict[str, DataFrame]:
+                  reset: bool = False, prefix: str = "") -> dict[str, DataFrame]:
     """Battle log load, fct_battle, player stats and player_dim (+ log-derived dims)."""
-    init_warehouse(spark, warehouse, reset)
-    insert_ignore_table(spark, LOG, with_battle_month(battles), S.PLAYER_BATTLE_LOG_KEY,
+    n = Names(prefix)
+    init_warehouse(spark, warehouse, reset, prefix)
+    insert_ignore_table(spark, n(LOG), with_battle_month(battles), S.PLAYER_BATTLE_LOG_KEY,
                         order=log_order(), prune_on=BATTLE_MONTH)
     if player_stats is not None:
-        upsert_table(spark, PLAYER_STATS, player_stats, S.STATS_KEY,
-                     base=_loc(warehouse, PLAYER_STATS))
-    log = spark.table(LOG).drop(BATTLE_MONTH)
-    out = {"fct_battle": _rebuild(spark, warehouse, "fct_battle", M.fct_battle(log)),
-           "player_dim": _rebuild(spark, warehouse, "player_dim",
-                                  M.player_dim(spark.table(PLAYER_STATS))),
-           "date_dim": _rebuild(spark, warehouse, "date_dim", M.date_dim(log))}
-    if spark.catalog.tableExists(CARDS):
-        out["deck_dim"] = _rebuild(spark, warehouse, "deck_dim",
-                                   M.deck_dim(log, spark.table(CARDS), categories=categories))
+        upsert_table(spark, n(PLAYER_STATS), player_stats, S.STATS_KEY, order=player_order(),
+                     base=_loc(warehouse, n(PLAYER_STATS)))
+    log = spark.table(n(LOG)).drop(BATTLE_MONTH)
+    out = {"fct_battle": rebuild_facts(spark, battles, n("fct_battle"), n(LOG)),
+           "player_dim": _rebuild(spark, warehouse, n("player_dim"), M.player_dim(spark.table(n(PLAYER_STATS)))),
+           "date_dim": _rebuild(spark, warehouse, n("date_dim"), M.date_dim(log))}
+    if spark.catalog.tableExists(n(CARDS)):
+        out["deck_dim"] = _rebuild(spark, warehouse, n("deck_dim"),
+                                   M.deck_dim(log, spark.table(n(CARDS)), categories=categories))
     return out
 
 
 def refresh_all(spark: SparkSession, warehouse: str, battles: DataFrame, cards: DataFrame,
-                player_stats: DataFrame, clan_stats: DataFrame,
-                categories=None, reset: bool = False) -> dict[str, DataFrame]:
-    """Everything: card catalogue replace, clan stats upsert, all models."""
-    init_warehouse(spark, warehouse, reset)
-    _rebuild(spark, warehouse, CARDS, cards)
-    upsert_table(spark, CLAN_STATS, clan_stats, S.STATS_KEY, base=_loc(warehouse, CLAN_STATS))
-    out = refresh_daily(spark, warehouse, battles, player_stats, categories)
-    out["card_dim"] = _rebuild(spark, warehouse, "card_dim", M.card_dim(spark.table(CARDS)))
-    out["clan_dim"] = _rebuild(spark, warehouse, "clan_dim", M.clan_dim(spark.table(CLAN_STATS)))
+                player_stats: DataFrame, clan_stats: DataFrame, categories=None, reset: bool = False,
+                seasons: DataFrame | None = None, top_players: DataFrame | None = None,
+                prefix: str = "") -> dict[str, DataFrame]:
+    """Everything: card catalogue and seasons replaced, top players inserted
+    (by position, known ones ignored), clan stats upsert, all models.
+
+    ``seasons`` holds season ids; ``top_players`` the ranking rows of each
+    season, best rank first, with the constant ``season_id`` last.
+    """
+    n = Names(prefix)
+    init_warehouse(spark, warehouse, reset, prefix)
+    _rebuild(spark, warehouse, n(CARDS), cards)
+    upsert_table(spark, n(CLAN_STATS), clan_stats, S.STATS_KEY, order=clan_order(),
+                 base=_loc(warehouse, n(CLAN_STATS)))
+    out = refresh_daily(spark, warehouse, battles, player_stats, categories, prefix=prefix)
+    if seasons is not None:
+        out["stg_seasons"] = _rebuild(spark, warehouse, n(SEASONS), M.season_urls(seasons))
+    if top_players is not None:
+        insert_ignore_table(spark, n(TOP_PLAYERS), top_players, S.STG_TOP_PLAYERS_KEY,
+                            order=[F.col("rank")], by_name=False)
+        out["stg_top_players_by_season"] = spark.table(n(TOP_PLAYERS))
+    out["card_dim"] = _rebuild(spark, warehouse, n("card_dim"), M.card_dim(spark.table(n(CARDS))))
+    out["clan_dim"] = _rebuild(spark, warehouse, n("clan_dim"), M.clan_dim(spark.table(n(CLAN_STATS))))
     return out

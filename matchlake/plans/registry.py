@@ -9,14 +9,16 @@ decimals.  The library functions themselves return the native types.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DateType, DoubleType, MapType, StructType
 
-from ..session import ensure_checkpoint_dir
+from ..session import shared_dir
 from ..sources import fixtures as fx
 from . import models as M
+from . import refresh as RF
 from . import reports as R
 
 # fixed parameters of the registered queries
@@ -48,30 +50,40 @@ def stable(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*cols)
 
 
+#: Tables written by this application: (application, sf_dir, name) -> path.
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
 class Game:
-    """Lazily derived game tables and models for one scale-factor dir.
+    """The game's tables and models for one scale-factor dir.
 
-    ``landed=True`` materializes the derived battle log once (an eager
-    checkpoint into the shared checkpoint folder), the way production models
-    read a stored landing table: queries whose plan reads the log in several
-    branches (facts, decks, dates) then derive it once instead of per branch.
+    ``landed=True`` reads the battle log, the facts and the deck dimension from
+    Parquet in the shared folder, as production reports read stored tables.
+    They are written once per application and directory, by the first query
+    that needs them; reports then scan only the columns they name.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, landed: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str, landed: bool = True):
         self.spark, self.sf_dir, self.landed = spark, sf_dir, landed
         self.star = fx.load_star(spark, sf_dir)
-        self._log = None
         self._cards = None
 
+    def written(self, name: str, make, partition_by: str | None = None):
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        df = None
+        if key not in _WRITTEN:
+            df, path = make(), shared_dir(self.spark, "game", name)
+            out = df.repartition(partition_by, F.pmod(F.xxhash64("battle_id"), F.lit(4))).write.partitionBy(partition_by) \
+                if partition_by else df.write
+            out.parquet(path)
+            _WRITTEN[key] = path
+        return self.spark.read.schema((df if df is not None else make()).schema).parquet(_WRITTEN[key])
+
     @property
     def log(self):
-        if self._log is None:
-            log = fx.battle_log(self.star)
-            if self.landed:
-                ensure_checkpoint_dir(self.spark)
-                log = log.checkpoint(eager=True)
-            self._log = log
-        return self._log
+        if not self.landed:
+            return fx.battle_log(self.star)
+        return self.written("battle_log", lambda: fx.battle_log(self.star))
 
     @property
     def cards(self):
@@ -80,18 +92,16 @@ class Game:
         return self._cards
 
     def fct(self):
-        return M.fct_battle(self.log)
+        """Facts, made distinct when written and partitioned by month."""
+        return self.written("fct_battle", lambda: RF.with_fact_month(M.fct_battle(self.log)), RF.BATTLE_MONTH)
 
-    def fct_rows(self):
-        """Fact rows before the UNION's DISTINCT: enough for reports that apply
-        their own DISTINCT over fact columns (copies cannot change them), and
-        prunable to the columns those reports read."""
-        return M.fct_battle(self.log, distinct=False)
-
-    def deck(self, dedupe=True, normalize=False):
+    def deck_model(self, dedupe=True, normalize=False):
         return M.deck_dim(self.log, self.cards, dedupe=dedupe,
                           categories=FIXTURE_DECK_CATEGORIES, normalize=normalize)
 
+    def deck(self):
+        return self.written("deck_dim", self.deck_model)
+
     def dates(self):
         return M.date_dim(self.log)
 
@@ -108,49 +118,49 @@ class Game:
 # ---- reports -----------------------------------------------------------------
 
 def q_card_usage_by_rarity(spark, sf_dir):
-    g = Game(spark, sf_dir, landed=True)
+    g = Game(spark, sf_dir)
     return stable(R.card_usage(g.fct(), g.deck(), g.card_dim(), "rarity"))
 
 
 def q_card_usage_by_type(spark, sf_dir):
-    g = Game(spark, sf_dir, landed=True)
+    g = Game(spark, sf_dir)
     return stable(R.card_usage(g.fct(), g.deck(), g.card_dim(), "card_type"))
 
 
 def q_card_usage_fanout(spark, sf_dir):
-    g = Game(spark, sf_dir, landed=True)
-    return stable(R.card_usage(g.fct(), g.deck(dedupe=False), g.card_dim(), "rarity"))
+    g = Game(spark, sf_dir)
+    return stable(R.card_usage(g.fct(), g.deck_model(dedupe=False), g.card_dim(), "rarity"))
 
 
 def q_card_usage_by_cost(spark, sf_dir):
-    g = Game(spark, sf_dir, landed=True)
+    g = Game(spark, sf_dir)
     return stable(R.card_usage_by_cost(g.fct(), g.deck(), g.card_dim()))
 
 
 def q_elixir_cost_by_arena(spark, sf_dir):
-    g = Game(spark, sf_dir, landed=True)
-    return stable(R.elixir_cost_by_arena(g.fct_rows(), g.deck()))
+    g = Game(spark, sf_dir)
+    return stable(R.elixir_cost_by_arena(g.fct(), g.deck()))
 
 
 def _daily(g, exclude="predefined"):
-    return R.deck_usage_daily(g.fct_rows(), g.deck(), g.dates(), as_of=AS_OF,
+    return R.deck_usage_daily(g.fct(), g.deck(), g.dates(), as_of=AS_OF,
                               exclude_selection=exclude)
 
 
 def q_deck_usage_daily(spark, sf_dir):
-    return stable(_daily(Game(spark, sf_dir, landed=True)))
+    return stable(_daily(Game(spark, sf_dir)))
 
 
 def q_deck_usage_inclusive(spark, sf_dir):
-    return stable(_daily(Game(spark, sf_dir, landed=True), exclude=None))
+    return stable(_daily(Game(spark, sf_dir), exclude=None))
 
 
 def q_deck_usage_pivot(spark, sf_dir):
-    return stable(R.deck_usage_pivot(_daily(Game(spark, sf_dir, landed=True))))
+    return stable(R.deck_usage_pivot(_daily(Game(spark, sf_dir)), R.window_days(AS_OF)))
 
 
 def q_deck_usage_trend(spark, sf_dir):
-    return stable(R.deck_usage_trend(_daily(Game(spark, sf_dir, landed=True))))
+    return stable(R.deck_usage_trend(_daily(Game(spark, sf_dir))))
 
 
 def q_card_info(spark, sf_dir):
@@ -161,7 +171,7 @@ def q_card_info(spark, sf_dir):
 # ---- models ------------------------------------------------------------------
 
 def q_fct_battle(spark, sf_dir):
-    return stable(Game(spark, sf_dir).fct())
+    return stable(M.fct_battle(Game(spark, sf_dir).log))
 
 
 def q_date_dim(spark, sf_dir):
@@ -169,15 +179,15 @@ def q_date_dim(spark, sf_dir):
 
 
 def q_deck_dim(spark, sf_dir):
-    return stable(Game(spark, sf_dir).deck())
+    return stable(Game(spark, sf_dir).deck_model())
 
 
 def q_deck_dim_as_written(spark, sf_dir):
-    return stable(Game(spark, sf_dir).deck(dedupe=False))
+    return stable(Game(spark, sf_dir).deck_model(dedupe=False))
 
 
 def q_deck_dim_unordered(spark, sf_dir):
-    return stable(Game(spark, sf_dir).deck(normalize=True))
+    return stable(Game(spark, sf_dir).deck_model(normalize=True))
 
 
 def q_player_dim(spark, sf_dir):
@@ -239,10 +249,8 @@ from ..functions.arrays import flatten_struct  # noqa: E402
 from ..sources import files as FS  # noqa: E402
 from ..sources import json as JS  # noqa: E402
 from ..sources.catalog import export_snapshot, import_snapshot, table_counts  # noqa: E402
-from ..session import shared_dir  # noqa: E402
 from .. import schemas as S  # noqa: E402
 from . import parse as P  # noqa: E402
-from . import refresh as RF  # noqa: E402
 
 BATTLELOG_URL, PLAYER_URL = M.BATTLELOG_URL, M.PLAYER_URL   # tag already percent-encoded
 SPLIT_OLD = "20000101"     # landing batches: battles before / from these days
@@ -259,7 +267,7 @@ def top_players(orders, customer, nation, k: int = 10):
         F.count(F.lit(1)).alias("n"))
     ranked = top_k_per_group(per, ["season_id"], [F.desc("score"), F.asc("o_custkey")], k, "rank")
     j = ranked.join(customer, F.col("o_custkey") == F.col("c_custkey")) \
-              .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+              .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     has = F.col("c_nationkey") != 0
     return j.select(
         F.col("c_name").alias("tag"),
@@ -280,8 +288,10 @@ def q_top_players_per_season(spark, sf_dir):
 
 
 def q_insert_ignore_log(spark, sf_dir):
-    log = RF.with_battle_month(Game(spark, sf_dir, landed=True).log)
-    target = log.where(F.col("battleTime") < SPLIT_OLD)
+    log = RF.with_battle_month(Game(spark, sf_dir).log)
+    stored = shared_dir(spark, "stored-log")
+    log.where(F.col("battleTime") < SPLIT_OLD).repartition(RF.BATTLE_MONTH).write.partitionBy(RF.BATTLE_MONTH).parquet(stored)
+    target = spark.read.schema(log.schema).parquet(stored)
     batch = log.where(F.col("battleTime") >= SPLIT_NEW)
     new = insert_ignore(target, batch, S.PLAYER_BATTLE_LOG_KEY, order=RF.log_order(),
                         prune_on=RF.BATTLE_MONTH)
@@ -299,14 +309,14 @@ def _stats_pair(spark, sf_dir):
 
 def q_upsert_stats(spark, sf_dir):
     target, batch = _stats_pair(spark, sf_dir)
-    return stable(upsert(target, batch, S.STATS_KEY))
+    return stable(upsert(target, batch, S.STATS_KEY, RF.player_order()))
 
 
 def q_upsert_partial_columns(spark, sf_dir):
     target, batch = _stats_pair(spark, sf_dir)
     part = batch.select("tag", "wins", "losses", "battleCount",
                         F.lit(None).cast("int").alias("threeCrownWins"))
-    return stable(upsert(target, part, S.STATS_KEY))
+    return stable(upsert(target, part, S.STATS_KEY, [F.col("battleCount")]))
 
 
 def q_pk_violations(spark, sf_dir):
@@ -323,7 +333,7 @@ def q_check_violations(spark, sf_dir):
 
 
 def q_orphan_facts(spark, sf_dir):
-    g = Game(spark, sf_dir, landed=True)
+    g = Game(spark, sf_dir)
     dims = {"player_dim": (M.player_dim(g.player_stats()), "player_id", "player_id"),
             "clan_dim": (M.clan_dim(g.clan_stats()), "clan_id", "clan_id"),
             "deck_dim": (g.deck(), "deck_id", "deck_id"),
@@ -420,9 +430,9 @@ def q_parse_clans(spark, sf_dir):
 def q_csv_to_parquet(spark, sf_dir):
     log = Game(spark, sf_dir).log
     base = shared_dir(spark, "ladder")
-    # one dump folder per month, each written by one task
+    # one dump folder per month, each written by several tasks
     ladder = ladder_frame(log).withColumn("dump", F.substring("battleTime", 1, 6))
-    ladder.repartition("dump").write.mode("overwrite").partitionBy("dump") \
+    ladder.repartition("dump", F.pmod(F.xxhash64("battleTime"), F.lit(4))).write.mode("overwrite").partitionBy("dump") \
           .option("header", True).csv(base + "/csv")
     out = FS.csv_to_parquet(spark, base + "/csv", base + "/parquet",
                             schema="`winner.tag` STRING, `loser.tag` STRING, battleTime STRING",
@@ -435,26 +445,52 @@ def q_stream_ingest(spark, sf_dir):
     base = shared_dir(spark, "stream")
     log.write.mode("overwrite").json(base + "/landing")
     from ..streaming.ingest import stream_insert_ignore
-    stream_insert_ignore(spark, base + "/landing", base + "/table", base + "/checkpoint")
-    t = spark.read.schema(S.PLAYER_BATTLE_LOG).parquet(base + "/table")
-    return stable(t.select(*S.PLAYER_BATTLE_LOG_KEY))
+    stream_insert_ignore(spark, base + "/landing", base + "/table", base + "/checkpoint", order=RF.log_order())
+    return stable(spark.read.schema(S.PLAYER_BATTLE_LOG).parquet(base + "/table").drop(RF.BATTLE_MONTH))
+
+
+_REFRESHED: dict[tuple[str, str], dict] = {}
+
+
+def _refreshed(spark, sf_dir):
+    """All tables of one monthly refresh, run once per application and directory
+    in schemas of its own."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _REFRESHED:
+        g = Game(spark, sf_dir)
+        st = g.star
+        _REFRESHED[key] = RF.refresh_all(
+            spark, shared_dir(spark, "warehouse"), g.log, g.cards, g.player_stats(), g.clan_stats(),
+            FIXTURE_DECK_CATEGORIES, seasons=fx.season_ids(st["orders"]),
+            top_players=top_players(st["orders"], st["customer"], st["nation"]),
+            prefix=f"r{uuid.uuid4().hex[:8]}_")
+    return _REFRESHED[key]
 
 
 def q_refresh_daily(spark, sf_dir):
+    """Facts after the battles came in two daily loads that overlap by a year."""
     g = Game(spark, sf_dir)
-    wh = shared_dir(spark, "warehouse")
-    RF.init_warehouse(spark, wh, reset=True)
-    RF._rebuild(spark, wh, RF.CARDS, g.cards)
-    out = RF.refresh_daily(spark, wh, g.log, g.player_stats(), FIXTURE_DECK_CATEGORIES)
+    wh, prefix = shared_dir(spark, "warehouse"), f"d{uuid.uuid4().hex[:8]}_"
+    RF.init_warehouse(spark, wh, prefix=prefix)
+    RF._rebuild(spark, wh, RF.Names(prefix)(RF.CARDS), g.cards)
+    for part in (F.col("battleTime") < SPLIT_OLD, F.col("battleTime") >= SPLIT_NEW):
+        out = RF.refresh_daily(spark, wh, g.log.where(part), g.player_stats(), FIXTURE_DECK_CATEGORIES, prefix=prefix)
     return stable(out["fct_battle"])
 
 
-def q_snapshot_roundtrip(spark, sf_dir):
-    g = Game(spark, sf_dir, landed=True)
+def _refreshed_query(name):
+    def q(spark, sf_dir):
+        return stable(_refreshed(spark, sf_dir)[name])
+    return q
+
+
+def _snapshot(spark, sf_dir):
+    """Every table exported to files and imported again, in schemas of its own."""
+    g = Game(spark, sf_dir)
     st = g.star
     frames = {
         "player_dim": M.player_dim(g.player_stats()), "deck_dim": g.deck(),
-        "date_dim": g.dates(), "fct_battle": g.fct(), "clan_dim": M.clan_dim(g.clan_stats()),
+        "date_dim": g.dates(), "fct_battle": g.fct().drop(RF.BATTLE_MONTH), "clan_dim": M.clan_dim(g.clan_stats()),
         "card_dim": g.card_dim(), "raw.player_battle_log": g.log,
         "staging.stg_top_players_by_season": top_players(st["orders"], st["customer"], st["nation"]),
         "staging.stg_seasons": M.season_urls(fx.season_ids(st["orders"])),
@@ -462,8 +498,19 @@ def q_snapshot_roundtrip(spark, sf_dir):
         "staging.stg_clan_stats": g.clan_stats()}
     base = shared_dir(spark, "snapshot")
     export_snapshot(frames, base + "/files")
-    imported = import_snapshot(spark, base + "/files", base + "/tables")
-    return table_counts(imported)
+    return import_snapshot(spark, base + "/files", base + "/tables", prefix=f"s{uuid.uuid4().hex[:8]}_")
+
+
+def q_snapshot_roundtrip(spark, sf_dir):
+    return table_counts(_snapshot(spark, sf_dir))
+
+
+def q_snapshot_facts(spark, sf_dir):
+    return stable(_snapshot(spark, sf_dir)["fct_battle"])
+
+
+def q_snapshot_top_players(spark, sf_dir):
+    return stable(_snapshot(spark, sf_dir)["staging.stg_top_players_by_season"])
 
 
 QUERIES.update({
@@ -485,6 +532,15 @@ QUERIES.update({
     "csv_to_parquet": q_csv_to_parquet,
     "stream_ingest": q_stream_ingest,
     "refresh_daily": q_refresh_daily,
+    "refresh_player_dim": _refreshed_query("player_dim"),
+    "refresh_date_dim": _refreshed_query("date_dim"),
+    "refresh_deck_dim": _refreshed_query("deck_dim"),
+    "refresh_card_dim": _refreshed_query("card_dim"),
+    "refresh_clan_dim": _refreshed_query("clan_dim"),
+    "refresh_season_urls": _refreshed_query("stg_seasons"),
+    "refresh_top_players_per_season": _refreshed_query("stg_top_players_by_season"),
+    "snapshot_facts": q_snapshot_facts,
+    "snapshot_top_players": q_snapshot_top_players,
     "snapshot_roundtrip": q_snapshot_roundtrip,
 })
 
@@ -526,3 +582,151 @@ def q_first_side_fields(spark, sf_dir):
 
 
 QUERIES["first_side_fields"] = q_first_side_fields
+
+
+# ---- landed files, keys, small projections -----------------------------------
+def q_fct_battle_keys(spark, sf_dir):
+    return Game(spark, sf_dir).fct().select("battle_id", "player_id", "deck_id", "clan_id")
+
+
+def q_exclude_star(spark, sf_dir):
+    part = fx.read_table(spark, sf_dir, "part")
+    return stable(part.withColumn("doubled", F.col("p_retailprice") * 2).drop("p_retailprice"))
+
+
+def q_literal_season(spark, sf_dir):
+    return stable(fx.read_table(spark, sf_dir, "part").withColumn("season_id", F.lit("2022-10")))
+
+
+def q_request_rankings(spark, sf_dir):
+    seasons = M.season_urls(fx.season_ids(fx.read_table(spark, sf_dir, "orders")))
+    return seasons.select("id", M.ranking_url("query_url", 10).alias("ranking_url"))
+
+
+def q_request_clans(spark, sf_dir):
+    n = fx.read_table(spark, sf_dir, "nation").select(F.concat(F.lit("#C"), F.col("n_nationkey").cast("string")).alias("tag"))
+    return n.select("tag", format_url(M.CLAN_URL, encode_tag("tag")).alias("clan_url"))
+
+
+def q_landed_seasons(spark, sf_dir):
+    """Season ids written as ``{"items": [...]}`` documents and read back."""
+    o = fx.read_table(spark, sf_dir, "orders").select((F.col("o_orderdate") + F.expr("INTERVAL 22 YEAR")).alias("d"))
+    ids = o.select(F.date_format("d", "yyyy-MM").alias("id"), F.year("d").alias("y")).distinct()
+    path = shared_dir(spark, "landed-seasons")
+    ids.groupBy("y").agg(F.collect_list(F.struct("id")).alias("items")).select(
+        F.to_json(F.struct("items")).alias("value")).write.text(path)
+    return stable(M.season_urls(JS.read_items(spark, path, "id STRING", multi_line=False)))
+
+
+def landed_battle_documents(log):
+    """The log as API documents with the oddities of real ones: league 1 has a
+    second team member, 2 no opponent, 3 no clan field, 4 a Mirror."""
+    league = F.col("leagueNumber")
+    body = P.battle_documents(log.withColumns({
+        "team_cards": F.when(league == 4, F.transform("team_cards", lambda c, i: c.withField(
+            "name", F.when(i == 0, F.lit("Mirror")).otherwise(c["name"])))).otherwise(F.col("team_cards")),
+        **{c: F.when(league != 3, F.col(c)) for c in ("team_clan_tag", "team_clan_name", "team_clan_badgeId")}}))
+    doc = F.from_json("body", P.BATTLE)
+    return body.select(doc.alias("b")).select(F.to_json(F.struct(
+        *[F.col(f"b.{c}").alias(c) for c in ("type", "battleTime", "isLadderTournament", "arena", "gameMode",
+                                             "deckSelection", "isHostedMatch", "leagueNumber")],
+        F.when(F.col("b.leagueNumber") == 1, F.concat("b.team", "b.opponent")).otherwise(F.col("b.team")).alias("team"),
+        F.when(F.col("b.leagueNumber") == 2, F.slice("b.opponent", 1, 0)).otherwise(F.col("b.opponent")).alias("opponent"),
+    )).alias("value"))
+
+
+def q_landed_battles(spark, sf_dir):
+    """Battle arrays as an API lands them, written to files and read back."""
+    path = shared_dir(spark, "landed-battles")
+    docs = landed_battle_documents(Game(spark, sf_dir).log)
+    # some hundred battles to an array, as a player's log has
+    groups = docs.groupBy(F.spark_partition_id().alias("p"), F.pmod(F.xxhash64("value"), F.lit(50)).alias("g")).agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]")).alias("value"))
+    groups.select("value").write.text(path)
+    return stable(P.parse_battle_log(JS.read_array(spark, path, P.BATTLE, multi_line=False)))
+
+
+def q_landed_players(spark, sf_dir):
+    """Player documents, one object each, with missing fields; ladder variant (S3)."""
+    g = Game(spark, sf_dir)
+    ps = g.player_stats().join(g.star["customer"].select(F.col("c_name").alias("tag"), "c_nationkey"), "tag")
+    doc = F.to_json(F.struct(
+        *[F.col(c) for c in S.names(S.STG_PLAYER_STATS)], F.lit("x").alias("unknownField"),
+        F.when(F.col("expLevel") % 2 == 0, F.lit("member")).alias("role"),
+        F.when(F.col("expLevel") % 3 == 0, F.struct(
+            F.concat(F.lit("Card "), F.col("expLevel").cast("string")).alias("name"),
+            (F.lit(26000000).cast("bigint") + F.col("expLevel")).alias("id"))).alias("currentFavoriteCard"),
+        F.when(F.col("c_nationkey") != 0, F.struct(
+            F.concat(F.lit("#C"), F.col("c_nationkey").cast("string")).alias("tag"))).alias("clan")))
+    path = shared_dir(spark, "landed-players")
+    ps.select(doc.alias("value")).write.text(path)
+    return stable(P.parse_player_ladder(JS.read_object(spark, path, P.PLAYER_LADDER, multi_line=False)))
+
+
+def _rename_parts(spark, folder: str, suffix: str) -> None:
+    """``folder/dump=NAME/part-...`` to ``folder/NAME<suffix>``: one file per month of the log."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for d in store.listStatus(path):
+        name = d.getPath().getName()
+        if name.startswith("dump="):
+            for f in store.listStatus(d.getPath()):
+                if f.getPath().getName().startswith("part-"):
+                    store.rename(f.getPath(), spark._jvm.org.apache.hadoop.fs.Path(folder, name[5:] + suffix))
+            store.delete(d.getPath(), True)
+
+
+def q_landed_ladder(spark, sf_dir):
+    """Monthly CSV dumps with dates in their names -> Parquet -> one table named
+    by its range of dates (S6, S7, K8, K11, D11, F27)."""
+    base = shared_dir(spark, "dumps")
+    month = F.concat(F.lit("x"), F.substring("battleTime", 5, 2), F.lit("01"), F.substring("battleTime", 1, 4), F.lit("y"))
+    rows = ladder_frame(Game(spark, sf_dir).log).withColumn("dump", month).drop("battleTime")
+    rows.repartition("dump").write.partitionBy("dump").option("header", True).csv(base + "/csv")
+    _rename_parts(spark, base + "/csv", "_" + FS.LADDER_SUFFIX)
+    rows.limit(1).drop("dump").write.option("header", True).csv(base + "/csv/notes.csv")    # not a dump: skipped
+    out = FS.csv_to_parquet(spark, base + "/csv", base + "/parquet")
+    label = FS.date_range_label(out.select(F.col("source_file").alias("file_name")).distinct())
+    table = ladder_table(spark, base + "/parquet", base + "/table", schema_name=f"l{uuid.uuid4().hex[:8]}_raw",
+                         names=out.select(F.col("source_file").alias("file_name")).distinct())
+    assert table.split(".")[1] == label.first()["table_name"]
+    return stable(spark.table(table).select("`winner.tag`", "`loser.tag`", "source_file",
+                                            F.lit(table.split(".")[1]).alias("table_name")))
+
+
+def q_copied_players(spark, sf_dir):
+    """A Parquet file copied into a table twice: appended by name, content kept."""
+    stats = Game(spark, sf_dir).player_stats()
+    base, schema = shared_dir(spark, "copy"), f"c{uuid.uuid4().hex[:8]}"
+    stats.select(*reversed(stats.columns)).write.parquet(base + "/stats.parquet")
+    ensure_schemas(spark, schema)
+    create_table(spark, f"{schema}.stats", S.STG_PLAYER_STATS, base + "/table")
+    for _ in range(2):
+        append_parquet(spark, f"{schema}.stats", base + "/stats.parquet", S.STG_PLAYER_STATS)
+    return stable(spark.table(f"{schema}.stats"))
+
+
+def q_doubled_keys(spark, sf_dir):
+    """A batch with every key twice and some NULL keys: insert-or-ignore keeps the
+    first load, upsert (by position) the last; NULL keys never match (W2, K4-K7)."""
+    stats = Game(spark, sf_dir).player_stats()
+    tag = F.when(F.col("expLevel") != 40, F.col("tag"))
+    batch = stats.select(tag.alias("a"), F.explode(F.array(F.lit(1), F.lit(2))).alias("c"), "wins").select(
+        "a", F.concat(F.lit("load "), F.col("c").cast("string")).alias("b"), (F.col("wins") + F.col("c")).alias("w"),
+        F.col("c").alias("at"))
+    empty = spark.createDataFrame([], "tag STRING, name STRING, wins INT, fetch INT")
+    key = F.when(F.col("tag").isNotNull(), F.col("wins"))
+    first = insert_ignore(empty, batch, ["tag"], order=[F.col("fetch")], by_name=False)
+    last = upsert(empty, batch, ["tag"], order=[F.col("fetch")], by_name=False)
+    return first.select("tag", F.col("name").alias("kept_first")).alias("f").join(
+        last.select("tag", F.col("name").alias("kept_last"), key.alias("last_wins")).alias("l"),
+        F.expr("f.tag <=> l.tag")).select("f.tag", "kept_first", "kept_last", "last_wins")
+
+
+from ..sources.catalog import append_parquet, create_table, ensure_schemas, ladder_table  # noqa: E402
+
+QUERIES.update({
+    "fct_battle_keys": q_fct_battle_keys, "exclude_star": q_exclude_star, "literal_season": q_literal_season,
+    "request_rankings": q_request_rankings, "request_clans": q_request_clans, "landed_seasons": q_landed_seasons,
+    "landed_battles": q_landed_battles, "landed_players": q_landed_players, "landed_ladder": q_landed_ladder,
+    "copied_players": q_copied_players, "doubled_keys": q_doubled_keys})

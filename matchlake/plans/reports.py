@@ -94,8 +94,14 @@ def deck_usage_daily(fct: DataFrame, deck: DataFrame, dates: DataFrame,
     selection is dropped like SQL ``<>`` drops it; ``exclude_selection=None``
     keeps every selection method.  The DISTINCT over (battle, day, deck)
     absorbs copies, so ``fct`` may be the fact rows before their DISTINCT.
+
+    The window also stands on the facts' own day key (and on their month, if
+    they are partitioned by ``battle_month``), so it reaches the scan.
     """
-    f = fct
+    since = F.date_format(F.date_sub(_as_of(as_of), days), "yyyyMMdd")
+    f = fct.where(F.col("date_id") > since)
+    if "battle_month" in fct.columns:
+        f = f.where(F.col("battle_month") >= F.substring(since, 1, 6))
     if exclude_selection is not None:
         f = f.where(F.col("deck_selection_method") != F.lit(exclude_selection))
     f = f.select("battle_id", "deck_id", "date_id")
@@ -108,11 +114,17 @@ def deck_usage_daily(fct: DataFrame, deck: DataFrame, dates: DataFrame,
     return out.orderBy(F.asc("battle_date"), F.desc("usage"))
 
 
+def window_days(as_of: _dt.date, days: int = TREND_DAYS) -> list[_dt.date]:
+    """The days of a window that ends at ``as_of``."""
+    return [as_of - _dt.timedelta(days=k) for k in range(days - 1, -1, -1)]
+
+
 def deck_usage_pivot(daily: DataFrame, dates: list | None = None) -> DataFrame:
     """One column per day (``yyyy-MM-dd``), SUM(usage), missing -> 0.
 
-    The day values are bounded by the trend window, so collecting them (when
-    not given) moves at most ``days`` values to the driver.
+    With ``dates`` given (e.g. :func:`window_days`) those are the columns, and
+    a day without battles is a column of zeros.  Otherwise the observed days
+    are, at most as many as the window has.
     """
     if dates is None:
         # materialize once in the shared checkpoint folder: the day list and

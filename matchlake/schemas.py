@@ -52,8 +52,6 @@ STG_CLAN_STATS = (
     "location_name STRING, is_country BOOLEAN")
 STATS_KEY = ["tag"]
 
-CARD_IMAGES = "card_name STRING, url STRING"
-
 # ---- fixed values: warehouse tables (UBIGINT keys become BIGINT) -------------
 FCT_BATTLE = (
     "battle_id STRING, date_id STRING, player_id BIGINT, deck_id BIGINT, clan_id BIGINT, "

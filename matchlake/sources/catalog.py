@@ -7,6 +7,8 @@ table at it (or returns the new path for path-based tables).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,36 @@ def create_table(spark: SparkSession, name: str, schema_ddl: str, location: str,
               f"LOCATION '{location}'")
 
 
+def use_schema(spark: SparkSession, name: str) -> None:
+    """USE schema (K3): unqualified names then mean its tables."""
+    spark.catalog.setCurrentDatabase(name)
+
+
+def replace_table(spark: SparkSession, name: str, df: DataFrame, location: str) -> DataFrame:
+    """CREATE OR REPLACE TABLE ... AS SELECT (K1) without a moment in which
+    readers find no table: the new content is written to ``location`` first,
+    then the table is pointed at it."""
+    df.write.mode("error").parquet(location)
+    if spark.catalog.tableExists(name):
+        swap_location(spark, name, location)
+    else:
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{location}'")
+    return spark.table(name)
+
+
+def drop_versions(spark: SparkSession, folder: str, current: str, keep: int = 1) -> int:
+    """Remove the ``v-...`` folders of a rewritten table but for the current one
+    and the ``keep`` newest others, which running readers may still use."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = sorted((f for f in store.listStatus(path) if f.getPath().getName().startswith("v-")
+                  and f.getPath().getName() != current.rstrip("/").rpartition("/")[2]),
+                 key=lambda f: -f.getModificationTime())
+    for f in old[keep:]:
+        store.delete(f.getPath(), True)
+    return len(old[keep:])
+
+
 def write_table(df: DataFrame, name: str, location: str, mode: str = "overwrite") -> None:
     """Materialize a model as a table at an explicit location (K1/K2/K9).
 
@@ -70,15 +102,15 @@ def insert_ignore_table(spark: SparkSession, name: str, batch: DataFrame, keys:
 
 
 def upsert_table(spark: SparkSession, name: str, batch: DataFrame, keys: list[str],
-                 order=None, base: str | None = None) -> str:
-    """INSERT OR REPLACE ... BY NAME into a catalog table (K6/K7).
+                 order=None, base: str | None = None, by_name: bool = True) -> str:
+    """INSERT OR REPLACE into a catalog table, by name (K6) or by position (K7).
 
     Writes the new content to a new directory under the shared folder, then
     swaps the table location; readers see the old or the new table, never a
     half-written one.  Returns the new location.
     """
     target = spark.table(name)
-    out = upsert(target, batch, keys, order)
+    out = upsert(target, batch, keys, order, by_name)
     loc = base or shared_dir(spark, "tables", name.replace(".", "_"))
     out.write.mode("error").parquet(loc)
     swap_location(spark, name, loc)
@@ -86,20 +118,23 @@ def upsert_table(spark: SparkSession, name: str, batch: DataFrame, keys: list[st
 
 
 def import_snapshot(spark: SparkSession, src_dir: str, dest_dir: str,
-                    tables: dict[str, str] | None = None) -> dict[str, DataFrame]:
+                    tables: dict[str, str] | None = None, prefix: str = "") -> dict[str, DataFrame]:
     """DDL + one Parquet file per table -> catalog tables.
 
     File names follow ``schema_table.parquet`` (``main`` tables unprefixed).
+    ``prefix`` goes before the schema names, for a set of schemas of its own.
     """
     tables = tables or S.SNAPSHOT_TABLES
-    ensure_schemas(spark, "raw", "staging")
     out = {}
     for t, ddl in tables.items():
         fname = t.replace(".", "_") + ".parquet"
         df = spark.read.schema(ddl).parquet(f"{src_dir.rstrip('/')}/{fname}")
         loc = f"{dest_dir.rstrip('/')}/{t.replace('.', '/')}"
-        write_table(df, t, loc)
-        out[t] = spark.table(t)
+        name = t if not prefix else f"{prefix}{t}" if "." in t else f"{prefix}main.{t}"
+        if "." in name:
+            ensure_schemas(spark, name.split(".")[0])
+        write_table(df, name, loc)
+        out[t] = spark.table(name)
     return out
 
 
@@ -125,15 +160,15 @@ def sql_over(spark: SparkSession, query: str, **frames: DataFrame) -> DataFrame:
 
 
 def ladder_table(spark: SparkSession, parquet_dir: str, dest_dir: str,
-                 schema_name: str = "raw") -> str:
+                 schema_name: str = "raw", names: DataFrame | None = None) -> str:
     """CREATE OR REPLACE TABLE raw.raw_battles_<first>_<last> from a dump
-    directory (D11); the dates come from the file names.  Only the one-row
-    label reaches the driver.  Returns the table name."""
+    directory (D11); the dates come from the file names, or from ``names``
+    (file_name) where the files themselves are named otherwise.  Only the
+    one-row label reaches the driver.  Returns the table name."""
     from .files import date_range_label, read_parquet_dir, source_file_names
-    df = read_parquet_dir(spark, parquet_dir)
-    label = date_range_label(source_file_names(df)).first()["table_name"]
+    df = spark.read.parquet(parquet_dir) if names is not None else read_parquet_dir(spark, parquet_dir)
+    label = date_range_label(source_file_names(df) if names is None else names).first()["table_name"]
     name = f"{schema_name}.{label}"
     ensure_schemas(spark, schema_name)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    write_table(df, name, f"{dest_dir.rstrip('/')}/{label}")
+    replace_table(spark, name, df, f"{dest_dir.rstrip('/')}/{label}/v-{uuid.uuid4().hex[:12]}")
     return name

@@ -14,14 +14,14 @@ def read_ladder_csv(spark: SparkSession, path: str, schema: str | None = None,
                     suffix: str = LADDER_SUFFIX) -> DataFrame:
     """CSV dumps whose file names end with ``suffix``.
 
-    Without a schema the header row names the columns and types are
-    inferred from a sample (the only inferring reader in the package).
+    Without a schema the header row names the columns and types are inferred
+    from all rows (the only inferring reader in the package).
     """
     r = spark.read.option("header", True).option("pathGlobFilter", f"*{suffix}")
     if schema:
         r = r.schema(schema)
     else:
-        r = r.option("inferSchema", True).option("samplingRatio", 0.1)
+        r = r.option("inferSchema", True)
     return r.csv(path)
 
 

@@ -7,11 +7,12 @@ factor.  The Oracle SQL in ``oracle/`` states the same mapping in SQL.
 
 * card            one per distinct ``p_name``: cost ``min(p_size)``, type
                   ``min(p_type)``, rarity ``min(p_brand)``
-* battle          one per order with lines of both statuses
+* battle          one per order with lines
 * battleTime      ``o_orderdate`` as ``yyyyMMdd'T'HHmmss.SSS'Z'``
 * team/opponent   the order's customer / the supplier ``min(l_suppkey)``
 * decks           lines with status 'O' (team) / 'F' (opponent) as card
-                  structs, sorted on (l_linenumber, name, level, cost), first 8
+                  structs, sorted on (l_linenumber, name, level, cost); a side
+                  without lines has an empty list
 * arena           ``'Arena ' || first char of o_orderpriority``, NULL for
                   '4-NOT SPECIFIED'
 * deckSelection   'predefined' when ``o_orderstatus = 'P'`` else 'collection'
@@ -23,9 +24,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.parallel import ensure_parallelism
-from ..operators.topk import top_k_per_group
-
 STAR_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
 # fixed values of the mapping (ids are offsets into the game's id ranges)
@@ -112,58 +110,41 @@ def _support(nationkey: Column, regionkey: Column, rname: Column) -> Column:
          .alias("iconUrls")))
 
 
-def battle_log(t: dict[str, DataFrame], deck_size: int = 8) -> DataFrame:
-    """``raw.player_battle_log`` (38 columns) built from the star tables."""
+def battle_log(t: dict[str, DataFrame]) -> DataFrame:
+    """``raw.player_battle_log`` (38 columns) built from the star tables.
+
+    Every order with lines is a battle; a side without lines has an empty card
+    list.  Cards meet the small part table first, so lineitem is joined once.
+    """
     cards = stg_cards(t["part"]).select("name", "elixir")
-    # spread a scan that arrives in too few splits.  This only fires for
-    # small inputs (fewer splits than the default parallelism), where hashing
-    # by the order cannot be worse than the unsplit scan it replaces; at scale
-    # it is a no-op and the aggregate / window below combine map-side.
-    li = ensure_parallelism(
-        t["lineitem"].select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                             "l_quantity", "l_linestatus"), "l_orderkey")
-    lines = (li.join(t["part"].select("p_partkey", "p_name"),
-                     F.col("l_partkey") == F.col("p_partkey"))
-               .join(cards, F.col("p_name") == F.col("name")))
-
-    # per-order counters (partial aggregation before the shuffle)
+    parts = t["part"].select("p_partkey", "p_name").join(cards, F.col("p_name") == F.col("name"))
+    lines = t["lineitem"].select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_linestatus") \
+        .join(parts, F.col("l_partkey") == F.col("p_partkey")).withColumn("s", _slot_struct())
+
+    of = lambda status, col: F.when(F.col("l_linestatus") == status, F.col(col))
+    strip = lambda a: F.transform(F.array_sort(a), lambda s: F.struct(
+        s.getField("name").alias("name"), s.getField("level").alias("level"),
+        s.getField("elixirCost").alias("elixirCost")))
     per_order = lines.groupBy("l_orderkey").agg(
         F.min("l_suppkey").alias("opp_suppkey"),
         F.count_if(F.col("l_linestatus") == "O").alias("n_team"),
         F.count_if(F.col("l_linestatus") == "F").alias("n_opp"),
-        F.sum(F.when(F.col("l_linestatus") == "O", F.col("l_quantity"))).alias("q_team"),
-        F.sum(F.when(F.col("l_linestatus") == "F", F.col("l_quantity"))).alias("q_opp"),
-    ).where((F.col("n_team") > 0) & (F.col("n_opp") > 0))
-
-    # decks: the first `deck_size` card structs per (order, side); the window
-    # limit runs map-side, so a huge order never travels whole
-    slot = _slot_struct()
-    ranked = top_k_per_group(
-        lines.where(F.col("l_linestatus").isin("O", "F")).withColumn("s", slot),
-        ["l_orderkey", "l_linestatus"],
-        [F.col("l_linenumber"), F.col("name"), F.col("s.level"), F.col("s.elixirCost")],
-        deck_size)
-    strip = lambda a: F.transform(F.array_sort(a), lambda s: F.struct(
-        s.getField("name").alias("name"), s.getField("level").alias("level"),
-        s.getField("elixirCost").alias("elixirCost")))
-    decks = ranked.groupBy("l_orderkey").agg(
-        strip(F.collect_list(F.when(F.col("l_linestatus") == "O", F.col("s")))).alias("team_cards"),
-        strip(F.collect_list(F.when(F.col("l_linestatus") == "F", F.col("s")))).alias("opponent_cards"))
+        F.coalesce(F.sum(of("O", "l_quantity")), F.lit(0)).alias("q_team"),
+        F.coalesce(F.sum(of("F", "l_quantity")), F.lit(0)).alias("q_opp"),
+        strip(F.collect_list(of("O", "s"))).alias("team_cards"),
+        strip(F.collect_list(of("F", "s"))).alias("opponent_cards"))
 
     o = t["orders"].select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
                            "o_orderpriority")
     c = t["customer"].select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     s = t["supplier"].select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
-    # nation / region are fixed-size reference tables (25 / 5 rows)
-    cn = F.broadcast(t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
-                     .select(F.col("n_nationkey").alias("cn_key"), F.col("n_name").alias("cn_name"),
-                             F.col("r_regionkey").alias("cr_key"), F.col("r_name").alias("cr_name")))
-    sn = F.broadcast(t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
-                     .select(F.col("n_nationkey").alias("sn_key"), F.col("n_name").alias("sn_name"),
-                             F.col("r_regionkey").alias("sr_key"), F.col("r_name").alias("sr_name")))
-
-    j = (per_order.join(decks, "l_orderkey")
-         .join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    places = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
+    cn = places.select(F.col("n_nationkey").alias("cn_key"), F.col("n_name").alias("cn_name"),
+                       F.col("r_regionkey").alias("cr_key"), F.col("r_name").alias("cr_name"))
+    sn = places.select(F.col("n_nationkey").alias("sn_key"), F.col("n_name").alias("sn_name"),
+                       F.col("r_regionkey").alias("sr_key"), F.col("r_name").alias("sr_name"))
+
+    j = (per_order.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
          .join(c, F.col("o_custkey") == F.col("c_custkey"))
          .join(s, F.col("opp_suppkey") == F.col("s_suppkey"))
          .join(cn, F.col("c_nationkey") == F.col("cn_key"))
@@ -274,26 +255,5 @@ def season_ids(orders: DataFrame) -> DataFrame:
     return orders.select(F.date_format(F.col("o_orderdate"), "yyyy-MM").alias("id")).distinct()
 
 
-def season_rankings(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    """Per (season, customer) ranking input: total order value in the month."""
-    per = orders.groupBy(F.date_format(F.col("o_orderdate"), "yyyy-MM").alias("season_id"),
-                         F.col("o_custkey")).agg(F.sum("o_totalprice").alias("score"),
-                                                  F.count(F.lit(1)).alias("n"))
-    return per.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-
-
 def load_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {n: read_table(spark, sf_dir, n) for n in STAR_TABLES}
-
-
-def game_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All landing tables of the game, derived lazily from one scale-factor dir."""
-    t = load_star(spark, sf_dir)
-    return {
-        "player_battle_log": battle_log(t),
-        "stg_cards": stg_cards(t["part"]),
-        "stg_player_stats": player_stats(t["customer"], t["orders"]),
-        "stg_clan_stats": clan_stats(t["nation"], t["region"], t["customer"]),
-        "card_images_reference": card_images(t["part"]),
-        "_star": t,
-    }

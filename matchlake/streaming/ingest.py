@@ -1,59 +1,59 @@
 """Incremental battle-log ingest with Structured Streaming.
 
 Landed JSON files -> ``foreachBatch`` insert-or-ignore into a Parquet table
-(optionally preceded by an event-time watermark and
-``dropDuplicatesWithinWatermark(key)``).  The sink is idempotent (an anti join against the
-stored keys), so a micro-batch replayed after an executor or driver loss
-adds nothing twice; progress lives in the checkpoint under the shared
-folder.  ``available_now=True`` drains what has landed and stops, which is
-how a scheduled daily refresh runs it.
+partitioned by battle month.  The sink is idempotent for every key without a
+NULL part (an anti join against the stored keys of the batch's months), so a
+micro-batch replayed after a lost executor or driver adds no such row twice; a
+late battle is stored whenever it comes.  Rows with a NULL key part never match
+stored ones and each delivery of them is kept, as insert-or-ignore does.
+Progress lives in the checkpoint under the shared folder.
+``available_now=True`` drains what has landed and stops, which is how a
+scheduled daily refresh runs it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.dates import parse_battle_time
 from ..operators.writes import insert_ignore
 
+MONTH = "battle_month"
 
-def _target(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    try:
-        return spark.read.schema(ddl).parquet(path)
-    except Exception:  # noqa: BLE001 - first batch: the table has no files yet
-        return spark.createDataFrame([], ddl)
+
+def with_month(rows: DataFrame) -> DataFrame:
+    """Adds the partition column: the ``yyyyMM`` prefix of the battle time."""
+    return rows.withColumn(MONTH, F.substring("battleTime", 1, 6))
+
+
+def create_target(spark: SparkSession, target_dir: str, schema: str) -> None:
+    """Write an empty table so that later reads of a missing or damaged one fail."""
+    empty = spark.createDataFrame([], f"{schema}, {MONTH} STRING")
+    empty.write.mode("ignore").partitionBy(MONTH).parquet(target_dir)
 
 
 def stream_insert_ignore(spark: SparkSession, source_dir: str, target_dir: str,
                          checkpoint_dir: str, keys: list[str] | None = None,
                          schema: str = S.PLAYER_BATTLE_LOG, fmt: str = "json",
-                         watermark: str = "3 days", available_now: bool = True,
-                         max_files_per_trigger: int | None = None, state_dedupe: bool = False):
+                         available_now: bool = True, max_files_per_trigger: int | None = None,
+                         order: list[Column] | None = None):
+    """Within a micro-batch the first row of a key stays, in load ``order`` (by
+    default the landing file's path)."""
     keys = keys or S.PLAYER_BATTLE_LOG_KEY
+    create_target(spark, target_dir, schema)
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = reader.load(source_dir)
-    deduped = src
-    if state_dedupe:
-        # optional: drop re-sent battles across micro-batches in bounded state
-        # (watermarks need TIMESTAMP, not TIMESTAMP_NTZ, event time).  Off by
-        # default: the state shuffle sends every copy of a key to one task,
-        # while the sink below already dedupes each batch with a map-side
-        # combine and ignores keys stored by earlier batches.
-        ev = src.withColumn("__event_time",
-                            parse_battle_time(F.col("battleTime"), strict=False).cast("timestamp"))
-        deduped = ev.withWatermark("__event_time", watermark) \
-                    .dropDuplicatesWithinWatermark(keys).drop("__event_time")
+    src = reader.load(source_dir).withColumn("__file", F.col("_metadata.file_path"))
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
-        rows = batch
-        new = insert_ignore(_target(spark, target_dir, schema), rows, keys)
-        new.write.mode("append").parquet(target_dir)
+        session = batch.sparkSession
+        table = session.read.schema(f"{schema}, {MONTH} STRING").parquet(target_dir).withColumn("__file", F.lit(""))
+        new = insert_ignore(table, with_month(batch), keys, order=order or [F.col("__file")], prune_on=MONTH).drop("__file")
+        new.write.mode("append").partitionBy(MONTH).parquet(target_dir)
 
-    w = deduped.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_dir)
+    w = src.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     q = w.start()
     if available_now:

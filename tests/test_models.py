@@ -92,7 +92,7 @@ def test_card_usage_equals_brute_force_join(spark):
     from tests.conftest import SF_SMALL
     from matchlake.plans.registry import Game
     g = Game(spark, SF_SMALL)
-    fct, deck = g.fct(), g.deck(dedupe=False)
+    fct, deck = g.fct(), g.deck_model(dedupe=False)
     fast = {r.card: r.deck_appearances for r in R.card_usage_counts(fct, deck).collect()}
     brute = (fct.join(deck.select("deck_id", F.explode("cards_list").alias("card")), "deck_id")
                 .groupBy("card").count().collect())
@@ -115,7 +115,8 @@ def test_distinct_reports_accept_raw_fact_rows(spark):
     from tests.conftest import SF_SMALL
     from matchlake.plans.registry import AS_OF, Game
     g = Game(spark, SF_SMALL)
-    doubled = g.fct_rows().unionByName(g.fct_rows())      # every fact row copied
+    raw = M.fct_battle(g.log, distinct=False)
+    doubled = raw.unionByName(raw)      # every fact row copied
     for f in (lambda fct: R.elixir_cost_by_arena(fct, g.deck()),
               lambda fct: R.deck_usage_daily(fct, g.deck(), g.dates(), as_of=AS_OF)):
         def norm(r):  # averages may differ in the last bits with summation order

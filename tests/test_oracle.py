@@ -9,8 +9,7 @@ from tests.conftest import SF_SMALL
 import __spark_entry__ as E
 from scripts.check_oracle import TABLES, digest
 
-SKIP = {"snapshot_roundtrip"}  # rows-only (no oracle)
-NAMES = [n for n in E.queries() if n in E.oracle_sql() and n not in SKIP]
+NAMES = [n for n in E.queries() if n in E.oracle_sql()]
 
 
 @pytest.fixture(scope="module")

@@ -30,7 +30,56 @@ def test_no_python_udf(spark, name):
         assert bad not in p
 
 
-def test_deck_limit_runs_before_the_shuffle(spark):
+def test_lineitem_is_shuffled_without_the_card_names(spark):
+    """Cards meet part first; lineitem is joined once, by part key."""
     from matchlake.sources import fixtures as fx
-    p = plan(fx.battle_log(fx.load_star(spark, SF_SMALL)))
-    assert "WindowGroupLimit" in p
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(fx.battle_log(fx.load_star(spark, SF_SMALL)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(l_partkey" in p
+    scan = [x for x in p.split("\n") if "lineitem.parquet" in x]
+    assert len(scan) == 1 and "l_extendedprice" not in scan[0]
+
+
+def scanned(df, table):
+    df.collect()
+    return [x for x in df._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in x and f"game/{table}" in x]
+
+
+def test_reports_scan_only_their_columns(spark):
+    from matchlake.plans import registry as Q
+    g = Q.Game(spark, SF_SMALL)
+    usage = scanned(Q.R.card_usage(g.fct(), g.deck(), g.card_dim(), "rarity"), "fct_battle")
+    assert usage and all("ReadSchema: struct<deck_id:bigint>" in x for x in usage)
+    arena = scanned(Q.R.elixir_cost_by_arena(g.fct(), g.deck()), "fct_battle")
+    assert arena and all("ReadSchema: struct<player_id:bigint,deck_id:bigint,arena_name:string>" in x for x in arena)
+    orphans = scanned(Q.q_orphan_facts(spark, SF_SMALL), "fct_battle")
+    assert orphans and all("cards" not in x.split("ReadSchema")[1] for x in orphans)
+
+
+def test_the_window_reaches_the_fact_scan(spark):
+    from matchlake.plans import registry as Q
+    scans = scanned(Q._daily(Q.Game(spark, SF_SMALL)), "fct_battle")
+    assert scans
+    for x in scans:
+        assert "battle_month" in x.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+        assert "GreaterThan(date_id,20010503)" in x
+
+
+def test_only_the_months_of_the_window_are_read(spark, tmpdir_path):
+    import glob
+    from matchlake.plans import registry as Q
+    from matchlake.plans import refresh as RF
+    g = Q.Game(spark, SF_SMALL)
+    path = f"{tmpdir_path}/facts"
+    g.fct().repartition("battle_month").write.partitionBy("battle_month").parquet(path)
+    for f in glob.glob(f"{path}/battle_month=*/part-*"):
+        if f.split("battle_month=")[1][:6] < "200105":
+            with open(f, "wb") as out:
+                out.write(b"garbage")
+    facts = spark.read.schema(g.fct().schema).parquet(path)
+    got = Q.R.deck_usage_daily(facts, g.deck(), g.dates(), as_of=Q.AS_OF)
+    assert got.count() == Q._daily(g).count() > 0
+    assert RF.BATTLE_MONTH in facts.columns

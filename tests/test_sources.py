@@ -56,27 +56,46 @@ def test_csv_suffix_and_date_range(spark, tmpdir_path):
     assert label.table_name == "raw_battles_12272020_01042021"
 
 
-import pytest
+def rec(t, team, v, opponent="#O"):
+    r = {f: None for f in S.names(S.PLAYER_BATTLE_LOG)}
+    r.update({"battleTime": t, "team_tag": team, "opponent_tag": opponent, "type": v})
+    return json.dumps(r)
 
 
-@pytest.mark.parametrize("state_dedupe", [False, True])
-def test_stream_ingest_is_idempotent(spark, tmpdir_path, state_dedupe):
+def test_stream_ingest_is_idempotent(spark, tmpdir_path):
     land = f"{tmpdir_path}/landing"
-    fields = S.names(S.PLAYER_BATTLE_LOG)
-    def rec(t, team, v):  # noqa: E306
-        r = {f: None for f in fields}
-        r.update({"battleTime": t, "team_tag": team, "opponent_tag": "#O", "type": v})
-        return json.dumps(r)
     write(f"{land}/a.json", "\n".join([rec("20231202T101010.000Z", "#A", "1"),
                                        rec("20231202T101010.000Z", "#A", "dup"),
                                        rec("20231203T101010.000Z", "#B", "1")]))
     tgt, ck = f"{tmpdir_path}/table", f"{tmpdir_path}/ck"
-    stream_insert_ignore(spark, land, tgt, ck, state_dedupe=state_dedupe)
+    stream_insert_ignore(spark, land, tgt, ck)
     write(f"{land}/b.json", rec("20231202T101010.000Z", "#A", "late"))   # already stored key
-    stream_insert_ignore(spark, land, tgt, ck, state_dedupe=state_dedupe)
+    write(f"{land}/c.json", rec("20200102T101010.000Z", "#C", "old"))    # a late battle is stored
+    stream_insert_ignore(spark, land, tgt, ck)
     out = spark.read.parquet(tgt)
-    assert out.count() == 2
-    assert out.select("team_tag", "opponent_tag", "battleTime").distinct().count() == 2
+    assert out.count() == 3
+    assert out.select("team_tag", "opponent_tag", "battleTime").distinct().count() == 3
+
+
+def test_stream_replay_and_null_keys(spark, tmpdir_path):
+    land, tgt = f"{tmpdir_path}/landing", f"{tmpdir_path}/table"
+    write(f"{land}/a.json", "\n".join([rec("20231202T101010.000Z", "#A", "1"), rec("20231202T101010.000Z", "#A", "1", None)]))
+    for k in range(2):          # another checkpoint: the same file is delivered again
+        stream_insert_ignore(spark, land, tgt, f"{tmpdir_path}/ck{k}")
+    got = spark.read.parquet(tgt)
+    assert got.where("opponent_tag IS NOT NULL").count() == 1
+    assert got.where("opponent_tag IS NULL").count() == 2       # NULL keys never match
+
+
+def test_stream_first_file_wins_and_errors_are_not_swallowed(spark, tmpdir_path):
+    import pytest
+    land, tgt = f"{tmpdir_path}/landing", f"{tmpdir_path}/table"
+    write(f"{land}/a.json", rec("20231202T101010.000Z", "#A", "first"))
+    write(f"{land}/b.json", rec("20231202T101010.000Z", "#A", "second"))
+    stream_insert_ignore(spark, land, tgt, f"{tmpdir_path}/ck")
+    assert [r.type for r in spark.read.parquet(tgt).collect()] == ["first"]
+    with pytest.raises(Exception):
+        stream_insert_ignore(spark, land, "nofs://x/table", f"{tmpdir_path}/ck2")
 
 
 def test_ladder_table_named_by_date_range(spark, tmpdir_path):

@@ -28,7 +28,7 @@ def test_pruned_insert_ignore_equals_unpruned(spark):
 def test_positional_insert_ignore(spark):
     target = spark.createDataFrame([("a", 1)], "k string, v int")
     batch = spark.createDataFrame([("a", 9), ("b", 2)], "x string, y int")   # other names
-    assert rows(insert_ignore(target, batch, ["k"], by_name=False)) == [("b", 2)]
+    assert rows(insert_ignore(target, batch, ["k"], [F.col("v")], by_name=False)) == [("b", 2)]
 
 
 def test_append_parquet_and_upsert_swap(spark, tmpdir_path):
@@ -39,7 +39,7 @@ def test_append_parquet_and_upsert_swap(spark, tmpdir_path):
     C.append_parquet(spark, "t_stage.stats", f"{tmpdir_path}/copy.parquet", S.STG_PLAYER_STATS)
     assert spark.table("t_stage.stats").count() == 1
     batch = spark.createDataFrame([("#A", 5), ("#B", 7)], "tag string, wins int")
-    loc = C.upsert_table(spark, "t_stage.stats", batch, ["tag"], base=f"{tmpdir_path}/stats/v2")
+    loc = C.upsert_table(spark, "t_stage.stats", batch, ["tag"], [F.col("wins")], base=f"{tmpdir_path}/stats/v2")
     got = {r.tag: (r.name, r.wins) for r in spark.table("t_stage.stats").collect()}
     assert got == {"#A": ("a", 5), "#B": (None, 7)}
     assert loc.endswith("v2")
@@ -84,3 +84,42 @@ def test_refresh_all_builds_every_model(spark, tmpdir_path):
     fct = out["fct_battle"]
     assert fct.join(out["date_dim"], "date_id", "left_anti").count() == 0
     assert fct.join(out["deck_dim"], "deck_id", "left_anti").count() == 0
+
+
+def test_refresh_all_with_seasons_and_top_players_in_schemas_of_its_own(spark, tmpdir_path):
+    from matchlake.plans.registry import FIXTURE_DECK_CATEGORIES, Game, top_players
+    from matchlake.sources import fixtures as fx
+    g = Game(spark, SF_SMALL)
+    st = g.star
+    args = dict(seasons=fx.season_ids(st["orders"]), top_players=top_players(st["orders"], st["customer"], st["nation"]),
+                prefix="own_")
+    for _ in range(2):          # a second run changes nothing
+        out = RF.refresh_all(spark, tmpdir_path, g.log, g.cards, g.player_stats(), g.clan_stats(),
+                             FIXTURE_DECK_CATEGORIES, **args)
+    assert spark.catalog.tableExists("own_main.fct_battle")
+    assert out["stg_seasons"].columns == ["id", "query_url"] and out["stg_seasons"].count() > 0
+    top = out["stg_top_players_by_season"]
+    assert top.columns == S.names(S.STG_TOP_PLAYERS_BY_SEASON) and top.count() == args["top_players"].count()
+
+
+def test_a_load_rebuilds_the_months_it_touches(spark, tmpdir_path):
+    from matchlake.plans.registry import FIXTURE_DECK_CATEGORIES, Game
+    g = Game(spark, SF_SMALL)
+    n = RF.Names("months_")
+    RF.refresh_daily(spark, tmpdir_path, g.log, g.player_stats(), FIXTURE_DECK_CATEGORIES, prefix="months_")
+    files = lambda: {r.f for r in spark.table(n("fct_battle")).select(F.col("_metadata.file_path").alias("f")).distinct().collect()}
+    before, whole = files(), spark.table(n("fct_battle")).count()
+    month = g.log.select(F.substring("battleTime", 1, 6).alias("m")).first().m
+    again = g.log.where(F.substring("battleTime", 1, 6) == month)
+    RF.refresh_daily(spark, tmpdir_path, again, g.player_stats(), FIXTURE_DECK_CATEGORIES, prefix="months_")
+    kept = before & files()
+    assert spark.table(n("fct_battle")).count() == whole
+    assert {f for f in before - kept if f"battle_month={month}" not in f} == set()
+
+
+def test_replaced_table_is_swapped_and_old_versions_go(spark, tmpdir_path):
+    import os
+    for k in range(4):
+        RF._rebuild(spark, tmpdir_path, "swapped", spark.range(k + 1))
+        assert spark.table("swapped").count() == k + 1
+    assert len(os.listdir(f"{tmpdir_path}/swapped")) == 2       # the current and one before
