@@ -9,9 +9,10 @@ means that the entire document, paragraph or line is that licence.
 The known texts are a fixed list of a few hundred rows and are broadcast.
 
 Edge cases: a null or blank text has no hits; a copyright line alone has none.
-A part that occurs several times in a document is reported once.  Rows are
-scanned one by one, so repeated rows, ties and null ids need no care; texts of
-any length are scanned whole.  Only ``doc_id`` and the text are read.
+A licence that a document holds several times is reported once for each scope,
+and so are rows that share a doc_id (null is an id like any other).  Texts of
+any length are scanned whole.  Only ``doc_id`` and the text are read.  An empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -85,16 +86,30 @@ EQUIVALENT = (("licence", "license"), ("licences", "licenses"), ("licenced", "li
 COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(?:copyright[^\n]*(?:[0-9]{4}|\(c\)|©)|\(c\) |© |all rights reserved)[^\n]*$"
 
 
-def canonical_lines(text: Column) -> Column:
-    """Canonical form of a text column, line breaks kept, each line padded by spaces."""
-    low = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "")
-    out = F.replace(F.regexp_replace(F.concat(F.lit(" "), low, F.lit(" ")), r"[^a-z0-9\n]+", " "), F.lit("\n"), F.lit(" \n "))
-    out = F.regexp_replace(out, " +", " ")
+#: Every known text holds one of these in its canonical form; a text without
+#: any of them has no hits and need not be rewritten.
+TELLING = ("licen", "permission", "under")
+
+
+def telling(text: Column) -> Column:
+    return F.contains(text, F.lit(TELLING[0])) | F.contains(text, F.lit(TELLING[1])) | F.contains(text, F.lit(TELLING[2]))
+
+
+def canonical_lines(low: Column) -> Column:
+    """Letters, digits and line breaks of a lower-case text, each line padded by spaces."""
+    low = F.regexp_replace(low, COPYRIGHT_LINE, "")
+    out = F.regexp_replace(F.concat(F.lit(" "), low, F.lit(" ")), r"[^a-z0-9\n]+", " ")
+    return F.regexp_replace(F.replace(out, F.lit("\n"), F.lit(" \n ")), " +", " ")
+
+
+def canonical_spelling(part: Column) -> Column:
+    """One spelling for equivalent words of a canonical line or paragraph."""
+    out = F.concat(F.lit(" "), part, F.lit(" "))
     for old, new in EQUIVALENT:
         # names of versions ("gnu gpl v") run on into the number
         a, b = (f" {old}", f" {new}") if new.endswith(" ") else (f" {old} ", f" {new} ")
         out = F.replace(out, F.lit(a), F.lit(b))
-    return out
+    return F.trim(out)
 
 
 def _one_line(canon: Column) -> Column:
@@ -108,17 +123,20 @@ def known_texts() -> list[tuple[str, str]]:
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(doc_id, license, scope): one row for each licence text found in a
-    document; scope is ``document`` if it is the whole of it, else ``part``."""
+    """(doc_id, license, scope): one row for each licence found in a document;
+    scope is ``document`` if it is the whole of it, else ``part``."""
     spark = docs.sparkSession
     known = spark.createDataFrame(known_texts(), "license string, known string").select(
-        "license", F.sha2(_one_line(canonical_lines(F.col("known"))), 256).alias("digest")).distinct()
-    canon = docs.select(F.col("doc_id").cast("long").alias("doc_id"), canonical_lines(F.col(text)).alias("c"))
-    whole = _one_line(F.col("c"))
-    paragraphs = F.split("c", r"\n(?: *\n)+")
-    rows = canon.select("doc_id", whole.alias("whole"), F.array_distinct(F.concat(
-        F.array(whole), F.transform(paragraphs, _one_line), F.transform(F.split("c", "\n"), lambda x: F.trim(x)))).alias("parts"))
-    units = rows.select("doc_id", "whole", F.explode("parts").alias("part")).where("part <> ''")
-    units = units.select("doc_id", F.sha2("part", 256).alias("digest"),
+        "license", canonical_spelling(_one_line(canonical_lines(F.lower("known")))).alias("part")).select(
+        "license", F.sha2("part", 256).alias("digest")).distinct()
+    # each explode also keeps the columns under it from being computed once per use
+    low = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(F.array(F.lower(text))).alias("low"))
+    canon = low.where(telling(F.col("low"))).select("doc_id", F.explode(F.array(canonical_lines(F.col("low")))).alias("c"))
+    wholes = canon.select("doc_id", "c", F.explode(F.array(_one_line(F.col("c")))).alias("whole"))
+    paragraphs = F.transform(F.split("c", r"\n(?: *\n)+"), _one_line)
+    lines = F.transform(F.split("c", "\n"), lambda x: F.trim(x))
+    parts = wholes.select("doc_id", "whole", F.explode(F.array_distinct(
+        F.concat(F.array("whole"), paragraphs, lines))).alias("part")).where(telling(F.col("part")))
+    units = parts.select("doc_id", F.sha2(canonical_spelling(F.col("part")), 256).alias("digest"),
                          F.when(F.col("part") == F.col("whole"), "document").otherwise("part").alias("scope"))
-    return units.join(F.broadcast(known), "digest").select("doc_id", "license", "scope")
+    return units.join(F.broadcast(known), "digest").select("doc_id", "license", "scope").distinct()

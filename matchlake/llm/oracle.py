@@ -94,7 +94,7 @@ c AS (SELECT row_number() OVER () AS r, doc_id, {_canonical('text')} AS c FROM d
 u AS (SELECT r, doc_id, {_flat('c')} AS whole, {_flat('c')} AS part FROM c
       UNION SELECT r, doc_id, {_flat('c')}, unnest(list_transform(string_split_regex(c, '\\n(?: *\\n)+'), lambda x: {_flat('x')})) FROM c
       UNION SELECT r, doc_id, {_flat('c')}, unnest(list_transform(string_split(c, chr(10)), lambda x: trim(x))) FROM c)
-SELECT doc_id, license, CASE WHEN part = whole THEN 'document' ELSE 'part' END AS scope
+SELECT DISTINCT doc_id, license, CASE WHEN part = whole THEN 'document' ELSE 'part' END AS scope
 FROM u JOIN k ON part = known WHERE part <> ''"""
 
 _BLOCKED = " OR ".join(rf"regexp_matches(path, '(?i)/(?:[^/]*\.)?{r.tokens[0]}(?:/|\z)')" for r in DEFAULT_RULES)

@@ -21,7 +21,7 @@ def test_whole_documents_paragraphs_and_lines(spark):
 
 def test_a_paragraph_that_is_a_whole_licence(spark):
     apache = "Licensed under the Apache License, Version 2.0"
-    assert hits(spark, [(1, f"one\n\n{apache}\n\nthree"), (1, f"one\n\n{apache}\n\nthree")]) == [(1, "Apache-2.0", "part")] * 2
+    assert hits(spark, [(1, f"one\n\n{apache}\n\nthree"), (1, f"one\n\n{apache}\n\nthree")]) == [(1, "Apache-2.0", "part")]
 
 
 def test_copyright_lines_do_not_count(spark):
@@ -39,5 +39,6 @@ def test_edge_cases(edge_docs, no_docs, spark):
 
 def test_digests_name_one_licence(spark):
     known = spark.createDataFrame(S.known_texts(), "license string, known string").select(
-        "license", S._one_line(S.canonical_lines(S.F.col("known"))).alias("c")).distinct()
+        "license", S.canonical_spelling(S._one_line(S.canonical_lines(S.F.lower("known")))).alias("c")).distinct()
     assert known.groupBy("c").count().where("count > 1").collect() == []
+    assert known.where(~S.telling(S.F.col("c"))).collect() == []       # the words looked for first lose no hit
