@@ -150,9 +150,14 @@ def _top(found: DataFrame, k: int) -> DataFrame:
 
 
 class Index:
-    """``vectors`` (key, column) filed under the leaves of a fitted tree."""
+    """``vectors`` (key, column) filed under the leaves of a fitted tree.
 
-    def __init__(self, vectors: DataFrame, key: str = "vec_id", column: str = "embedding", k: int = K, seed: int = 3):
+    The tree has about ``sample / leaf`` leaves whatever the table holds, so for
+    much larger tables raise ``sample`` (its vectors are the driver's load).
+    """
+
+    def __init__(self, vectors: DataFrame, key: str = "vec_id", column: str = "embedding", k: int = K, seed: int = 3,
+                 sample: int = SAMPLE, leaf: int = LEAF):
         self.spark, self.k, self.seed = vectors.sparkSession, k, seed
         rows = cut(usable(vectors, key, column), "ann-rows")
         # distinct vectors: only the k + 1 smallest ids of one can be found
@@ -161,8 +166,8 @@ class Index:
         named = rows.join(self.nodes.select("node", "v"), "v").select("node", "id")
         self.ids = cut(named, "ann-ids")
         n = self.nodes.count()
-        picked = self.nodes.sample(min(1.0, 1.2 * SAMPLE / max(n, 1)), seed=seed).select("v").limit(SAMPLE).collect()
-        self.tree = Tree(np.array([r.v for r in picked], np.float64).reshape(len(picked), len(picked[0].v) if picked else 1))
+        picked = self.nodes.sample(min(1.0, 1.2 * sample / max(n, 1)), seed=seed).select("v").limit(sample).collect()
+        self.tree = Tree(np.array([r.v for r in picked], np.float64).reshape(len(picked), len(picked[0].v) if picked else 1), leaf=leaf)
         self.filed = cut(self.nodes.select("node", "v").mapInArrow(
             self._file(), "node long, leaf long, b binary"), "ann-filed")
         sizes = self.filed.groupBy("leaf").agg(F.ceil(F.count("*") / F.lit(MEMBERS)).alias("chunks"))

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, n_words
 
-GROUP_ROWS = 20_000   # documents of a source in one leaf task, about
+GROUP_ROWS = 5_000    # documents of a source in one leaf task, about
 FAN_IN = 256          # residuals that meet in one task of the next level
 EPS = 1e-9
 
@@ -161,7 +161,7 @@ def mix(docs: DataFrame, cap: float = 3.0, weights: tuple[int, ...] = (1, 2, 3),
     plan = mix_plan(docs, cap, weights, seed).where("copies > 0").select(
         F.col("doc_id").alias("k_id"), F.col("source").alias("k_src"), F.col("size").alias("k_size"),
         F.col("copies").alias("k_n")).distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("d_id"),
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("d_id"),
                        F.col("source").alias("d_src"), n_words(F.col("text")).alias("d_size"))
     out = rows.join(plan, F.expr("d_id <=> k_id AND d_src <=> k_src AND d_size = k_size"))
     return out.select("row", F.explode(F.sequence(F.lit(1), F.col("k_n").cast("int"))).alias("copy")).select("row.*")
