@@ -9,7 +9,8 @@ NAME`` against a UNIQUE key):
 * duplicates inside one batch collapse to one row, NULL key parts comparing
   equal there: insert-or-ignore keeps the first in load order, upsert the last.
   Load order (landing file and position, fetch time, or any total order on the
-  rows) must be given: without it "first" and "last" have no meaning;
+  rows) must be given: without it "first" and "last" have no meaning.  It may
+  use columns of the batch that the target lacks;
 * a NULL key part never matches a stored row, so such rows are always
   inserted;
 * upsert replaces only the columns the batch carries; an explicit NULL in the
@@ -62,11 +63,9 @@ def insert_ignore(target: DataFrame, batch: DataFrame, keys: list[str],
     value can match; the two are scalar subqueries, so the scan reads just the
     partitions between them.  Exact for any batch.
     """
-    if by_name:
-        batch = align_by_name(batch, target)
-    else:
+    if not by_name:
         batch = batch.toDF(*target.columns)
-    deduped = dedupe_batch(batch, keys, order)
+    deduped = align_by_name(dedupe_batch(batch, keys, order), target)
     # stored rows with a NULL key part can never match: drop them before the
     # shuffle (they would all hash to one partition)
     t = target.where(_all_keys_present(keys))
@@ -107,8 +106,8 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str],
     if not by_name:
         batch = batch.toDF(*target.columns)
     supplied = [c for c in target.columns if c in set(batch.columns) and c not in keys]
-    b = dedupe_batch(batch.select(*[c for c in batch.columns if c in set(target.columns)]),
-                     keys, order, keep="last")
+    b = dedupe_batch(batch, keys, order, keep="last").select(
+        *[F.col(f"`{c}`") for c in batch.columns if c in set(target.columns)])
     # rows with a NULL key part never match: they bypass the join (a full
     # outer join cannot split a skewed partition, and they would all share one)
     has_keys = _all_keys_present(keys)

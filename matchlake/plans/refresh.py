@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..sources.catalog import (create_table, drop_versions, ensure_schemas, insert_ignore_table,
-                               replace_table, upsert_table)
+from ..sources.catalog import (KEY_BUCKET, create_table, drop_versions, ensure_schemas, insert_ignore_table,
+                               insert_overwrite_dynamic, replace_table, upsert_buckets)
 from . import models as M
 
 LOG = "raw.player_battle_log"
@@ -28,6 +28,8 @@ CARDS = "staging.stg_cards"
 SEASONS = "staging.stg_seasons"
 TOP_PLAYERS = "staging.stg_top_players_by_season"
 BATTLE_MONTH = "battle_month"
+#: Key buckets of the stats tables; set when a table is created.
+STATS_BUCKETS = 16
 
 
 class Names:
@@ -90,8 +92,10 @@ def init_warehouse(spark: SparkSession, warehouse: str, reset: bool = False, pre
     for name, ddl in [(LOG, S.PLAYER_BATTLE_LOG), ("fct_battle", S.FCT_BATTLE)]:
         create_table(spark, n(name), f"{ddl}, {BATTLE_MONTH} STRING", _loc(warehouse, n(name)),
                      partition_by=[BATTLE_MONTH])
-    for name, ddl in [(PLAYER_STATS, S.STG_PLAYER_STATS), (CLAN_STATS, S.STG_CLAN_STATS),
-                      (CARDS, S.STG_CARDS), (TOP_PLAYERS, S.STG_TOP_PLAYERS_BY_SEASON)]:
+    # stats are partitioned by key bucket, and an upsert rewrites those it touches
+    for name, ddl in [(PLAYER_STATS, S.STG_PLAYER_STATS), (CLAN_STATS, S.STG_CLAN_STATS)]:
+        create_table(spark, n(name), f"{ddl}, {KEY_BUCKET} INT", _loc(warehouse, n(name)), partition_by=[KEY_BUCKET])
+    for name, ddl in [(CARDS, S.STG_CARDS), (TOP_PLAYERS, S.STG_TOP_PLAYERS_BY_SEASON)]:
         create_table(spark, n(name), ddl, _loc(warehouse, n(name)))
 
 
@@ -106,12 +110,7 @@ def rebuild_facts(spark: SparkSession, battles: DataFrame, name: str, log_name:
     touched = spark.table(log_name).where(F.col(BATTLE_MONTH).between(
         span.select("a").scalar(), span.select("b").scalar())).join(months, BATTLE_MONTH, "left_semi")
     fct = with_fact_month(M.fct_battle(touched.drop(BATTLE_MONTH)))
-    setting, before = "spark.sql.sources.partitionOverwriteMode", spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set(setting, "dynamic")     # an insert into a table takes this from the session only
-    try:
-        fct.write.mode("overwrite").insertInto(name)
-    finally:
-        spark.conf.set(setting, before)
+    insert_overwrite_dynamic(spark, fct, name)
     return spark.table(name).drop(BATTLE_MONTH)
 
 
@@ -124,11 +123,10 @@ def refresh_daily(spark: SparkSession, warehouse: str, battles: DataFrame,
     insert_ignore_table(spark, n(LOG), with_battle_month(battles), S.PLAYER_BATTLE_LOG_KEY,
                         order=log_order(), prune_on=BATTLE_MONTH)
     if player_stats is not None:
-        upsert_table(spark, n(PLAYER_STATS), player_stats, S.STATS_KEY, order=player_order(),
-                     base=_loc(warehouse, n(PLAYER_STATS)))
+        upsert_buckets(spark, n(PLAYER_STATS), player_stats, S.STATS_KEY, player_order(), STATS_BUCKETS)
     log = spark.table(n(LOG)).drop(BATTLE_MONTH)
     out = {"fct_battle": rebuild_facts(spark, battles, n("fct_battle"), n(LOG)),
-           "player_dim": _rebuild(spark, warehouse, n("player_dim"), M.player_dim(spark.table(n(PLAYER_STATS)))),
+           "player_dim": _rebuild(spark, warehouse, n("player_dim"), M.player_dim(spark.table(n(PLAYER_STATS)).drop(KEY_BUCKET))),
            "date_dim": _rebuild(spark, warehouse, n("date_dim"), M.date_dim(log))}
     if spark.catalog.tableExists(n(CARDS)):
         out["deck_dim"] = _rebuild(spark, warehouse, n("deck_dim"),
@@ -149,8 +147,7 @@ def refresh_all(spark: SparkSession, warehouse: str, battles: DataFrame, cards:
     n = Names(prefix)
     init_warehouse(spark, warehouse, reset, prefix)
     _rebuild(spark, warehouse, n(CARDS), cards)
-    upsert_table(spark, n(CLAN_STATS), clan_stats, S.STATS_KEY, order=clan_order(),
-                 base=_loc(warehouse, n(CLAN_STATS)))
+    upsert_buckets(spark, n(CLAN_STATS), clan_stats, S.STATS_KEY, clan_order(), STATS_BUCKETS)
     out = refresh_daily(spark, warehouse, battles, player_stats, categories, prefix=prefix)
     if seasons is not None:
         out["stg_seasons"] = _rebuild(spark, warehouse, n(SEASONS), M.season_urls(seasons))
@@ -159,5 +156,5 @@ def refresh_all(spark: SparkSession, warehouse: str, battles: DataFrame, cards:
                             order=[F.col("rank")], by_name=False)
         out["stg_top_players_by_season"] = spark.table(n(TOP_PLAYERS))
     out["card_dim"] = _rebuild(spark, warehouse, n("card_dim"), M.card_dim(spark.table(n(CARDS))))
-    out["clan_dim"] = _rebuild(spark, warehouse, n("clan_dim"), M.clan_dim(spark.table(n(CLAN_STATS))))
+    out["clan_dim"] = _rebuild(spark, warehouse, n("clan_dim"), M.clan_dim(spark.table(n(CLAN_STATS)).drop(KEY_BUCKET)))
     return out

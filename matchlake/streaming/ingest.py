@@ -49,8 +49,8 @@ def stream_insert_ignore(spark: SparkSession, source_dir: str, target_dir: str,
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
         session = batch.sparkSession
-        table = session.read.schema(f"{schema}, {MONTH} STRING").parquet(target_dir).withColumn("__file", F.lit(""))
-        new = insert_ignore(table, with_month(batch), keys, order=order or [F.col("__file")], prune_on=MONTH).drop("__file")
+        table = session.read.schema(f"{schema}, {MONTH} STRING").parquet(target_dir)
+        new = insert_ignore(table, with_month(batch), keys, order=order or [F.col("__file")], prune_on=MONTH)
         new.write.mode("append").partitionBy(MONTH).parquet(target_dir)
 
     w = src.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_dir)
