@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-BLOCK_BYTES = 32 << 20     # text of one block; a longer text is a block by itself
+BLOCK_BYTES = 16 << 20     # text of one block; a longer text is a block by itself
 MAX_VOCABULARY = 1 << 20   # the id-to-piece table is sent to tasks up to this size
 ENCODE_AT_ONCE = 512
 SEPARATOR = "<|startoftext|>"
@@ -117,6 +117,11 @@ def joined(parts: pa.Array, counts: np.ndarray) -> pa.Array:
     return pc.binary_join(pa.ListArray.from_arrays(offsets, parts), " ")
 
 
+def release() -> None:
+    """Give the memory of a finished block back, for the next worker's sake."""
+    pa.default_memory_pool().release_unused()
+
+
 def row_blocks(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[pa.Table]:
     """Neighbouring rows with up to ``limit`` bytes of text; where blocks end
     follows from the rows alone, not from how they came in batches."""
@@ -128,10 +133,13 @@ def row_blocks(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iter
             if (parts or i > start) and held + n > limit:
                 yield pa.Table.from_batches([*parts, b.slice(start, i - start)]).combine_chunks()
                 parts, start, held = [], i, 0
+                release()
             held += n
         parts.append(b.slice(start))
     if any(p.num_rows for p in parts):
         yield pa.Table.from_batches(parts).combine_chunks()
+        parts.clear()
+        release()
 
 
 def _column(table: pa.Table, name: str) -> pa.Array:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import shutil
+import tempfile
 import uuid
 from contextlib import contextmanager
 
@@ -16,7 +18,35 @@ from matchlake.session import shared_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_SHIPPED: set[str] = set()
+
+
+#: Rows of whole texts that a Python worker gets at once.
+ARROW_ROWS = 1000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Session settings and code that the operators' workers need.
+
+    Rows here hold whole texts, so a worker gets fewer of them at once than
+    Spark's default; a smaller setting stays.  The package is carried to the
+    workers once per application, unless they find it on PYTHONPATH as the
+    driver does.
+    """
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= ARROW_ROWS:
+        spark.conf.set(rows, str(ARROW_ROWS))
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    sc = spark.sparkContext
+    if root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or sc.applicationId in _SHIPPED:
+        return
+    package = __package__.split(".")[0]
+    sc.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(), package), "zip", root, package))
+    _SHIPPED.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

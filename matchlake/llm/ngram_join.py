@@ -35,6 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bpe import number_words, row_blocks
 from .common import cut, known_small
 from .components import components
 
@@ -44,29 +45,22 @@ RECALL = 0.9999          # for a pair just at the threshold
 BLOCK = 512              # classes of a verified group that one side of a task holds, about
 SMALL_ROWS = 1_000_000
 COLUMNS = 4096           # shingles per matrix product
-WORDS_KEPT = 500_000
+HASH_BYTES = 8 << 20      # text whose words are hashed together
 
 _SEED = np.random.Generator(np.random.PCG64(20))
 _MULT = _SEED.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FLIP = _SEED.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64)
 
 
-class _WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh64_intdigest(word)
-        if len(word) <= 64 and len(self) < WORDS_KEPT:
-            self[word] = h
-        return h
-
-
-_hashes = _WordHash()
+def word_hashes(texts: pa.Array) -> list[np.ndarray]:
+    """The 64-bit hashes of each text's words in order; each distinct word is hashed once."""
+    numbers, each, words = number_words(texts)
+    of_word = np.fromiter(map(xxhash.xxh64_intdigest, words.to_pylist()), np.uint64, len(words))
+    return np.split(of_word[numbers], np.cumsum(each)[:-1])
 
 
-def shingles(words: list[bytes], width: int = WORDS) -> np.ndarray:
-    """Distinct 64-bit hashes of the word ``width``-grams."""
-    if len(_hashes) >= WORDS_KEPT:
-        _hashes.clear()
-    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+def shingles(h: np.ndarray, width: int = WORDS) -> np.ndarray:
+    """Distinct 64-bit hashes of the ``width``-grams of words with hashes ``h``."""
     if not len(h):
         return h
     n = max(1, len(h) - width + 1)
@@ -102,17 +96,16 @@ def prefix_bytes(threshold: float = THRESHOLD, recall: float = RECALL) -> int:
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        ids, digest, sizes, signs = [], [], [], []
-        for text in b["text"]:
-            words = (text.as_py() or "").encode().split()
-            grams = shingles(words)
-            digest.append(hashlib.md5(b" ".join(words)).digest())
+    for b in row_blocks(batches, "text", HASH_BYTES):
+        digest, sizes, signs = [], [], []
+        for h in word_hashes(b["text"].combine_chunks()):
+            grams = shingles(h)
+            digest.append(hashlib.md5(h.tobytes()).digest())
             sizes.append(len(grams))
             signs.append(signature(grams) if len(grams) else None)
-        yield pa.RecordBatch.from_arrays(
-            [b["doc_id"], b["t"], pa.array(digest, pa.binary()), pa.array(sizes, pa.int64()),
-             pa.array(signs, pa.list_(pa.int64()))], ["doc_id", "t", "digest", "grams", "sign"])
+        done = pa.table([b["doc_id"], b["t"], pa.array(digest, pa.binary()), pa.array(sizes, pa.int64()),
+                         pa.array(signs, pa.list_(pa.int64()))], names=["doc_id", "t", "digest", "grams", "sign"])
+        yield from done.combine_chunks().to_batches()
 
 
 def _verify(threshold: float):
@@ -126,7 +119,7 @@ def _verify(threshold: float):
         pick = [first[n] for n in nodes.tolist()]
         block = rows["block"].to_numpy()[pick]
         copies = rows["copies"].to_numpy()[pick].astype(np.float64)
-        sets = [shingles(rows["text"][i].as_py().encode().split()) for i in pick]
+        sets = [shingles(h) for h in word_hashes(rows["text"].take(pick).combine_chunks())]
         size = np.array([len(s) for s in sets], np.float64)
         owner = np.repeat(np.arange(len(sets)), size.astype(np.int64))
         _, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
