@@ -41,6 +41,7 @@ BLOCK_BYTES = 16 << 20     # text of one block; a longer text is a block by itse
 MAX_VOCABULARY = 1 << 20   # the id-to-piece table is sent to tasks up to this size
 ENCODE_AT_ONCE = 512
 SEPARATOR = "<|startoftext|>"
+MARKS = ".,;:!?"           # each of these alone is one piece of a word
 
 
 @cache
@@ -63,12 +64,9 @@ def pieces(path: str) -> list[str]:
     return [t.id_to_token(i) for i in range(n)]
 
 
-def encode_words(path: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all words one after another as uint32, number of ids of each).
-
-    Words are encoded many at a time with a special token between them, which
-    costs less than a call for each; words that hold the token go alone.
-    """
+def _encode_apart(path: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """As encode_words, for any words.  They are encoded many at a time with a
+    special token between them; words that hold the token go alone."""
     t = tokenizer(path)
     mark = t.token_to_id(SEPARATOR)
     flat, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
@@ -86,6 +84,73 @@ def encode_words(path: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(flat), np.concatenate(counts)
 
 
+def _encode_letters(path: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """As encode_words, for words of letters only: each ends with its only piece
+    that has the word end, so they can be encoded with spaces between them."""
+    t, last = tokenizer(path), word_ends(path)
+    flat, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+    for k in range(0, len(words), ENCODE_AT_ONCE):
+        part = words[k:k + ENCODE_AT_ONCE]
+        ids = np.array(t.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.flatnonzero(last[ids])
+        if len(ends) != len(part):
+            raise AssertionError("a word of letters is not one run of pieces")
+        flat.append(ids)
+        counts.append(np.diff(ends, prepend=-1))
+    return np.concatenate(flat), np.concatenate(counts)
+
+
+@cache
+def word_ends(path: str) -> np.ndarray:
+    """Whether each piece ends a word; empty if the vocabulary has no word ends
+    or does not split letters from marks and put them in lower case."""
+    made = json.loads(tokenizer(path).to_str())
+    suffix, text = made["model"].get("end_of_word_suffix"), json.dumps(made["pre_tokenizer"])
+    if not suffix or "[\\\\p{L}]+|" not in text or "Lowercase" not in json.dumps(made["normalizer"]):
+        return np.zeros(0, bool)
+    return np.array([p.endswith(suffix) for p in pieces(path)])
+
+
+def encode_words(path: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all words one after another as uint32, number of ids of each).
+
+    Words of letters, with or without one mark at the end, share the ids of
+    their letters in lower case, which are encoded once; others go as they are.
+    """
+    if not len(word_ends(path)):
+        return _encode_apart(path, words)
+    cores: dict[str, int] = {}
+    core, mark, other = np.full(len(words), -1, np.int64), np.zeros(len(words), np.int64), []
+    for i, w in enumerate(words):
+        m = MARKS.find(w[-1]) + 1
+        letters = w[:-1] if m else w
+        # two letters whose lower case depends on more than the letter
+        if letters.isalpha() and "\u0130" not in letters and "\u03a3" not in letters:
+            core[i], mark[i] = cores.setdefault(letters.lower(), len(cores)), m
+        else:
+            other.append(i)
+    known = Runs(*_encode_letters(path, list(cores)))
+    marks = np.concatenate([[0], _encode_apart(path, list(MARKS))[0]]).astype(np.uint32)
+    rest_flat, rest_counts = _encode_apart(path, [words[i] for i in other])
+
+    counts = np.zeros(len(words), np.int64)
+    plain = np.flatnonzero(core >= 0)
+    counts[plain] = known.counts[core[plain]] + (mark[plain] > 0)
+    counts[other] = rest_counts
+    ends = np.cumsum(counts)
+    flat = np.empty(int(counts.sum()), np.uint32)
+    filled = np.zeros(len(flat), bool)
+    marked = plain[mark[plain] > 0]
+    flat[ends[marked] - 1] = marks[mark[marked]]
+    filled[ends[marked] - 1] = True
+    of_other = np.zeros(len(words), bool)
+    of_other[other] = True
+    where = np.repeat(of_other, counts)
+    flat[where] = rest_flat
+    flat[~where & ~filled] = known.gather(core[plain])
+    return flat, counts
+
+
 def number_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """(word numbers of all texts one after another, words in each text, the
     distinct words by number); numbers follow first use."""
