@@ -59,3 +59,18 @@ def test_refuses_a_vocabulary_with_a_decoder(edge_docs):
     import public_tokenizers
     with pytest.raises(ValueError):
         bpe.encode_decode(edge_docs, public_tokenizers.path("byte_bpe_50k.json"), *SCHEMA)
+
+
+def test_words_of_every_kind_equal_the_library():
+    import random
+    r = random.Random(8)
+    letters = "abcXYZéÉßßİıΣσςÅKΩÑñǅŉﬁ한글漢字あ"
+    odd = letters + ".,;:!?'’-_0123½́̇  　​<|>#😀"
+    words = ["".join(r.choice(letters if r.random() < 0.5 else odd) for _ in range(r.randint(1, 9))) for _ in range(6000)]
+    words += ["a", ".", ",", "a.", "a..", "don't", "I'll", "x'S", "ΑΣ", "ΑΣ.", "İ", "İ.", bpe.SEPARATOR, "<|endoftext|>."]
+    t = bpe.tokenizer(vocabulary())
+    flat, counts = bpe.encode_words(vocabulary(), words)
+    parts = [p.tolist() for p in np.split(flat, np.cumsum(counts)[:-1])]
+    for w, p in zip(words, parts):
+        assert p == t.encode(w, add_special_tokens=False).ids, w
+    assert len(bpe.word_ends(vocabulary())) > 0
