@@ -20,7 +20,8 @@ components take no part, neither as queries nor as candidates; so do vectors
 whose length is not the most frequent one.  Null ids take no part.  Rows that
 repeat (same id, same vector) count once; an id with several vectors is several
 candidates and several queries under one id.  Ties go to the smaller id.  With
-``k`` or fewer candidates a query gets them all (all leaves are visited).
+few candidates a query gets them all (a walk goes on until its leaves hold
+more than twice ``k`` distinct vectors).
 Other columns are not read.  An empty table gives no rows.
 """
 
@@ -104,13 +105,15 @@ class Tree:
             todo += [(kid, rows[near == j]) for j, kid in enumerate(self.children[node]) if (near == j).any()]
         return at
 
-    def visit(self, q: np.ndarray, most: int) -> list[int]:
-        """Up to ``most`` leaves in the order a best-bin-first search opens them."""
-        queue, found = [(0.0, 0)], []
-        while queue and len(found) < most:
+    def visit(self, q: np.ndarray, leaves: int, vectors: int = 0, sizes: dict[int, int] | None = None) -> list[int]:
+        """At least ``leaves`` leaves, holding ``vectors`` vectors by their
+        ``sizes``, in the order a best-bin-first search opens them."""
+        queue, found, held = [(0.0, 0)], [], 0
+        while queue and (len(found) < leaves or held < vectors):
             _, node = heapq.heappop(queue)
             if self.blocks[node] is None:
                 found.append(node)
+                held += (sizes or {}).get(node, 0)
                 continue
             for kid, s in zip(self.children[node], (self.blocks[node] @ q).tolist()):
                 heapq.heappush(queue, (-s, kid))
@@ -170,8 +173,10 @@ class Index:
         self.tree = Tree(np.array([r.v for r in picked], np.float64).reshape(len(picked), len(picked[0].v) if picked else 1), leaf=leaf)
         self.filed = cut(self.nodes.select("node", "v").mapInArrow(
             self._file(), "node long, leaf long, b binary"), "ann-filed")
-        sizes = self.filed.groupBy("leaf").agg(F.ceil(F.count("*") / F.lit(MEMBERS)).alias("chunks"))
-        self.chunks = cut(sizes, "ann-leaves")       # a row for each leaf of the tree
+        sizes = self.filed.groupBy("leaf").agg(F.count("*").alias("n"), F.ceil(F.count("*") / F.lit(MEMBERS)).alias("chunks"))
+        sizes = cut(sizes, "ann-leaves")             # a row for each leaf of the tree
+        self.sizes = {r.leaf: r.n for r in sizes.collect()}
+        self.chunks = sizes.select("leaf", "chunks")
 
     def _file(self):
         tree = self.spark.sparkContext.broadcast(self.tree)
@@ -215,13 +220,12 @@ class Index:
         k = self.k
         asked = self.ids.join(queries.select("id").distinct(), "id").select("id", "node")
         wanted = cut(asked.select("node").distinct().join(self.filed.select("node", "b"), "node"), "ann-queries")
-        few = self.nodes.count() <= 4 * k
-        visits = len(self.tree.leaves) if few else self.visits(wanted)
-        tree = self.spark.sparkContext.broadcast(self.tree)
+        visits = self.visits(wanted)
+        tree, sizes = self.spark.sparkContext.broadcast(self.tree), self.sizes
 
         def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                leaves = [tree.value.visit(q, visits) for q in _matrix(b["b"])]
+                leaves = [tree.value.visit(q, visits, 2 * k + 1, sizes) for q in _matrix(b["b"])]
                 yield pa.RecordBatch.from_arrays([b["node"], b["b"], pa.array(leaves, pa.list_(pa.int64()))],
                                                  ["node", "b", "leaves"])
 

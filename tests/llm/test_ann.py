@@ -94,3 +94,18 @@ def test_best_bin_first_order():
 @pytest.mark.parametrize("n", [0, 1, 5])
 def test_tiny_trees(n):
     assert ann.Tree(np.ones((n, 4))).leaves == [0]
+
+
+def test_a_walk_goes_on_until_it_holds_enough(spark):
+    r = np.random.default_rng(9)
+    x = r.normal(size=(3000, 8))
+    tree = ann.Tree(x)
+    sizes = dict(zip(*np.unique(tree.file(x), return_counts=True)))
+    few = tree.visit(x[0], 1, 500, sizes)
+    assert sum(sizes.get(n, 0) for n in few) >= 500 > sum(sizes.get(n, 0) for n in few[:-1])
+    rows = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(x[:400])]
+    docs = frame(spark, rows)
+    index = ann.Index(docs, k=60)
+    index.visits = lambda queries: 1
+    got = collected(index.search(docs.selectExpr("vec_id AS id").where("id % 40 = 0")))
+    assert all(len(v) == 60 for v in got.values()) and len(got) == 10
