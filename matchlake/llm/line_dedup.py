@@ -146,11 +146,12 @@ def dedup_lines(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                        F.col("doc_id").cast("long").alias("d_id"), F.xxhash64(F.col(text)).alias("d_t"))
     out = rows.join(drop, F.expr("d_id <=> x_id AND d_t = x_t"), "left")
-    parts = F.split(f"row.{text}", "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.array_union("x_exact", "x_near"))
-    cleaned = F.when(F.col("x_id").isNull() & F.col("x_t").isNull(), F.col(f"row.{text}")).otherwise(
-        F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n"))
-    counts = [F.coalesce(F.size(c), F.lit(0)).cast("long") for c in ("x_exact", "x_near")]
+    # an explode of one element keeps the split from being made anew for each line
+    parts = F.when(F.col("x_t").isNotNull(), F.split(F.col(f"row.{text}"), "\n"))
+    out = out.select("row", "x_t", "x_exact", "x_near", F.explode(F.array(parts)).alias("parts"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.array_union("x_exact", "x_near"))
+    cleaned = F.when(F.col("x_t").isNull(), F.col(f"row.{text}")).otherwise(
+        F.array_join(F.transform(kept, lambda i: F.get("parts", i)), "\n"))
+    count = lambda c: F.when(F.col("x_t").isNull(), 0).otherwise(F.size(c)).cast("long")
     return out.select(*[(cleaned if c == text else F.col(f"row.`{c}`")).alias(c) for c in docs.columns],
-                      F.when(F.col("x_t").isNull(), 0).otherwise(counts[0]).cast("long").alias("lines_exact"),
-                      F.when(F.col("x_t").isNull(), 0).otherwise(counts[1]).cast("long").alias("lines_near"))
+                      count("x_exact").alias("lines_exact"), count("x_near").alias("lines_near"))

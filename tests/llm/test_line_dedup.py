@@ -94,3 +94,10 @@ def test_counts(spark):
     docs = spark.createDataFrame([(1, line), (2, line), (3, line + " more")], "doc_id long, text string")
     got = {r.doc_id: (r.lines_exact, r.lines_near, r.text) for r in L.dedup_lines(docs).collect()}
     assert got == {1: (0, 0, line), 2: (1, 0, ""), 3: (0, 1, "")}
+
+
+def test_documents_of_many_lines(spark):
+    lines = [f"line number {k}" for k in range(20_000)]
+    docs = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join([*lines[1:], "own"]))], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in L.dedup_lines(docs).collect()}
+    assert got == {1: "\n".join(lines), 2: "own"}
