@@ -27,12 +27,15 @@ def components(edges: DataFrame, name: str = "edges") -> DataFrame:
         if state == before:
             break
         before = state
+        # the minima are written: a join of two tables can be split where one
+        # node has very many rows, a join with a running aggregate cannot
         around = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = cut(around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), name)
         # large star: every larger neighbour b of a points at m
-        large = around.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = cut(around.where("b > a").join(least, "a").select(
+            F.col("b").alias("a"), F.col("m").alias("b")).distinct(), name)
         # small star: a and its smaller neighbours point at the least of them
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = cut(large.groupBy("a").agg(F.min("b").alias("m")), name)
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(
             least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
         edges = cut(small, name)
