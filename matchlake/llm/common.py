@@ -77,16 +77,25 @@ def open_fs(uri: str):
 @contextmanager
 def whole_file(uri: str):
     """Open ``uri`` for writing under a name of this attempt and move it to its
-    own name once complete: a lost or repeated task leaves no half a file, and
-    since contents follow from the input, the last of several attempts to
-    finish puts the same bytes there."""
+    own name once complete: a lost or repeated task leaves no half a file.
+    Contents follow from the input, so if another attempt has put the file
+    there already, it holds the same bytes and stays."""
+    from pyarrow import fs
     store, path = open_fs(uri)
     folder, _, name = path.rpartition("/")
     store.create_dir(folder, recursive=True)
     part = f"{folder}/.{name}.{uuid.uuid4().hex}"
     with store.open_output_stream(part) as out:
         yield out
-    store.move(part, path)
+    there = lambda: store.get_file_info(path).type != fs.FileType.NotFound
+    if not there():
+        try:
+            store.move(part, path)
+        except OSError:
+            if not there():
+                raise
+    if store.get_file_info(part).type != fs.FileType.NotFound:
+        store.delete_file(part)
 
 
 def known_small(df: DataFrame, most_rows: int) -> DataFrame:

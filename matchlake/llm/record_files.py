@@ -1,8 +1,8 @@
 """Token-id record files: length-delimited binary records with an offset index.
 
-A record is ``length (u64) | masked crc32 of the length bytes (u32) | payload |
-masked crc32 of the payload (u32)``, all little-endian; the mask is the usual
-rotation by 15 bits plus 0xa282ead8.  A payload is one document's sequence:
+A record is ``length (u64) | masked CRC-32C of the length bytes (u32) | payload |
+masked CRC-32C of the payload (u32)``, all little-endian, the mask being a
+rotation by 15 bits plus 0xa282ead8: the framing of TFRecord files.  A payload is one document's sequence:
 ``doc_id (i64) | flags (u8) | ids``, ids being u16 if the vocabulary fits, else
 u32 (flag 1); flag 2 marks a null doc_id.  Beside each ``shard-P-S.rec`` lies
 ``shard-P-S.idx``: for each record its offset (u64) and length (u64), so that
@@ -33,43 +33,59 @@ from pyspark.sql import Window
 
 from .bpe import Runs, encode_words, number_words, row_blocks, tokenizer
 from .common import cut, open_fs, whole_file
+from .crc32c import crc32c
 
 ROLL_BYTES = 64 << 20
 ENCODE_BYTES = 24 << 20   # text whose distinct words are encoded together
 READ_BYTES = 4 << 20
+FRAME_AT_ONCE = 1000      # records whose checksums are taken together
 MASK = 0xA282EAD8         # fixed value
 HEAD, PREFIX = struct.Struct("<QI"), struct.Struct("<qB")
 MANIFEST = "part int, seq int, path string, records long, ids long, bytes long"
 
-def masked(data: bytes) -> int:
-    c = zlib.crc32(data)
-    return (((c >> 15) | (c << 17)) + MASK) & 0xFFFFFFFF
+def masked(strings: list[bytes]) -> np.ndarray:
+    """Masked CRC-32C of each string."""
+    c = crc32c(strings)
+    return ((c >> np.uint32(15)) | (c << np.uint32(17))) + np.uint32(MASK)
 
 
-def frame(payload: bytes) -> bytes:
-    n = struct.pack("<Q", len(payload))
-    return n + struct.pack("<I", masked(n)) + payload + struct.pack("<I", masked(payload))
+def frame(payloads: list[bytes]) -> list[bytes]:
+    """The framed record of each payload."""
+    heads = [struct.pack("<Q", len(p)) for p in payloads]
+    first, last = masked(heads).astype("<u4"), masked(payloads).astype("<u4")
+    return [h + a.tobytes() + p + b.tobytes() for h, a, p, b in zip(heads, first, payloads, last)]
 
 
-def unframe(data: bytes) -> bytes:
-    """The payload of one framed record; ValueError if a checksum disagrees."""
-    n, check = HEAD.unpack_from(data)
-    payload = data[HEAD.size:HEAD.size + n]
-    if check != masked(data[:8]) or len(data) != HEAD.size + n + 4 or \
-            struct.unpack_from("<I", data, HEAD.size + n)[0] != masked(payload):
+def unframe(records: list[bytes]) -> list[bytes]:
+    """The payload of each framed record; ValueError if a checksum disagrees."""
+    payloads = [r[HEAD.size:-4] for r in records]
+    heads = [r[:8] for r in records]
+    if any(len(r) < HEAD.size + 8 or HEAD.unpack_from(r)[0] != len(p) for r, p in zip(records, payloads)):
         raise ValueError("damaged record")
-    return payload
+    first = np.frombuffer(b"".join(r[8:HEAD.size] for r in records), "<u4")
+    last = np.frombuffer(b"".join(r[-4:] for r in records), "<u4")
+    if (first != masked(heads)).any() or (last != masked(payloads)).any():
+        raise ValueError("damaged record")
+    return payloads
 
 
-def sequences(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[int | None, np.ndarray]]:
-    """(doc_id, ids) of each row; the words of some megabytes of text are
-    numbered and each distinct one is encoded once."""
+def sequences(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[list[tuple[int | None, np.ndarray]]]:
+    """(doc_id, ids) of each row, some megabytes of text at a time; the words
+    of each part are numbered and each distinct one is encoded once."""
     for table in row_blocks(batches, "text", ENCODE_BYTES):
         numbers, each, words = number_words(table["text"].combine_chunks())
         ids = Runs(*encode_words(path, words.to_pylist()))
         ends = np.cumsum(each)
-        for doc_id, a, b in zip(table["doc_id"].to_pylist(), (ends - each).tolist(), ends.tolist()):
-            yield doc_id, ids.gather(numbers[a:b])
+        yield [(doc_id, ids.gather(numbers[a:b])) for doc_id, a, b in zip(
+            table["doc_id"].to_pylist(), (ends - each).tolist(), ends.tolist())]
+
+
+def _records(batches: Iterator[pa.RecordBatch], path: str, end_id: int, narrow: bool) -> Iterator[tuple[bytes, int]]:
+    """(framed record, number of ids) of each row."""
+    for part in sequences(batches, path):
+        for k in range(0, len(part), FRAME_AT_ONCE):
+            some = [(i, np.append(ids, np.uint32(end_id))) for i, ids in part[k:k + FRAME_AT_ONCE]]
+            yield from zip(frame([_payload(i, ids, narrow) for i, ids in some]), [len(ids) for _, ids in some])
 
 
 def write_records(docs: DataFrame, folder: str, path: str, end_id: int = 1) -> DataFrame:
@@ -79,18 +95,17 @@ def write_records(docs: DataFrame, folder: str, path: str, end_id: int = 1) -> D
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
-        rows = sequences(batches, path)
+        rows = _records(batches, path, end_id, narrow)
         row = next(rows, None)
         while row is not None:
             name = f"{folder}/shard-{part:06d}-{seq:05d}"
             index, at, ids = [], 0, 0
             with whole_file(name + ".rec") as out:
                 while row is not None and at < ROLL_BYTES:
-                    tokens = np.append(row[1], np.uint32(end_id))
-                    record = frame(_payload(row[0], tokens, narrow))
+                    record, tokens = row
                     out.write(record)
                     index += [at, len(record)]
-                    at, ids = at + len(record), ids + len(tokens)
+                    at, ids = at + len(record), ids + tokens
                     row = next(rows, None)
             with whole_file(name + ".idx") as out:
                 out.write(np.array(index, "<u8").tobytes())
@@ -142,8 +157,8 @@ def read_records(manifest: DataFrame, with_ids: bool = True) -> DataFrame:
                     for some in np.split(index, np.flatnonzero(np.diff(index[:, 0] // READ_BYTES)) + 1):
                         data = memoryview(f.read(int(some[:, 1].sum())))
                         out: dict[str, list] = {c: [] for c in ("doc_id", "start", "n_tokens", "ids_crc32", "ids")}
-                        for offset, length in (some - [some[0, 0], 0]).tolist():
-                            doc_id, ids = _sequence(unframe(data[offset:offset + length]))
+                        for payload in unframe([data[a:a + n] for a, n in (some - [some[0, 0], 0]).tolist()]):
+                            doc_id, ids = _sequence(payload)
                             for c, v in zip(out, (doc_id, start, len(ids), zlib.crc32(ids), ids if with_ids else None)):
                                 out[c].append(v)
                             start += len(ids)
@@ -182,10 +197,11 @@ def read_shuffled(manifest: DataFrame, seed: int) -> DataFrame:
                 store, at = open_fs(path)
                 with store.open_input_file(at) as f:
                     f.seek(offset)
-                    found.append((place, *_sequence(unframe(f.read(length)))))
+                    found.append((place, f.read(length)))
+            read = [_sequence(p) for p in unframe([r for _, r in found])]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64()),
-                 pa.array([x[2] for x in found], pa.list_(pa.int32()))], ["place", "doc_id", "ids"])
+                [pa.array([x for x, _ in found], pa.int64()), pa.array([x for x, _ in read], pa.int64()),
+                 pa.array([x for _, x in read], pa.list_(pa.int32()))], ["place", "doc_id", "ids"])
 
     index = offset_index(manifest).withColumn("place", F.xxhash64(F.lit(seed), "path", "record"))
     return index.repartitionByRange("place").sortWithinPartitions("place", "path", "record").mapInArrow(

@@ -47,13 +47,32 @@ def test_rolls_files_and_sums_starts(spark):
 
 
 def test_damage_is_found():
-    record = R.frame(b"payload")
-    assert R.unframe(record) == b"payload"
+    record, = R.frame([b"payload"])
+    assert R.unframe([record]) == [b"payload"]
     for k in range(len(record)):
         bad = bytearray(record)
         bad[k] ^= 1
         with pytest.raises(ValueError):
-            R.unframe(bytes(bad))
+            R.unframe([bytes(bad)])
+
+
+def test_checksums_of_every_length():
+    import random
+
+    from matchlake.llm.crc32c import crc32c
+
+    def plain(data):
+        c = 0xFFFFFFFF
+        for x in data:
+            c ^= x
+            for _ in range(8):
+                c = (c >> 1) ^ (0x82F63B78 if c & 1 else 0)
+        return c ^ 0xFFFFFFFF
+    assert plain(b"123456789") == 0xE3069283            # the published check value
+    r = random.Random(1)
+    strings = [r.randbytes(n) for n in [*range(4, 200), 1000, 4096, 10_001, 30_000]]
+    assert crc32c(strings).tolist() == [plain(s) for s in strings]
+    assert crc32c([]).tolist() == []
 
 
 def test_no_rows(no_docs, folder):
