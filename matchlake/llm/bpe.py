@@ -22,6 +22,7 @@ carried ones are not read.  An empty table gives no rows.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import json
 import os
@@ -183,8 +184,20 @@ def joined(parts: pa.Array, counts: np.ndarray) -> pa.Array:
 
 
 def release() -> None:
-    """Give the memory of a finished block back, for the next worker's sake."""
+    """Give freed memory back to the system, for the sake of other workers and
+    of the executor: an idle worker would keep it."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run``, giving its memory back when a task ends."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+    return task
 
 
 def row_blocks(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[pa.Table]:
@@ -203,8 +216,6 @@ def row_blocks(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iter
         parts.append(b.slice(start))
     if any(p.num_rows for p in parts):
         yield pa.Table.from_batches(parts).combine_chunks()
-        parts.clear()
-        release()
 
 
 def _column(table: pa.Table, name: str) -> pa.Array:
@@ -269,6 +280,11 @@ def encode_decode(docs: DataFrame, path: str, carried: list[str], finish: Callab
                 "words": pa.array([b" ".join(words[starts[k]:starts[k + 1]]).decode() for k in some], pa.string())})
 
     def encode_bucket(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        out = encoded(table)
+        release()
+        return out
+
+    def encoded(table: pa.Table) -> pa.Table:
         """Encode a bucket's distinct words once and give each block the ids of its own."""
         numbers, each, words = number_words(_column(table, "words"))
         ids = Runs(*encode_words(path, words.to_pylist()))
@@ -293,6 +309,11 @@ def encode_decode(docs: DataFrame, path: str, carried: list[str], finish: Callab
     fields = to_arrow_schema(spark.createDataFrame([], out_ddl).schema)
 
     def join_back(key: tuple[pa.Scalar, ...], docs_of: pa.Table, ids: pa.Table) -> pa.Table:
+        out = joined_back(docs_of, ids)
+        release()
+        return out
+
+    def joined_back(docs_of: pa.Table, ids: pa.Table) -> pa.Table:
         """Ids and pieces of a block's words, strung together by position for its documents."""
         seen = set(ids["digest"].to_pylist()) or {hashlib.md5(b"").digest()}
         if docs_of.num_rows and {*docs_of["digest"].to_pylist()} != seen:
@@ -314,10 +335,10 @@ def encode_decode(docs: DataFrame, path: str, carried: list[str], finish: Callab
         return pa.table([*(docs_of[c] for c in names), *done], names=fields.names).cast(fields)
 
     finished_fields = list(fields)[len(names):]
-    ids = rows.select("bpe_text").mapInArrow(lists, "bucket int, block long, digest binary, words string").groupBy(
+    ids = rows.select("bpe_text").mapInArrow(releasing(lists), "bucket int, block long, digest binary, words string").groupBy(
         "bucket").applyInArrow(encode_bucket, "block long, bucket int, digest binary, n int, lengths binary, "
                                               "total int, ids binary")
-    placed = rows.mapInArrow(positions, ", ".join(x for x in (kept, "block long, digest binary, n long, at binary") if x))
+    placed = rows.mapInArrow(releasing(positions), ", ".join(x for x in (kept, "block long, digest binary, n long, at binary") if x))
     out = placed.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(join_back, out_ddl)
     rest = out.columns[len(names):]
     return out.select(*[F.col(n).alias(c) for n, c in zip(names, carried)], *rest)

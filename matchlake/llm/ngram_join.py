@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import number_words, row_blocks
+from .bpe import number_words, releasing, row_blocks
 from .common import cut, known_small
 from .components import components
 
@@ -162,7 +162,7 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, t, digest, grams) and classes of equal word sequences
     (node, digest, doc_id, t, copies, sign), both written."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"), "text")
-    rows = cut(slim.mapInArrow(_signed, "doc_id long, t long, digest binary, grams long, sign array<long>"), "ngram-rows")
+    rows = cut(slim.mapInArrow(releasing(_signed), "doc_id long, t long, digest binary, grams long, sign array<long>"), "ngram-rows")
     first = F.min(F.struct(F.isnull("doc_id").alias("last"), F.col("doc_id"), F.col("t")))
     classes = rows.where("grams > 0").groupBy("digest").agg(
         first.alias("f"), F.count("*").alias("copies"), F.any_value("sign").alias("sign"))

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bpe import releasing
+
 SAMPLE_ROWS = 400        # documents on which costs and selectivities are measured
 SAMPLE_FRACTION = 0.05
 SPACE = " \t\n\x0b\x0c\r"
@@ -148,7 +150,7 @@ def quality_filter(docs: DataFrame, order: tuple[str, ...] | None = None) -> Dat
         for b in batches:
             yield b.filter(pa.array([cascade(Signals(t), order) is None for t in b.column(at).to_pylist()], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(releasing(run), docs.schema)
 
 
 def quality_report(docs: DataFrame, order: tuple[str, ...] | None = None) -> DataFrame:
@@ -171,4 +173,4 @@ def quality_report(docs: DataFrame, order: tuple[str, ...] | None = None) -> Dat
                 ["doc_id", *ARROW_SIGNALS, "base_failed", "kept"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, f"doc_id long, {SIGNALS}, base_failed boolean, kept boolean")
+        releasing(run), f"doc_id long, {SIGNALS}, base_failed boolean, kept boolean")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .bpe import Runs, encode_words, number_words, row_blocks, tokenizer
+from .bpe import Runs, encode_words, number_words, releasing, row_blocks, tokenizer
 from .common import cut, open_fs, whole_file
 from .crc32c import crc32c
 
@@ -116,7 +116,7 @@ def write_records(docs: DataFrame, folder: str, path: str, end_id: int = 1) -> D
 
     dealt = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(F.col("doc_id").asc_nulls_first())
     ordered = dealt.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    return cut(ordered.mapInArrow(write, MANIFEST), "records-manifest")
+    return cut(ordered.mapInArrow(releasing(write), MANIFEST), "records-manifest")
 
 
 def with_starts(manifest: DataFrame, width: int = 1000) -> DataFrame:
