@@ -11,13 +11,16 @@ its successor (end of record by Content-Length).  Payloads may hold whole WARC
 records, so candidates are not trusted: a block's chains are followed to where
 they leave the block, and pointer jumping from the start of each file, doubling
 the stride each round, keeps the entries that are reached.  Only records on the
-chain from an entry are read.  Equal payloads are told by SHA-1 and length.
+chain from an entry are read.  Heads may have any length.  If the files come
+with their numbers of records (a manifest), an archive whose chain holds another
+number is an error.  Equal payloads are told by SHA-1 and length.
 
 Edge cases: a null payload is empty; a null URL leaves out WARC-Target-URI;
 control characters in a URL are percent-encoded.  A null id is smaller than
 any other and is written as ``null``.  Rows that tie on the largest id are all
 responses.  Empty table: no files, no records.  A file that does not begin
-with the magic, or a record cut short, ends its chain there.
+with the magic, or a record cut short, ends its chain there (an error if the number
+of records is given).
 """
 
 from __future__ import annotations
@@ -39,9 +42,11 @@ END = b"\r\n\r\n"
 MIN_REVISIT = 1000
 ROLL_BYTES = 64 << 20
 BLOCK_BYTES = 8 << 20
-MOST_HEAD = 1 << 16               # bytes of a record's head
+READ_ON = 1 << 16                 # bytes first read past a block; more as a head needs them
 ID = "urn:page:"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed value
+FIELDS = {b"warc-type", b"warc-record-id", b"warc-refers-to", b"warc-payload-digest", b"warc-target-uri",
+          b"content-length"}
 MANIFEST = "path string, records long, bytes long"
 RECORD = ("path string, offset long, record_type string, id string, refers_to string, url string, "
           "payload_bytes long, payload_digest string, payload binary")
@@ -98,22 +103,53 @@ def write_warc(pages: DataFrame, folder: str, key: str = "page_id", url: str = "
     return cut(told.mapInArrow(write, MANIFEST), "warc-manifest")
 
 
-def _head(data: bytes, at: int) -> tuple[dict[bytes, bytes], int, int] | None:
-    """Header fields, start of the block and start of the next record, if a
-    record can begin at ``data[at]``; None if not."""
-    stop = data.find(END, at, at + MOST_HEAD)
-    if stop < 0 or not data.startswith(MAGIC, at):
-        return None
-    fields = {}
-    for line in data[at + len(MAGIC):stop].split(b"\r\n"):
-        name, colon, value = line.partition(b":")
+def _head(f, data: bytes, at: int) -> tuple[bytes, dict[bytes, tuple[int, bytes]] | None, int]:
+    """Walk the head whose magic is at ``data[at]``, reading on from ``f`` (which
+    stands at the end of ``data``) until it ends: the data, the place and value
+    of each of ``FIELDS`` and the start of the block.  The fields are None if
+    this is no head; the last value is then where it broke."""
+    fields: dict[bytes, tuple[int, bytes]] = {}
+    step, at = READ_ON, at + len(MAGIC)
+    seen = at
+    while True:
+        stop = data.find(b"\r\n", seen)
+        if stop < 0:
+            more = f.read(step)
+            if not more:
+                return data, None, len(data)
+            seen, step = max(at, len(data) - 1), 2 * step
+            data += more
+            continue
+        if stop == at:
+            return data, fields, stop + 2
+        name, colon, value = data[at:stop].partition(b":")
         if not colon:
-            return None
-        fields[name.strip().lower()] = value.strip()
-    length = fields.get(b"content-length", b"")
-    if not length.isdigit() or b"warc-type" not in fields:
-        return None
-    return fields, stop + 4, stop + 4 + int(length) + 4
+            return data, None, at
+        if (name := name.strip().lower()) in FIELDS:
+            fields[name] = at, value.strip()
+        at = seen = stop + 2
+
+
+def _heads(f, data: bytes, limit: int) -> Iterator[tuple[int, int]]:
+    """(place, start of the next record) of each place before ``data[limit]``
+    where a record can begin.  Magics inside a walked head share its end, and
+    none up to a broken line begins a record: every line is walked once."""
+    fields, over = None, 0
+    k = data.find(MAGIC)
+    while 0 <= k < limit:
+        if (first := k + len(MAGIC)) > over:
+            data, fields, over = _head(f, data, k)
+        if (to := _next(fields, over, first)) is not None:
+            yield k, to
+        k = data.find(MAGIC, k + 1)
+
+
+def _next(fields: dict[bytes, tuple[int, bytes]] | None, block: int, first: int) -> int | None:
+    """Start of the record after the one whose lines begin at ``first``, if it is one."""
+    none = -1, b""
+    at, length = (fields or {}).get(b"content-length", none)
+    kind, _ = (fields or {}).get(b"warc-type", none)
+    return block + int(length) + 4 if min(at, kind) >= first and length.isdigit() else None
 
 
 def _blocks_of(files: DataFrame, block_bytes: int) -> DataFrame:
@@ -125,9 +161,9 @@ def _blocks_of(files: DataFrame, block_bytes: int) -> DataFrame:
 
 
 def candidates(files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(path, bytes, offset, successor, leaves) of every place that looks like
-    a record; ``leaves`` is where its chain first passes the end of its block
-    (null if the chain breaks inside it)."""
+    """(path, bytes, offset, successor, leaves, records) of every place that
+    looks like a record; ``leaves`` is where its chain first passes the end of
+    its block (null if the chain breaks inside it), after so many records."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for path, size, block in zip(*(b[c].to_pylist() for c in ("path", "bytes", "block"))):
@@ -135,31 +171,29 @@ def candidates(files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
                 store, at = open_fs(path)
                 with store.open_input_file(at) as f:
                     f.seek(start)
-                    data = f.read(stop - start + MOST_HEAD)
-                follow: dict[int, int] = {}
-                k = data.find(MAGIC)
-                while 0 <= k < stop - start:
-                    head = _head(data, k)
-                    if head and start + head[2] <= size:
-                        follow[start + k] = start + head[2]
-                    k = data.find(MAGIC, k + 1)
+                    data = f.read(stop - start + READ_ON)
+                    follow = {start + k: start + to for k, to in _heads(f, data, stop - start) if start + to <= size}
                 leaves: dict[int, int | None] = {}
+                records: dict[int, int] = {}
                 for k in sorted(follow, reverse=True):
                     to = follow[k]
                     leaves[k] = to if to >= stop else leaves.get(to)
+                    records[k] = 1 + records.get(to, 0)
                 n = len(follow)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([path] * n, pa.string()), pa.array([size] * n, pa.int64()),
                      pa.array(list(follow), pa.int64()), pa.array(list(follow.values()), pa.int64()),
-                     pa.array([leaves[k] for k in follow], pa.int64())],
-                    ["path", "bytes", "offset", "successor", "leaves"])
+                     pa.array([leaves[k] for k in follow], pa.int64()),
+                     pa.array([records[k] for k in follow], pa.int64())],
+                    ["path", "bytes", "offset", "successor", "leaves", "records"])
 
     return _blocks_of(files, block_bytes).mapInArrow(
-        find, "path string, bytes long, offset long, successor long, leaves long")
+        find, "path string, bytes long, offset long, successor long, leaves long, records long")
 
 
 def reached_entries(found: DataFrame) -> DataFrame:
-    """(path, bytes, offset): where the chain from a file's start enters a block.
+    """(path, bytes, offset, records): where the chain from a file's start enters
+    a block, and its records there.
 
     Pointer jumping: after round k the entries up to 2**k blocks along the
     chain are known and every pointer spans 2**k blocks.
@@ -179,7 +213,17 @@ def reached_entries(found: DataFrame) -> DataFrame:
         ahead = pointers.select("path", F.col("offset").alias("to"), F.col("to").alias("further"))
         pointers = cut(pointers.join(ahead, ["path", "to"], "left").select(
             "path", "offset", F.col("further").alias("to")), "warc-pointers")
-    return found.select("path", "bytes", "offset").join(reached, ["path", "offset"], "left_semi")
+    return found.select("path", "bytes", "offset", "records").join(reached, ["path", "offset"], "left_semi")
+
+
+def _whole(files: DataFrame, entries: DataFrame) -> None:
+    """Fail unless the chains of ``entries`` hold as many records as ``files`` name."""
+    told = files.groupBy("path").agg(F.sum("records").alias("told"))
+    found = entries.groupBy("path").agg(F.sum("records").alias("found"))
+    wrong = told.join(found, "path", "left").select("path", "told", F.coalesce("found", F.lit(0)).alias("found")).where(
+        "told <> found").limit(5).collect()
+    if wrong:
+        raise ValueError("broken archives: " + "; ".join(f"{r.path} has {r.found} of {r.told} records" for r in wrong))
 
 
 def _fields(path: str, offset: int, head: dict[bytes, bytes], block: bytes) -> tuple:
@@ -198,8 +242,11 @@ def _fields(path: str, offset: int, head: dict[bytes, bytes], block: bytes) -> t
 
 
 def read_warc(files: DataFrame, block_bytes: int = BLOCK_BYTES, with_payload: bool = True) -> DataFrame:
-    """All records of the archives in ``files`` (path, bytes)."""
+    """All records of the archives in ``files`` (path, bytes, and the number of
+    their records, if known)."""
     entries = reached_entries(candidates(files, block_bytes))
+    if "records" in files.columns:
+        _whole(files, entries)
     ddl = RECORD if with_payload else RECORD.rpartition(",")[0]
     names = [x.split()[0] for x in ddl.split(", ")]
     types = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
@@ -207,26 +254,28 @@ def read_warc(files: DataFrame, block_bytes: int = BLOCK_BYTES, with_payload: bo
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for path, size, offset in zip(*(b[c].to_pylist() for c in ("path", "bytes", "offset"))):
+            for path, size, offset, records in zip(*(b[c].to_pylist() for c in ("path", "bytes", "offset", "records"))):
                 stop = min(size, (offset // block_bytes + 1) * block_bytes)
                 store, at = open_fs(path)
-                rows, held = [], 0
+                rows, held, n, entry = [], 0, 0, offset
                 with store.open_input_file(at) as f:
                     f.seek(offset)
-                    data, base = f.read(stop - offset + MOST_HEAD), offset
-                    while offset < stop:
-                        head = _head(data, offset - base)
-                        if not head or base + head[2] > size:
+                    data, base = f.read(stop - offset + READ_ON), offset
+                    while offset < stop and data.startswith(MAGIC, offset - base):
+                        data, head, block = _head(f, data, offset - base)
+                        to = _next(head, block, offset - base)
+                        if to is None or base + to > size:
                             break
-                        if head[2] > len(data):          # a record longer than what is read
-                            f.seek(base + len(data))
-                            data += f.read(head[2] - len(data) + MOST_HEAD)
-                        rows.append(_fields(path, offset, head[0], data[head[1]:head[2] - 4])[:len(names)])
-                        held += head[2] - head[1]
-                        offset = base + head[2]
+                        if to > len(data):               # a record longer than what is read
+                            data += f.read(to - len(data) + READ_ON)
+                        head = {k: v for k, (_, v) in head.items()}
+                        rows.append(_fields(path, offset, head, data[block:to - 4])[:len(names)])
+                        held, n, offset = held + to - block, n + 1, base + to
                         if held > (4 << 20):
                             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
                             rows, held = [], 0
+                if n != records:
+                    raise ValueError(f"broken archive: {n} of {records} records read at {entry} of {path}")
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 

@@ -78,3 +78,31 @@ def test_a_cut_file_ends_its_chain(spark, folder):
 def test_no_rows(spark, folder):
     files = warc.write_warc(pages(spark, []), folder)
     assert files.collect() == [] and warc.read_warc(files).collect() == []
+
+
+@pytest.mark.parametrize("block", [700, 1 << 23])
+def test_heads_of_any_length(spark, folder, block):
+    """Records with very long URLs, and all after them, are read."""
+    rows = [(i, "u" if i % 2 else "data:" + "é:/WARC/1.1" * (i * 3000), f"page {i}") for i in range(8)]
+    files = warc.write_warc(pages(spark, rows).coalesce(1), folder)
+    got = {int(r.id): (r.url, bytes(r.payload).decode()) for r in warc.read_warc(files, block_bytes=block).collect()}
+    assert got == {i: (u, p) for i, u, p in rows}
+
+
+def test_pages_that_look_like_endless_heads(spark, folder):
+    """Magic lines that share one head, no head or a head without an end."""
+    rows = [(1, "u", "X: WARC/1.1\r\n" * 100_000), (2, "u", "WARC/1.1\r\nA: b\r\n" * 50_000),
+            (3, "u", "WARC/1.1\r\n" + "x" * 200_000), (4, "u", "WARC/1.1\r\nWARC-Type: x\r\nContent-Length: 5\r\nX: " + inner())]
+    files = warc.write_warc(pages(spark, rows).coalesce(1), folder)
+    got = {int(r.id): bytes(r.payload).decode() for r in warc.read_warc(files, block_bytes=100_000).collect()}
+    assert got == {i: h for i, _, h in rows}
+
+
+def test_a_broken_chain_is_an_error(spark, folder):
+    import os
+    files = warc.write_warc(pages(spark, [(i, "u", f"page {i}") for i in range(20)]).coalesce(1), folder)
+    path, size = files.first().path, files.first().bytes - 7
+    os.truncate(path.removeprefix("file://"), size)
+    cut = spark.createDataFrame([(path, 20, size)], warc.MANIFEST)
+    with pytest.raises(ValueError, match="19 of 20 records"):
+        warc.read_warc(cut)
