@@ -121,7 +121,7 @@ def copies(sizes: DataFrame, targets: DataFrame, seed: int = 7) -> DataFrame:
     """(src, doc_id, size, mult, copies) for each distinct (doc_id, source,
     size) of ``sizes``; ``mult`` rows share it."""
     groups = F.ceil(F.col("docs") / F.lit(GROUP_ROWS))
-    rate = F.col("target") / F.col("source_size")
+    rate = F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))     # a source may have no words
     rates = targets.select(F.col("source").alias("of"), "src", groups.alias("groups"), rate.alias("rate"))
     docs = (sizes.where("size > 0").groupBy("doc_id", "source", "size").agg(F.count("*").alias("mult"))
             .join(rates, F.expr("source <=> of"))

@@ -81,3 +81,15 @@ def test_edge_cases(edge_docs, edge_rows, no_docs):
     want = sum(plan[r[0], r[3], len((r[1] or "").encode().split())] for r in edge_rows)
     assert mixed.count() == want
     assert mixing.mix_plan(no_docs).collect() == [] and mixing.mix(no_docs).collect() == []
+
+
+def test_sources_without_words(spark):
+    """A source of empty texts takes nothing and leaves the others as they are; so does a table of them."""
+    none = [(1, "a", None), (2, "a", ""), (3, None, " \t\n"), (4, "c", "")]
+    rows = none + [(i, "bd"[i % 2], "w " * (1 + i * 7 % 30)) for i in range(10, 60)]
+    schema = "doc_id long, source string, text string"
+    check(mixing.mix_plan(spark.createDataFrame(rows, schema)), rows)
+    empty = spark.createDataFrame(none, schema)
+    got = mixing.mix_plan(empty).collect()
+    assert sorted(r.doc_id for r in got) == [1, 2, 3, 4] and all(r.copies == r.taken == r.target == 0 for r in got)
+    assert mixing.mix(empty).collect() == []
