@@ -191,7 +191,9 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
     placed = cut(placed.select(F.col("doc_id").alias("p_id"), F.col("t").alias("p_t"), "root", "node", "copies", "block",
                                "blocks"), "ngram-placed")
     texts = docs.select(F.col("doc_id").cast("long").alias("d_id"), F.xxhash64("text").alias("d_t"), "text")
-    texts = texts.join(known_small(placed, SMALL_ROWS), F.expr("d_id <=> p_id AND d_t = p_t")).select(
+    # rows that repeat a class's document merge where they are read: each text goes to its blocks once
+    texts = texts.join(known_small(placed, SMALL_ROWS), F.expr("d_id <=> p_id AND d_t = p_t")).groupBy(
+        "root", "node", "copies", "block", "blocks").agg(F.any_value("text").alias("text")).select(
         "root", "node", "copies", "block", "text", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("x"))
     cells = texts.select("root", F.least("block", "x").alias("one"), F.greatest("block", "x").alias("other"),
                          "node", "copies", "block", "text")

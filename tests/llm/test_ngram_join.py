@@ -127,3 +127,23 @@ def test_components(spark):
     got = {x.node: x.root for x in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in list(root)}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_repeated_rows_reach_a_block_once(spark, monkeypatch):
+    """Of rows that repeat a document (null ids too) one text is compared."""
+    verify = N._verify
+
+    def once(threshold):
+        run = verify(threshold)
+
+        def checked(key, rows):
+            if len(set(rows["node"].to_pylist())) < rows.num_rows:
+                raise ValueError("repeated texts in one group")
+            return run(key, rows)
+        return checked
+    monkeypatch.setattr(N, "_verify", once)
+    a, b = prose(100, 11), prose(100, 12)
+    rows = [(1, a)] * 30 + [(2, a + " end")] + [(None, b)] * 30 + [(3, b + " end"), (None, b + " more")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(((r.doc_id, r.class_id, r.n_links) for r in N.near_duplicates(docs).collect()), key=str)
+    assert got == sorted([(1, 1, 30)] * 30 + [(2, 1, 30)] + [(None, 3, 31)] * 30 + [(3, 3, 31), (None, 3, 31)], key=str)
