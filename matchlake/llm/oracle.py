@@ -113,5 +113,36 @@ SELECT page_id, host, path, rule, CASE
     WHEN {_BLOCKED} THEN 'block' ELSE 'allow' END AS verdict
 FROM r"""
 
+# op13: the published forms of credentials once more, as RE2 reads them
+_ASSIGN = (r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"""
+           r"""|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+_SECRETS = [("assign", _ASSIGN, 0), ("access", r"AKIA[A-Z0-9]+", 20), ("hex", r"[0-9a-f]+", 24),
+            ("private_key", r"-----BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY-----", 0),
+            ("github", r"(?:gho|ghp|ghr|ghs|ghu)_[A-Za-z0-9]{36,}", 0), ("slack", r"xox[abprs]-[-A-Za-z0-9]{10,}", 0),
+            ("google", r"AIza[-A-Za-z0-9_]{35}", 0), ("stripe", r"(?:rk|sk)_live_[A-Za-z0-9]{16,}", 0),
+            ("jwt", r"eyJ[-A-Za-z0-9_]{10,}\.eyJ[-A-Za-z0-9_]{10,}\.[-A-Za-z0-9_]{10,}", 0),
+            ("url_login", r"://[^\x00-\x20/:@]{1,64}:[^\x00-\x20/:@]{1,64}@", 0)]
+
+
+def _matches(no: int, kind: str, pattern: str, least: int) -> str:
+    """Start and end of each match: the lengths of what stands between matches and of the matches themselves."""
+    p = _sql(pattern)
+    ok = f"length(regexp_extract(f[i], {p}, 2)) >= 6" if kind == "assign" else f"length(f[i]) >= {least}"
+    return f"""SELECT k, {no} AS no, '{kind}' AS kind, b AS s, b + length(f[i]) AS e FROM (
+        SELECT k, f, i, (list_sum(list_transform(g[1:i], lambda x: length(x)))
+                         + coalesce(list_sum(list_transform(f[1:i - 1], lambda x: length(x))), 0))::BIGINT AS b
+        FROM (SELECT k, f, g, unnest(range(1, len(f) + 1)) AS i FROM (
+            SELECT k, regexp_extract_all(t, {p}) AS f, string_split_regex(t, {p}) AS g FROM d))) WHERE {ok}"""
+
+
+SECRETS = f"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({" UNION ALL ".join(_matches(i, *s) for i, s in enumerate(_SECRETS))}),
+g AS (SELECT k, count(*) FILTER (no = 0) AS n_assign, count(*) FILTER (no = 1) AS n_access, count(*) FILTER (no = 2) AS n_hex,
+             string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, no) FILTER (no < 3) AS base,
+             string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, no) AS spans FROM m GROUP BY k)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (k)"""
+
 SQL = {"op3_warc": WARC, "op4_quality_rules": QUALITY, "op5_line_dedup": LINES, "op7_license_scan": LICENSES,
-       "op10_url_filter": URLS}
+       "op10_url_filter": URLS, "op13_secret_scan": SECRETS}
