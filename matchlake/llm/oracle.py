@@ -144,5 +144,30 @@ g AS (SELECT k, count(*) FILTER (no = 0) AS n_assign, count(*) FILTER (no = 1) A
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (k)"""
 
+AUDIT = rf"""
+WITH d AS (SELECT row_number() OVER () AS k, translate(coalesce(text, ''), {_UP}, {_LOW}) AS t, coalesce(lang, '') AS lang,
+                  coalesce(source, '') AS source FROM documents),
+w AS (SELECT k, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT k) >= 30),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT DISTINCT lang, source FROM d),
+s AS (SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n, sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total,
+             sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, kept.term) AS lang_n, sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang) AS lang_total, v
+      FROM g JOIN kept ON g.lang = kept.lang JOIN v ON v.lang = g.lang
+      LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+p AS (SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 5)) // (total + 5 * v) AS p,
+             1 + (1000000000::HUGEINT * (lang_n + 5)) // (lang_total + 5 * v) AS q FROM s),
+f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS f FROM p a JOIN p b USING (lang, term)
+      WHERE a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.f, 0)::BIGINT AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+      FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT * FROM r WHERE part = 'pair' OR rank <= 50"""
+
 SQL = {"op3_warc": WARC, "op4_quality_rules": QUALITY, "op5_line_dedup": LINES, "op7_license_scan": LICENSES,
-       "op10_url_filter": URLS, "op13_secret_scan": SECRETS}
+       "op10_url_filter": URLS,
+       "op11_source_audit": AUDIT, "op13_secret_scan": SECRETS}
