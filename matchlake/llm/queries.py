@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from matchlake.session import shared_dir
 
-from . import (ann, bpe, license_scan, line_dedup, mixing, ngram_join, quality_rules, record_files, secret_scan, source_audit,
+from . import (ann, bpe, hard_negatives, license_scan, line_dedup, mixing, ngram_join, quality_rules, record_files, secret_scan, source_audit,
                url_filter, warc)
 from .common import table
 from .oracle import SQL as SQL
@@ -81,6 +81,13 @@ def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.audit(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    label = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = hard_negatives.usable(table(spark, sf_dir, "embeddings"), "vec_id", label, "embedding")
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0)
+
+
 def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(table(spark, sf_dir, "documents"))
 
@@ -88,6 +95,6 @@ def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_ann, op2_source_mix, op3_warc, op4_quality_rules, op5_line_dedup, op6_bpe, op7_license_scan, op8_ngram_join,
-        op9_record_files, op10_url_filter, op11_source_audit, op13_secret_scan)}
+        op9_record_files, op10_url_filter, op11_source_audit, op12_hard_negatives, op13_secret_scan)}
 
 
