@@ -143,23 +143,8 @@ def deck_dim(log: DataFrame, stg_cards: DataFrame, dedupe: bool = True,
     reach the join.  Without dedupe, every side is joined to its deck's counts.
     """
     cats = categories or GAME_DECK_CATEGORIES
-    names = slots(F.col("deck"), "name", DECK_SIZE)
-    if normalize:
-        names = F.array_sort(names)
-    sides = deck_sides(log).select(
-        names.alias("cards_list"),
-        list_avg(slots(F.col("deck"), "elixirCost", DECK_SIZE)).alias("average_elixir_cost"))
-
-    flag_aggs = [F.max((F.col(col) == F.lit(val)).cast("int")).alias(out)
-                 for out, (col, val) in cats.items()]
-    flags = stg_cards.groupBy(F.col("name").alias("__card")).agg(*flag_aggs)
-
-    per_deck = sides.distinct()
-    exploded = per_deck.select("cards_list", "average_elixir_cost", F.explode_outer(
-        F.filter("cards_list", lambda c: c.isNotNull())).alias("__card"))
-    counted = (exploded.join(flags, "__card", "left")
-               .groupBy("cards_list", "average_elixir_cost")
-               .agg(*[F.coalesce(F.sum(out), F.lit(0)).cast("bigint").alias(out) for out in cats]))
+    sides = deck_lists(log, normalize)
+    counted = deck_counts(sides.distinct(), card_flags(stg_cards, cats), cats)
     if not dedupe:
         counted = sides.alias("s").join(counted.alias("c"), F.expr(
             "s.cards_list = c.cards_list AND s.average_elixir_cost <=> c.average_elixir_cost")).select("s.*", *cats)
@@ -168,6 +153,29 @@ def deck_dim(log: DataFrame, stg_cards: DataFrame, dedupe: bool = True,
         *[F.col(out) for out in cats], "average_elixir_cost")
 
 
+def deck_lists(log: DataFrame, normalize: bool = False) -> DataFrame:
+    """Card names in eight slots and average cost of every side of every battle."""
+    names = slots(F.col("deck"), "name", DECK_SIZE)
+    return deck_sides(log).select(
+        (F.array_sort(names) if normalize else names).alias("cards_list"),
+        list_avg(slots(F.col("deck"), "elixirCost", DECK_SIZE)).alias("average_elixir_cost"))
+
+
+def card_flags(stg_cards: DataFrame, categories: dict[str, tuple[str, str]]) -> DataFrame:
+    """One row per card name: 1 for each category that one of its catalogue rows is of."""
+    return stg_cards.groupBy(F.col("name").alias("__card")).agg(
+        *[F.max((F.col(col) == F.lit(val)).cast("int")).alias(out) for out, (col, val) in categories.items()])
+
+
+def deck_counts(per_deck: DataFrame, flags: DataFrame, categories: dict[str, tuple[str, str]]) -> DataFrame:
+    """Distinct decks (``cards_list``, ``average_elixir_cost``) with their category counts."""
+    exploded = per_deck.select("cards_list", "average_elixir_cost", F.explode_outer(
+        F.filter("cards_list", lambda c: c.isNotNull())).alias("__card"))
+    return (exploded.join(flags, "__card", "left")
+            .groupBy("cards_list", "average_elixir_cost")
+            .agg(*[F.coalesce(F.sum(out), F.lit(0)).cast("bigint").alias(out) for out in categories]))
+
+
 def player_dim(stats: DataFrame, key=md5_key) -> DataFrame:
     return stats.select(
         key(F.col("tag")).alias("player_id"), F.col("tag").alias("player_tag"),

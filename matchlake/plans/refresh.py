@@ -1,12 +1,13 @@
 """Refresh plans: the daily and the monthly (full) warehouse rebuild.
 
 Both run as a sequence of distributed jobs over catalog tables whose data lives
-under ``warehouse``.  Keyed loads are idempotent; a rebuilt table is written to
-a new folder and the table is then pointed at it, so readers see the old or the
-new content; a failed run can simply be repeated.  The facts are partitioned by
-battle month, and a load rebuilds the months it touched.  Unlike the
-reference's daily job, the daily plan also rebuilds the log-derived dimensions,
-so new battles never vanish from inner joins until the monthly run.
+under ``warehouse``.  The battle log, the facts, and the day and deck dimensions
+are kept incrementally (:mod:`matchlake.plans.incremental`): a day's load reads
+and writes what belongs to the day, and new battles never vanish from inner
+joins until the monthly run.  Player and clan stats are upserted into key
+buckets that grow with them.  Small catalogues are rebuilt: a new folder is
+written and the table then pointed at it.  Readers see the old or the new
+content of a table; a failed run can simply be repeated.
 """
 
 from __future__ import annotations
@@ -17,8 +18,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..sources.catalog import (KEY_BUCKET, create_table, drop_versions, ensure_schemas, insert_ignore_table,
-                               insert_overwrite_dynamic, replace_table, upsert_buckets)
+from ..sources import buckets as B
+from ..sources import published as P
+from ..sources.catalog import create_table, drop_versions, ensure_schemas, insert_ignore_table, replace_table
+from . import incremental as I
 from . import models as M
 
 LOG = "raw.player_battle_log"
@@ -28,8 +31,6 @@ CARDS = "staging.stg_cards"
 SEASONS = "staging.stg_seasons"
 TOP_PLAYERS = "staging.stg_top_players_by_season"
 BATTLE_MONTH = "battle_month"
-#: Key buckets of the stats tables; set when a table is created.
-STATS_BUCKETS = 16
 
 
 class Names:
@@ -78,23 +79,24 @@ def _rebuild(spark: SparkSession, warehouse: str, name: str, df: DataFrame) -> D
     return out
 
 
-def init_warehouse(spark: SparkSession, warehouse: str, reset: bool = False, prefix: str = "") -> None:
-    """Create the landing tables and the fact table (IF NOT EXISTS); ``reset``
-    drops them first."""
+def store(names: Names) -> I.Store:
+    """The incrementally kept tables of a warehouse."""
+    return I.Store(names(LOG), names("fct_battle"), names("date_dim"), names("deck_dim"))
+
+
+def init_warehouse(spark: SparkSession, warehouse: str, reset: bool = False, prefix: str = "", categories=None) -> None:
+    """Create the landing and the model tables (IF NOT EXISTS); ``reset`` drops them first."""
     n = Names(prefix)
     ensure_schemas(spark, prefix + "raw", prefix + "staging", *([prefix + "main"] if prefix else []))
     if reset:
-        for name in [LOG, PLAYER_STATS, CLAN_STATS, CARDS, SEASONS, TOP_PLAYERS, "fct_battle", "player_dim",
-                     "date_dim", "deck_dim", "card_dim", "clan_dim"]:
+        I.drop(spark, store(n))
+        for name in [PLAYER_STATS, CLAN_STATS]:
+            P.drop_published(spark, n(name))
+        for name in [CARDS, SEASONS, TOP_PLAYERS, "player_dim", "card_dim", "clan_dim"]:
             spark.sql(f"DROP TABLE IF EXISTS {n(name)}")
-    # the battle log and the facts are partitioned by battle month, a function
-    # of the key: a keyed load reads, and a rebuild writes, the months it touches
-    for name, ddl in [(LOG, S.PLAYER_BATTLE_LOG), ("fct_battle", S.FCT_BATTLE)]:
-        create_table(spark, n(name), f"{ddl}, {BATTLE_MONTH} STRING", _loc(warehouse, n(name)),
-                     partition_by=[BATTLE_MONTH])
-    # stats are partitioned by key bucket, and an upsert rewrites those it touches
+    I.create(spark, store(n), warehouse, categories)
     for name, ddl in [(PLAYER_STATS, S.STG_PLAYER_STATS), (CLAN_STATS, S.STG_CLAN_STATS)]:
-        create_table(spark, n(name), f"{ddl}, {KEY_BUCKET} INT", _loc(warehouse, n(name)), partition_by=[KEY_BUCKET])
+        B.create_growing(spark, n(name), ddl, _loc(warehouse, n(name)))
     for name, ddl in [(CARDS, S.STG_CARDS), (TOP_PLAYERS, S.STG_TOP_PLAYERS_BY_SEASON)]:
         create_table(spark, n(name), ddl, _loc(warehouse, n(name)))
 
@@ -103,34 +105,22 @@ def with_fact_month(fct: DataFrame) -> DataFrame:
     return fct.withColumn(BATTLE_MONTH, F.substring("date_id", 1, 6))
 
 
-def rebuild_facts(spark: SparkSession, battles: DataFrame, name: str, log_name: str) -> DataFrame:
-    """Rebuild the fact partitions of the months in ``battles`` from the log."""
-    months = battles.select(F.substring("battleTime", 1, 6).alias(BATTLE_MONTH)).distinct()
-    span = months.agg(F.min(BATTLE_MONTH).alias("a"), F.max(BATTLE_MONTH).alias("b"))
-    touched = spark.table(log_name).where(F.col(BATTLE_MONTH).between(
-        span.select("a").scalar(), span.select("b").scalar())).join(months, BATTLE_MONTH, "left_semi")
-    fct = with_fact_month(M.fct_battle(touched.drop(BATTLE_MONTH)))
-    insert_overwrite_dynamic(spark, fct, name)
-    return spark.table(name).drop(BATTLE_MONTH)
-
-
 def refresh_daily(spark: SparkSession, warehouse: str, battles: DataFrame,
                   player_stats: DataFrame | None = None, categories=None,
-                  reset: bool = False, prefix: str = "") -> dict[str, DataFrame]:
+                  reset: bool = False, prefix: str = "", as_of=None, load_id: str | None = None) -> dict[str, DataFrame]:
     """Battle log load, fct_battle, player stats and player_dim (+ log-derived dims)."""
     n = Names(prefix)
-    init_warehouse(spark, warehouse, reset, prefix)
-    insert_ignore_table(spark, n(LOG), with_battle_month(battles), S.PLAYER_BATTLE_LOG_KEY,
-                        order=log_order(), prune_on=BATTLE_MONTH)
+    init_warehouse(spark, warehouse, reset, prefix, categories)
     if player_stats is not None:
-        upsert_buckets(spark, n(PLAYER_STATS), player_stats, S.STATS_KEY, player_order(), STATS_BUCKETS)
-    log = spark.table(n(LOG)).drop(BATTLE_MONTH)
-    out = {"fct_battle": rebuild_facts(spark, battles, n("fct_battle"), n(LOG)),
-           "player_dim": _rebuild(spark, warehouse, n("player_dim"), M.player_dim(spark.table(n(PLAYER_STATS)).drop(KEY_BUCKET))),
-           "date_dim": _rebuild(spark, warehouse, n("date_dim"), M.date_dim(log))}
-    if spark.catalog.tableExists(n(CARDS)):
-        out["deck_dim"] = _rebuild(spark, warehouse, n("deck_dim"),
-                                   M.deck_dim(log, spark.table(n(CARDS)), categories=categories))
+        B.upsert_growing(spark, n(PLAYER_STATS), player_stats, S.STATS_KEY, player_order())
+    kept = store(n)
+    cards = spark.table(n(CARDS)) if spark.catalog.tableExists(n(CARDS)) else None
+    I.load(spark, kept, battles, log_order(), cards, categories, as_of, load_id)
+    out = {"fct_battle": spark.table(kept.facts).drop(BATTLE_MONTH),
+           "player_dim": _rebuild(spark, warehouse, n("player_dim"), M.player_dim(spark.table(n(PLAYER_STATS)))),
+           "date_dim": I.date_dim(spark, kept)}
+    if cards is not None:
+        out["deck_dim"] = I.deck_dim(spark, kept)
     return out
 
 
@@ -145,9 +135,9 @@ def refresh_all(spark: SparkSession, warehouse: str, battles: DataFrame, cards:
     season, best rank first, with the constant ``season_id`` last.
     """
     n = Names(prefix)
-    init_warehouse(spark, warehouse, reset, prefix)
+    init_warehouse(spark, warehouse, reset, prefix, categories)
     _rebuild(spark, warehouse, n(CARDS), cards)
-    upsert_buckets(spark, n(CLAN_STATS), clan_stats, S.STATS_KEY, clan_order(), STATS_BUCKETS)
+    B.upsert_growing(spark, n(CLAN_STATS), clan_stats, S.STATS_KEY, clan_order())
     out = refresh_daily(spark, warehouse, battles, player_stats, categories, prefix=prefix)
     if seasons is not None:
         out["stg_seasons"] = _rebuild(spark, warehouse, n(SEASONS), M.season_urls(seasons))
@@ -156,5 +146,5 @@ def refresh_all(spark: SparkSession, warehouse: str, battles: DataFrame, cards:
                             order=[F.col("rank")], by_name=False)
         out["stg_top_players_by_season"] = spark.table(n(TOP_PLAYERS))
     out["card_dim"] = _rebuild(spark, warehouse, n("card_dim"), M.card_dim(spark.table(n(CARDS))))
-    out["clan_dim"] = _rebuild(spark, warehouse, n("clan_dim"), M.clan_dim(spark.table(n(CLAN_STATS)).drop(KEY_BUCKET)))
+    out["clan_dim"] = _rebuild(spark, warehouse, n("clan_dim"), M.clan_dim(spark.table(n(CLAN_STATS))))
     return out

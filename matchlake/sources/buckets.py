@@ -67,9 +67,8 @@ def upsert_growing(spark: SparkSession, name: str, batch: DataFrame, keys: list[
     old = table.where(F.col(BUCKET).isin(sorted(touched))).drop(BUCKET, P.VERSION)
     new = upsert(old, one.drop("__old"), keys, [F.lit(1)])
     new = new.withColumn(BUCKET, bucket_of(keys, now)).repartition(BUCKET)
-    tag = P.stage(spark, name, new)
     gone = {str(b) for b in touched}
-    P.publish(spark, name, tag, [p for p in P.parts(spark, name) if p[0] in gone], buckets=now, rows=rows + inserted)
+    P.publish(spark, name, P.stage(spark, name, new, props), lambda p: p[0] in gone, buckets=now, rows=rows + inserted)
     path, store = P._files(spark, folder)
     store.delete(path, True)
     return {"replaced": known, "inserted": inserted, "buckets": now, "written": len(touched) + now - buckets}

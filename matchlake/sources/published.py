@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,10 +52,10 @@ def exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def parts(spark: SparkSession, name: str) -> list[Pair]:
+def parts(spark: SparkSession, name: str, props: dict[str, str] | None = None) -> list[Pair]:
     """The (part, version) pairs that the table consists of now."""
     found = []
-    for r in spark.sql(f"SHOW PARTITIONS {_quoted(properties(spark, name)['current'])}").collect():
+    for r in spark.sql(f"SHOW PARTITIONS {_quoted((props or properties(spark, name))['current'])}").collect():
         part, version = (piece.split("=", 1)[1] for piece in r[0].split("/"))
         found.append((part, version))
     return found
@@ -96,13 +96,14 @@ def create_published(spark: SparkSession, name: str, ddl: str, part: str, root:
     _point(spark, name, version, {"part": part, "root": root, "versions": version, **{k: str(v) for k, v in props.items()}})
 
 
-def stage(spark: SparkSession, name: str, rows: DataFrame) -> str:
+def stage(spark: SparkSession, name: str, rows: DataFrame, props: dict[str, str] | None = None) -> str:
     """Write rows under a new version tag; returns the tag."""
-    props = properties(spark, name)
+    props = props or properties(spark, name)
     tag = uuid.uuid4().hex[:12]
     table = spark.table(props["current"])
-    rows = rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in table.schema.fields if f.name != VERSION])
-    rows.withColumn(VERSION, F.lit(tag)).write.mode("append").partitionBy(props["part"], VERSION).parquet(f"{props['root']}/data")
+    rows = rows.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+                             for f in table.schema.fields if f.name != VERSION], f"'{tag}' AS {VERSION}")
+    rows.write.mode("append").partitionBy(props["part"], VERSION).parquet(f"{props['root']}/data")
     after("staged")
     return tag
 
@@ -112,17 +113,17 @@ def _files(spark: SparkSession, folder: str):
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def staged_parts(spark: SparkSession, name: str, tag: str) -> list[Pair]:
+def staged_parts(spark: SparkSession, tag: str, props: dict[str, str]) -> list[Pair]:
     """What a stage has written, from the folder's listing."""
-    path, store = _files(spark, f"{properties(spark, name)['root']}/data/*/{VERSION}={tag}")
+    path, store = _files(spark, f"{props['root']}/data/*/{VERSION}={tag}")
     return [(s.getPath().getParent().getName().split("=", 1)[1], tag) for s in store.globStatus(path) or []]
 
 
-def publish(spark: SparkSession, name: str, tag: str | None, drop: Iterable[Pair] = (), keep: int = 2, **props: object) -> None:
-    """Make staged rows part of the table and take the pairs in ``drop`` out, in one step."""
+def publish(spark: SparkSession, name: str, tag: str | None, drop: Callable[[Pair], bool] | None = None, keep: int = 2,
+            **props: object) -> None:
+    """Make staged rows part of the table and take the pairs that ``drop`` holds for out, in one step."""
     old = properties(spark, name)
-    gone = set(drop)
-    pairs = [p for p in parts(spark, name) if p not in gone] + (staged_parts(spark, name, tag) if tag else [])
+    pairs = [p for p in parts(spark, name, old) if not (drop and drop(p))] + (staged_parts(spark, tag, old) if tag else [])
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.table(old["current"]).schema.fields if f.name != VERSION)
     version = _register(spark, name, ddl, old["part"], old["root"], pairs)
     after("registered")
@@ -131,15 +132,12 @@ def publish(spark: SparkSession, name: str, tag: str | None, drop: Iterable[Pair
     new = {**new, **{k: str(v) for k, v in props.items()}, "versions": ",".join(versions[-keep - 1:])}
     _point(spark, name, version, new)
     after("published")
-    retire(spark, name, versions[:-keep - 1], gone)
+    if versions[:-keep - 1]:
+        retire(spark, old["root"], versions[:-keep - 1], versions[-keep - 1:])
 
 
-def retire(spark: SparkSession, name: str, versions: list[str], candidates: Iterable[Pair] = ()) -> None:
+def retire(spark: SparkSession, root: str, versions: list[str], kept: list[str]) -> None:
     """Drop old versions and the folders that only they list."""
-    kept = properties(spark, name)["versions"].split(",")
-    root = properties(spark, name)["root"]
-    part = properties(spark, name)["part"]
-
     def listed(version: str) -> set[str]:
         return {r[0] for r in spark.sql(f"SHOW PARTITIONS {_quoted(version)}").collect()}
     here = set().union(*(listed(v) for v in kept))
@@ -179,9 +177,8 @@ def append(spark: SparkSession, name: str, rows: DataFrame, **props: object) ->
 
 def replace_parts(spark: SparkSession, name: str, rows: DataFrame, values: Iterable[str], **props: object) -> None:
     """The parts ``values`` hold ``rows`` from now on, and nothing else; all change in one step."""
-    tag = stage(spark, name, rows)
     values = {NULL_PART if v is None else str(v) for v in values}
-    publish(spark, name, tag, [p for p in parts(spark, name) if p[0] in values], **props)
+    publish(spark, name, stage(spark, name, rows), lambda p: p[0] in values, **props)
 
 
 # ---- compaction ----------------------------------------------------------------
@@ -213,7 +210,7 @@ def pack(sizes: dict[Pair, int], most: int = FOLDER_BYTES) -> list[list[Pair]]:
 def folder_sizes(spark: SparkSession, name: str) -> dict[Pair, int]:
     props = properties(spark, name)
     out = {}
-    for p, v in parts(spark, name):
+    for p, v in parts(spark, name, props):
         path, store = _files(spark, f"{props['root']}/data/{props['part']}={p}/{VERSION}={v}")
         out[p, v] = sum(f.getLen() for f in store.listStatus(path))
     return out
@@ -231,6 +228,7 @@ def compact(spark: SparkSession, name: str, most: int = FOLDER_BYTES) -> int:
     kind = table.schema[props["part"]].dataType.simpleString()
     number = F.coalesce(*[F.when(in_parts(props["part"], own, kind), F.lit(i)) for i, own in enumerate(bins)])
     rows = table.where(in_parts(props["part"], [p for own in bins for p in own], kind)).withColumn("__bin", number)
-    tag = stage(spark, name, rows.repartition(len(bins), "__bin").drop("__bin", VERSION))
-    publish(spark, name, tag, [p for own in bins for p in own])
+    tag = stage(spark, name, rows.repartition(len(bins), "__bin").drop("__bin", VERSION), props)
+    merged = {p for own in bins for p in own}
+    publish(spark, name, tag, merged.__contains__)
     return sum(map(len, bins))
