@@ -29,7 +29,7 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -217,7 +217,8 @@ def add_usage(spark: SparkSession, store: Store, uses: DataFrame, as_of, load_id
 
 def load(spark: SparkSession, store: Store, battles: DataFrame, order: list[Column], cards: DataFrame | None = None,
          categories: dict | None = None, as_of=None, load_id: str | None = None) -> dict[str, int]:
-    """One load of battles; returns counts of what was fetched, inserted and ignored."""
+    """One load of battles; returns counts of what was fetched, inserted and ignored,
+    and of new decks (zeros if the log has the load already)."""
     cats = categories or M.GAME_DECK_CATEGORIES
     load_id = load_id or uuid.uuid4().hex
     if cards is not None:
@@ -225,12 +226,13 @@ def load(spark: SparkSession, store: Store, battles: DataFrame, order: list[Colu
     if not _missing(spark, store.log, load_id):
         return {"fetched": 0, "inserted": 0, "ignored": 0, "decks": 0}
     folder = shared_dir(spark, "incremental", "landed")
-    battles.write.parquet(folder)
+    counts = Observation(), Observation()       # counted while the rows are written, without another pass (A11)
+    battles.observe(counts[0], F.count(F.lit(1)).alias("n")).write.parquet(folder)
     landed = spark.read.schema(battles.schema).parquet(folder).withColumn(MONTH, F.substring("battleTime", 1, 6))
     new = insert_ignore(stored_keys(spark, store, landed), landed, S.PLAYER_BATTLE_LOG_KEY, order)
-    tag = P.stage(spark, store.log, _clustered(new, MONTH, "battleTime"))
+    tag = P.stage(spark, store.log, _clustered(new, MONTH, "battleTime").observe(counts[1], F.count(F.lit(1)).alias("n")))
     delta = staged_rows(spark, store.log, tag)
-    fetched, inserted = landed.count(), delta.count()
+    fetched, inserted = (c.get["n"] for c in counts)
     decks = 0
     if inserted:
         days = M.date_dim(delta)

@@ -73,8 +73,7 @@ class Game:
         df = None
         if key not in _WRITTEN:
             df, path = make(), shared_dir(self.spark, "game", name)
-            out = df.repartition(partition_by, F.pmod(F.xxhash64("battle_id"), F.lit(4))).write.partitionBy(partition_by) \
-                if partition_by else df.write
+            out = df.hint("rebalance", partition_by).write.partitionBy(partition_by) if partition_by else df.write
             out.parquet(path)
             _WRITTEN[key] = path
         return self.spark.read.schema((df if df is not None else make()).schema).parquet(_WRITTEN[key])
@@ -290,7 +289,7 @@ def q_top_players_per_season(spark, sf_dir):
 def q_insert_ignore_log(spark, sf_dir):
     log = RF.with_battle_month(Game(spark, sf_dir).log)
     stored = shared_dir(spark, "stored-log")
-    log.where(F.col("battleTime") < SPLIT_OLD).repartition(RF.BATTLE_MONTH).write.partitionBy(RF.BATTLE_MONTH).parquet(stored)
+    log.where(F.col("battleTime") < SPLIT_OLD).hint("rebalance", RF.BATTLE_MONTH).write.partitionBy(RF.BATTLE_MONTH).parquet(stored)
     target = spark.read.schema(log.schema).parquet(stored)
     batch = log.where(F.col("battleTime") >= SPLIT_NEW)
     new = insert_ignore(target, batch, S.PLAYER_BATTLE_LOG_KEY, order=RF.log_order(),
@@ -430,9 +429,9 @@ def q_parse_clans(spark, sf_dir):
 def q_csv_to_parquet(spark, sf_dir):
     log = Game(spark, sf_dir).log
     base = shared_dir(spark, "ladder")
-    # one dump folder per month, each written by several tasks
+    # one dump folder per month, in files of the size AQE advises
     ladder = ladder_frame(log).withColumn("dump", F.substring("battleTime", 1, 6))
-    ladder.repartition("dump", F.pmod(F.xxhash64("battleTime"), F.lit(4))).write.mode("overwrite").partitionBy("dump") \
+    ladder.hint("rebalance", "dump").write.mode("overwrite").partitionBy("dump") \
           .option("header", True).csv(base + "/csv")
     out = FS.csv_to_parquet(spark, base + "/csv", base + "/parquet",
                             schema="`winner.tag` STRING, `loser.tag` STRING, battleTime STRING",
@@ -604,8 +603,8 @@ def q_request_rankings(spark, sf_dir):
 
 
 def q_request_clans(spark, sf_dir):
-    n = fx.read_table(spark, sf_dir, "nation").select(F.concat(F.lit("#C"), F.col("n_nationkey").cast("string")).alias("tag"))
-    return n.select("tag", format_url(M.CLAN_URL, encode_tag("tag")).alias("clan_url"))
+    tags = M.clan_tags(Game(spark, sf_dir).log)
+    return tags.select("tag", format_url(M.CLAN_URL, encode_tag("tag")).alias("clan_url"))
 
 
 def q_landed_seasons(spark, sf_dir):
@@ -664,15 +663,20 @@ def q_landed_players(spark, sf_dir):
 
 
 def _rename_parts(spark, folder: str, suffix: str) -> None:
-    """``folder/dump=NAME/part-...`` to ``folder/NAME<suffix>``: one file per month of the log."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    for d in store.listStatus(path):
+    """``folder/dump=NAME/part-...`` to ``folder/NAME<suffix>``; further files of a
+    month go to folders of their own, ``folder/2/NAME<suffix>`` and on."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for d in store.listStatus(path(folder)):
         name = d.getPath().getName()
         if name.startswith("dump="):
-            for f in store.listStatus(d.getPath()):
-                if f.getPath().getName().startswith("part-"):
-                    store.rename(f.getPath(), spark._jvm.org.apache.hadoop.fs.Path(folder, name[5:] + suffix))
+            files = sorted((f.getPath() for f in store.listStatus(d.getPath()) if f.getPath().getName().startswith("part-")),
+                           key=lambda f: f.getName())
+            for n, f in enumerate(files, 1):
+                home = folder if n == 1 else f"{folder}/{n}"
+                store.mkdirs(path(home))
+                if not store.rename(f, path(home, name[5:] + suffix)):
+                    raise OSError(f"cannot move {f}")
             store.delete(d.getPath(), True)
 
 
@@ -730,3 +734,8 @@ QUERIES.update({
     "request_rankings": q_request_rankings, "request_clans": q_request_clans, "landed_seasons": q_landed_seasons,
     "landed_battles": q_landed_battles, "landed_players": q_landed_players, "landed_ladder": q_landed_ladder,
     "copied_players": q_copied_players, "doubled_keys": q_doubled_keys})
+
+# ---- tables kept up to date load by load -------------------------------------
+from .kept import QUERIES as _KEPT_QUERIES  # noqa: E402
+
+QUERIES.update(_KEPT_QUERIES)

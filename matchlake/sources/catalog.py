@@ -117,41 +117,6 @@ def upsert_table(spark: SparkSession, name: str, batch: DataFrame, keys: list[st
     return loc
 
 
-KEY_BUCKET = "key_bucket"
-
-
-def with_key_bucket(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
-    """Adds the partition column of a table that :func:`upsert_buckets` keeps."""
-    return df.withColumn(KEY_BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-
-
-def insert_overwrite_dynamic(spark: SparkSession, df: DataFrame, name: str) -> None:
-    """Replace the partitions of ``name`` that ``df`` has rows for."""
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")     # an insert into a table takes this from the session only
-    try:
-        df.write.mode("overwrite").insertInto(name)
-    finally:
-        spark.conf.set(setting, before)
-
-
-def upsert_buckets(spark: SparkSession, name: str, batch: DataFrame, keys: list[str], order,
-                   buckets: int, by_name: bool = True) -> None:
-    """INSERT OR REPLACE into a table partitioned by ``key_bucket`` (K6/K7): only
-    the buckets that hold a key of the batch are read and written again.  The
-    list of touched buckets, at most ``buckets`` numbers, comes to the driver."""
-    table = spark.table(name)
-    if not by_name:
-        batch = batch.toDF(*[c for c in table.columns if c != KEY_BUCKET])
-    batch = with_key_bucket(batch, keys, buckets)
-    touched = [r[0] for r in batch.select(KEY_BUCKET).distinct().collect()]
-    new = upsert(table.where(F.col(KEY_BUCKET).isin(touched)), batch, [*keys, KEY_BUCKET], order)
-    staged = shared_dir(spark, "upsert", name.replace(".", "_"))
-    new.write.parquet(staged)              # a table cannot be read and overwritten in one job
-    insert_overwrite_dynamic(spark, spark.read.schema(new.schema).parquet(staged).repartition(KEY_BUCKET), name)
-
-
 def import_snapshot(spark: SparkSession, src_dir: str, dest_dir: str,
                     tables: dict[str, str] | None = None, prefix: str = "") -> dict[str, DataFrame]:
     """DDL + one Parquet file per table -> catalog tables.

@@ -286,7 +286,7 @@ SQL["deck_usage_pivot"] = with_ctes(BASE + ["fct"], f"""
 SELECT to_json(cards_list) AS cards_list,
 {_columns}
 FROM daily GROUP BY daily.cards_list""", [deck_dim_cte(), daily(True)])
-SQL["deck_usage_trend"] = with_ctes(BASE + ["fct", "date_dim"], """
+_TREND = """
 , days AS (SELECT DISTINCT battle_date FROM daily),
 grid AS (
   SELECT k.cards_list, d.battle_date, COALESCE(x.usage, 0) AS usage
@@ -295,7 +295,8 @@ grid AS (
 SELECT to_json(cards_list) AS cards_list,
        to_json(list(CAST(usage AS BIGINT) ORDER BY battle_date)) AS concatenated,
        CAST(SUM(usage) AS BIGINT) AS total_usage
-FROM grid GROUP BY cards_list""", [deck_dim_cte(), daily(True)])
+FROM grid GROUP BY cards_list"""
+SQL["deck_usage_trend"] = with_ctes(BASE + ["fct", "date_dim"], _TREND, [deck_dim_cte(), daily(True)])
 SQL["card_info"] = with_ctes(["cards", "card_dim", "images"], """
 SELECT card_name, elixir_cost, card_type, rarity, arena_available, description, url
 FROM card_dim JOIN images USING (card_name)""")
@@ -580,8 +581,9 @@ SQL["request_rankings"] = f"""
 SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS id,
   '{API_BASE}/locations/global/seasons/' || strftime(o_orderdate, '%Y-%m') || '/rankings/players/?limit=10' AS ranking_url
 FROM orders"""
-SQL["request_clans"] = f"""
-SELECT '#C' || n_nationkey AS tag, '{API_BASE}/clans/%23C' || n_nationkey AS clan_url FROM nation"""
+SQL["request_clans"] = with_ctes(BASE, f"""
+SELECT DISTINCT tag, '{API_BASE}/clans/' || replace(tag, '#', '%23') AS clan_url
+FROM (SELECT team_clan_tag AS tag FROM log UNION ALL SELECT opponent_clan_tag FROM log) WHERE tag IS NOT NULL""")
 SQL["landed_seasons"] = f"""
 WITH i AS (SELECT DISTINCT strftime(o_orderdate + INTERVAL 22 YEAR, '%Y-%m') AS id FROM orders)
 SELECT id, '{API_BASE}/locations/global/' ||
@@ -618,3 +620,38 @@ SQL["doubled_keys"] = with_ctes(["player_stats"], """
 SELECT tag, 'load 1' AS kept_first, 'load 2' AS kept_last, CAST(wins + 2 AS INTEGER) AS last_wins FROM keyed WHERE tag IS NOT NULL
 UNION ALL
 SELECT NULL, 'load 1', 'load 2', CAST(NULL AS INTEGER) FROM (SELECT 1 FROM keyed WHERE tag IS NULL LIMIT 1)""")
+
+# ---- tables kept up to date load by load -------------------------------------
+SQL["incremental_facts"] = SQL["refresh_daily"]
+SQL["incremental_deck_dim"] = SQL["refresh_deck_dim"]
+SQL["incremental_date_dim"] = SQL["date_dim"]
+# the kept log ignores a battle whose key it has
+SQL["deck_usage_rolling"] = with_ctes(_RAW, _TREND, [*_LOADED, CTE["fct"], deck_dim_cte(), daily(True)])
+SQL["growing_upsert"] = SQL["upsert_stats"]
+_of = {"newest": "battleTime >= '20010601'", "old": "battleTime < '20000101'", "late": "battleTime >= '19990101'"}
+_keys = "SELECT DISTINCT team_tag, opponent_tag, battleTime FROM log WHERE "
+_new = {"newest": _of["newest"], "old": _of["old"], "late": f"{_of['late']} AND NOT ({_of['newest']}) AND NOT ({_of['old']})"}
+SQL["load_counters"] = with_ctes(BASE, ", counted AS (" + "\nUNION ALL\n".join(
+    f"SELECT '{k}' AS load_id, (SELECT count(*) FROM log WHERE {_of[k]}) AS fetched, (SELECT count(*) FROM ({_keys}{_new[k]})) AS inserted"
+    for k in _of) + """)
+SELECT load_id, 'fetched' AS outcome, fetched AS n FROM counted
+UNION ALL SELECT load_id, 'inserted', inserted FROM counted
+UNION ALL SELECT load_id, 'ignored', fetched - inserted FROM counted""")
+SQL["gated_load"] = with_ctes(BASE + ["fct", "date_dim", "player_stats"], f"""
+, loads AS (SELECT 'first' AS load_id, * FROM fct WHERE date_id < '20000101'
+            UNION ALL SELECT 'second', * FROM fct WHERE date_id >= '19990101'),
+judged AS (SELECT load_id, battle_id, player_id, [
+    CASE WHEN battle_id IS NULL OR player_id IS NULL THEN 'null_key' END,
+    CASE WHEN battle_id IS NOT NULL AND player_id IS NOT NULL AND row_number() OVER (
+      PARTITION BY load_id, battle_id, player_id ORDER BY deck_id NULLS FIRST, to_json(cards) NULLS FIRST) > 1 THEN 'duplicate_key' END,
+    CASE WHEN NOT coalesce(crowns_earned BETWEEN 0 AND 2, TRUE) THEN 'check:crowns' END,
+    CASE WHEN player_id IS NOT NULL AND player_id NOT IN (SELECT {key('tag')} FROM player_stats) THEN 'orphan:player_dim' END,
+    CASE WHEN deck_id IS NOT NULL AND deck_id NOT IN (SELECT deck_id FROM deck_dim) THEN 'orphan:deck_dim' END,
+    CASE WHEN date_id IS NOT NULL AND date_id NOT IN (SELECT date_id FROM date_dim) THEN 'orphan:date_dim' END] AS rules FROM loads),
+own AS (SELECT load_id, battle_id, player_id, list_filter(rules, lambda x: x IS NOT NULL) AS rules FROM judged),
+fine AS (SELECT DISTINCT battle_id, player_id FROM own WHERE load_id = 'first' AND len(rules) = 0),
+whole AS (SELECT o.load_id, o.battle_id, o.player_id, CASE WHEN f.battle_id IS NOT NULL AND o.load_id = 'second'
+            THEN list_append(o.rules, 'stored_key') ELSE o.rules END AS rules
+          FROM own o LEFT JOIN fine f ON f.battle_id = o.battle_id AND f.player_id = o.player_id)
+SELECT load_id, battle_id, player_id, unnest(CASE WHEN len(rules) = 0 THEN [NULL] ELSE rules END)::VARCHAR AS rule FROM whole""",
+                              [deck_dim_cte()])

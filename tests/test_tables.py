@@ -102,19 +102,18 @@ def test_refresh_all_with_seasons_and_top_players_in_schemas_of_its_own(spark, t
     assert top.columns == S.names(S.STG_TOP_PLAYERS_BY_SEASON) and top.count() == args["top_players"].count()
 
 
-def test_a_load_rebuilds_the_months_it_touches(spark, tmpdir_path):
+def test_a_load_again_changes_no_file(spark, tmpdir_path):
     from matchlake.plans.registry import FIXTURE_DECK_CATEGORIES, Game
+    from matchlake.sources import published as P
     g = Game(spark, SF_SMALL)
     n = RF.Names("months_")
     RF.refresh_daily(spark, tmpdir_path, g.log, g.player_stats(), FIXTURE_DECK_CATEGORIES, prefix="months_")
-    files = lambda: {r.f for r in spark.table(n("fct_battle")).select(F.col("_metadata.file_path").alias("f")).distinct().collect()}
+    files = lambda: set(P.parts(spark, n("fct_battle")))
     before, whole = files(), spark.table(n("fct_battle")).count()
     month = g.log.select(F.substring("battleTime", 1, 6).alias("m")).first().m
     again = g.log.where(F.substring("battleTime", 1, 6) == month)
     RF.refresh_daily(spark, tmpdir_path, again, g.player_stats(), FIXTURE_DECK_CATEGORIES, prefix="months_")
-    kept = before & files()
-    assert spark.table(n("fct_battle")).count() == whole
-    assert {f for f in before - kept if f"battle_month={month}" not in f} == set()
+    assert spark.table(n("fct_battle")).count() == whole and files() == before
 
 
 def test_replaced_table_is_swapped_and_old_versions_go(spark, tmpdir_path):
@@ -123,23 +122,3 @@ def test_replaced_table_is_swapped_and_old_versions_go(spark, tmpdir_path):
         RF._rebuild(spark, tmpdir_path, "swapped", spark.range(k + 1))
         assert spark.table("swapped").count() == k + 1
     assert len(os.listdir(f"{tmpdir_path}/swapped")) == 2       # the current and one before
-
-
-def test_upsert_rewrites_only_touched_buckets(spark, tmpdir_path):
-    C.ensure_schemas(spark, "bucketed")
-    C.create_table(spark, "bucketed.t", f"k string, v int, w string, {C.KEY_BUCKET} int", f"{tmpdir_path}/t",
-                   partition_by=[C.KEY_BUCKET])
-    first = spark.createDataFrame([(f"k{i}", i, "old") for i in range(100)] + [(None, -1, "old")], "k string, v int, w string")
-    C.upsert_buckets(spark, "bucketed.t", first, ["k"], [F.col("v")], 8)
-    files = lambda: {r.f: r.b for r in spark.table("bucketed.t").select(
-        F.col("_metadata.file_path").alias("f"), F.col(C.KEY_BUCKET).alias("b")).distinct().collect()}
-    before = files()
-    batch = spark.createDataFrame([("k3", 30, 1), ("k3", 31, 2), (None, -2, 3)], "k string, v int, at int")
-    C.upsert_buckets(spark, "bucketed.t", batch, ["k"], [F.col("at")], 8)
-    after = files()
-    touched = {b for f, b in before.items() if f not in after}
-    assert len(touched) <= 2 and len(before) == 8
-    got = {(r.k, r.v, r.w) for r in spark.table("bucketed.t").collect()}
-    assert got == {(f"k{i}", i, "old") for i in range(100) if i != 3} | {("k3", 31, "old"), (None, -1, "old"), (None, -2, None)}
-    C.upsert_buckets(spark, "bucketed.t", batch.select("k", "v", F.lit("x"), ).toDF("a", "b", "c"), ["k"], [F.col("v")], 8, by_name=False)
-    assert ("k3", 31, "x") in {(r.k, r.v, r.w) for r in spark.table("bucketed.t").collect()}
