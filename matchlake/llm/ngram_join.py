@@ -6,8 +6,12 @@ shingle); a pair is linked if their Jaccard similarity is at least 0.8.
 Method: equal word sequences collapse to one class.  Each class gets ``TREES``
 signatures of eight one-byte min-hashes, packed into a long so that its leading
 bytes are a prefix in that tree's sorted trie.  Starting from whole signatures,
-the matched prefix is shortened, byte by byte, until a pair at the threshold
-meets in some tree with the target probability.  Classes that meet are joined
+the matched prefix is shortened, byte by byte, until the target recall is
+reached.  Recall is taken from the data: a bounded sample of texts is compared
+with all texts exactly, while those are signed; of the links found, the share
+that meets in some tree, and the probability to meet at the links' own
+similarities, must both reach the target (``depth_for``).  With few links to
+judge by, they count as links just at the threshold.  Classes that meet are joined
 to the least of their prefix, never in pairs, and the stars are contracted to
 groups.  Each group is verified exactly: it is cut into blocks by hash, and a
 task compares two blocks through products of their shingle incidence matrices.
@@ -19,7 +23,8 @@ The links' components are the classes of near duplicates.
 
 Edge cases: a null or wordless text has no shingles, no links and a class of its
 own.  Null doc_ids take part; a class is named by its least doc_id (null if it
-has none).  Rows that repeat count as copies.  Texts are taken whole.  Only
+has none).  Rows that repeat count as copies; of rows equal in id and text that
+differ elsewhere ``deduplicate`` keeps the one of the least hash.  Texts are taken whole.  Only
 ``doc_id`` and ``text`` are read (``deduplicate`` returns the other columns
 untouched).  An empty table gives no rows.
 """
@@ -42,6 +47,9 @@ from .components import components
 WORDS, THRESHOLD = 5, 0.8
 TREES, DEPTH = 32, 8
 RECALL = 0.9999          # for a pair just at the threshold
+SAMPLE = 500             # texts that are compared with all texts, about
+SAMPLE_BYTES = 4 << 20   # bytes of text they have, at most
+FEW_LINKS = 50           # fewer links than this say too little about similarities
 BLOCK = 512              # classes of a verified group that one side of a task holds, about
 SMALL_ROWS = 1_000_000
 COLUMNS = 4096           # shingles per matrix product
@@ -86,26 +94,106 @@ def signature(grams: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(byte << shift, axis=1).view(np.int64)
 
 
-def prefix_bytes(threshold: float = THRESHOLD, recall: float = RECALL) -> int:
-    """The longest prefix at which a pair at ``threshold`` meets in some tree
-    with probability ``recall`` or more."""
+def meets(similarity, depth: int):
+    """The probability that a pair meets in some tree by its first ``depth`` bytes."""
+    return 1 - (1 - similarity ** depth) ** TREES
+
+
+class Sample:
+    """Texts to be compared with all others: their shingles, sorted, with owners."""
+
+    def __init__(self, sets: list[np.ndarray], threshold: float):
+        self.threshold = threshold
+        self.sizes = np.array([len(g) for g in sets], np.int64)
+        grams = np.concatenate([*sets, np.zeros(0, np.uint64)])
+        order = np.argsort(grams, kind="stable")
+        self.owner = np.repeat(np.arange(len(sets)), self.sizes)[order]
+        self.grams, self.start = np.unique(grams[order], return_index=True)
+        self.end = np.append(self.start[1:], len(order))
+
+    def links(self, grams: np.ndarray) -> tuple[list[int], list[float]]:
+        """Numbers of the sampled texts at the threshold or more, and their similarities."""
+        if not len(self.grams) or not len(grams):
+            return [], []
+        at = np.searchsorted(self.grams, grams)
+        inside = at < len(self.grams)
+        at = at[inside][self.grams[at[inside]] == grams[inside]]
+        if not len(at):
+            return [], []
+        many = self.end[at] - self.start[at]
+        first = np.repeat(self.start[at] - np.cumsum(many) + many, many)
+        common = np.bincount(self.owner[first + np.arange(len(first))], minlength=len(self.sizes))
+        alike = common / (self.sizes + len(grams) - common)
+        found = np.flatnonzero(alike >= self.threshold - 1e-9)
+        return found.tolist(), alike[found].tolist()
+
+
+def sample_of(docs: DataFrame, threshold: float) -> tuple[Sample, list[bytes]]:
+    """A sample of the distinct texts by hash, and the digests of its words."""
+    n = docs.count()
+    width = 1 << 32
+    few = docs.where(F.pmod(F.xxhash64("text", F.lit(11)), F.lit(width)) < F.lit(int(width * min(1.0, SAMPLE / max(n, 1))) or 1))
+    sizes = few.where("text IS NOT NULL").groupBy(F.xxhash64("text").alias("t")).agg(
+        F.max(F.octet_length("text")).alias("n")).orderBy("t").limit(2 * SAMPLE).collect()
+    picked, held = [], 0
+    for r in sizes:
+        if held + r.n <= SAMPLE_BYTES:
+            picked.append(r.t)
+            held += r.n
+    texts = [r.text for r in few.where(F.xxhash64("text").isin(picked)).groupBy(F.xxhash64("text").alias("t")).agg(
+        F.first("text").alias("text")).orderBy("t").collect()] if picked else []
+    hashes = word_hashes(pa.array(texts, pa.string())) if texts else []
+    return Sample([shingles(h) for h in hashes], threshold), [hashlib.md5(h.tobytes()).digest() for h in hashes]
+
+
+def depth_for(classes: DataFrame, digests: list[bytes], threshold: float, recall: float) -> tuple[int, dict[int, float], int]:
+    """(bytes of the prefix, recall by depth, sampled links): the longest prefix
+    by which the sample's links meet as often as ``recall`` asks."""
+    spark = classes.sparkSession
+    own = {r.digest: r.sign for r in classes.where(F.col("digest").isin(digests)).select("digest", "sign").collect()} if digests else {}
+    rows = [(i, bytearray(d), own[bytes(d)]) for i, d in enumerate(digests) if bytes(d) in own]
+    expected = {d: float(meets(threshold, d)) for d in range(1, DEPTH + 1)}
+    met, links = {d: 1.0 for d in expected}, 0
+    if rows:
+        sample = F.broadcast(spark.createDataFrame(rows, "i int, s_digest binary, s_sign array<long>"))     # SAMPLE rows
+        pairs = classes.select("digest", "sign", F.explode(F.arrays_zip("alike", "alike_by")).alias("l")).select(
+            "digest", "sign", F.col("l.alike").alias("i"), F.col("l.alike_by").alias("s")).join(sample, "i").where("digest <> s_digest")
+        both = F.zip_with("sign", "s_sign", lambda a, b: a.bitwiseXOR(b))
+
+        def met_at(d: int):
+            return F.exists(both, lambda x: F.shiftrightunsigned(x, 8 * (DEPTH - d)) == 0) if d < DEPTH else F.exists(both, lambda x: x == 0)
+        row = pairs.agg(F.count("*").alias("n"), *[F.count_if(met_at(d)).alias(f"met{d}") for d in expected],
+                        *[F.sum(1 - F.pow(1 - F.pow("s", F.lit(float(d))), F.lit(float(TREES)))).alias(f"p{d}") for d in expected]).first()
+        links = row.n
+        if links:
+            met = {d: row[f"met{d}"] / links for d in expected}
+        if links >= FEW_LINKS:
+            expected = {d: row[f"p{d}"] / links for d in expected}
+    found = {d: min(met[d], expected[d]) for d in expected}
     depth = DEPTH
-    while depth > 1 and 1 - (1 - threshold ** depth) ** TREES < recall:
+    while depth > 1 and found[depth] < recall:
         depth -= 1
-    return depth
-
-
-def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in row_blocks(batches, "text", HASH_BYTES):
-        digest, sizes, signs = [], [], []
-        for h in word_hashes(b["text"].combine_chunks()):
-            grams = shingles(h)
-            digest.append(hashlib.md5(h.tobytes()).digest())
-            sizes.append(len(grams))
-            signs.append(signature(grams) if len(grams) else None)
-        done = pa.table([b["doc_id"], b["t"], pa.array(digest, pa.binary()), pa.array(sizes, pa.int64()),
-                         pa.array(signs, pa.list_(pa.int64()))], names=["doc_id", "t", "digest", "grams", "sign"])
-        yield from done.combine_chunks().to_batches()
+    return depth, found, links
+
+
+def _signed(sample: Sample):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in row_blocks(batches, "text", HASH_BYTES):
+            digest, sizes, signs, alike, by = [], [], [], [], []
+            for h in word_hashes(b["text"].combine_chunks()):
+                grams = shingles(h)
+                digest.append(hashlib.md5(h.tobytes()).digest())
+                sizes.append(len(grams))
+                signs.append(signature(grams) if len(grams) else None)
+                of, s = sample.links(grams)
+                alike.append(of)
+                by.append(s)
+            done = pa.table([b["doc_id"], b["t"], pa.array(digest, pa.binary()), pa.array(sizes, pa.int64()),
+                             pa.array(signs, pa.list_(pa.int64())), pa.array(alike, pa.list_(pa.int32())),
+                             pa.array(by, pa.list_(pa.float64()))],
+                            names=["doc_id", "t", "digest", "grams", "sign", "alike", "alike_by"])
+            yield from done.combine_chunks().to_batches()
+    return run
 
 
 def _verify(threshold: float):
@@ -158,16 +246,17 @@ def _verify(threshold: float):
     return run
 
 
-def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _classes(docs: DataFrame, sample: Sample) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, t, digest, grams) and classes of equal word sequences
-    (node, digest, doc_id, t, copies, sign), both written."""
+    (node, digest, doc_id, t, copies, sign, and the sampled texts they are like), both written."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"), "text")
-    rows = cut(slim.mapInArrow(releasing(_signed), "doc_id long, t long, digest binary, grams long, sign array<long>"), "ngram-rows")
+    rows = cut(slim.mapInArrow(releasing(_signed(sample)), "doc_id long, t long, digest binary, grams long, sign array<long>, "
+                               "alike array<int>, alike_by array<double>"), "ngram-rows")
     first = F.min(F.struct(F.isnull("doc_id").alias("last"), F.col("doc_id"), F.col("t")))
     classes = rows.where("grams > 0").groupBy("digest").agg(
-        first.alias("f"), F.count("*").alias("copies"), F.any_value("sign").alias("sign"))
+        first.alias("f"), F.count("*").alias("copies"), *[F.any_value(c).alias(c) for c in ("sign", "alike", "alike_by")])
     classes = cut(classes.select(F.monotonically_increasing_id().alias("node"), "digest", "f.doc_id", "f.t", "copies",
-                                 "sign"), "ngram-classes")
+                                 "sign", "alike", "alike_by"), "ngram-classes")
     return rows, classes
 
 
@@ -175,8 +264,10 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
     """Rows (doc_id, t, digest, grams) and, for each distinct text, (digest,
     doc_id, t, copies, links, class): its links to other texts' documents and
     the struct (doc_id, t) that names its class of near duplicates."""
-    rows, classes = _classes(docs)
-    cut_at = (1 << 8 * (DEPTH - prefix_bytes(threshold, recall))) - 1
+    sample, digests = sample_of(docs, threshold)
+    rows, classes = _classes(docs, sample)
+    depth, _, _ = depth_for(classes, digests, threshold, recall)
+    cut_at = (1 << 8 * (DEPTH - depth)) - 1
     prefixes = classes.select("node", F.posexplode("sign").alias("tree", "s")).select(
         "node", "tree", F.col("s").bitwiseAND(F.lit(~cut_at)).alias("prefix"))
     met = prefixes.groupBy("tree", "prefix").agg(F.min("node").alias("least"), F.max("node").alias("most")).where(
@@ -206,7 +297,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
         "digest", "doc_id", "t", "copies", F.coalesce("root", "node").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
     heads = named.groupBy("root").agg(F.min(F.struct(
         F.isnull("doc_id").alias("last"), F.col("doc_id"), F.col("t"))).alias("head"))
-    return rows.drop("sign"), named.join(heads, "root").select(
+    return rows.drop("sign", "alike", "alike_by"), named.join(heads, "root").select(
         "digest", "doc_id", "t", "copies", "links", F.struct("head.doc_id", "head.t").alias("class"))
 
 
@@ -232,6 +323,6 @@ def deduplicate(docs: DataFrame, threshold: float = THRESHOLD, recall: float = R
     kept = data.where(~empty).join(heads, F.expr("d_id <=> h_id AND d_t = h_t"))
     # rows that repeat a head are one document too
     if heads.where("h_n > 1").head(1):
-        many = kept.where("h_n > 1").groupBy("d_id", "d_t").agg(F.any_value("row").alias("row"))
+        many = kept.where("h_n > 1").groupBy("d_id", "d_t").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
         kept = kept.where("h_n = 1").select("row").unionAll(many.select("row"))
     return kept.select("row").unionAll(data.where(empty).select("row")).select("row.*")

@@ -96,10 +96,45 @@ def test_edge_cases(edge_docs, edge_rows, no_docs):
     assert N.near_duplicates(no_docs).collect() == [] and N.deduplicate(no_docs).collect() == []
 
 
-def test_prefix_meets_the_target():
-    d = N.prefix_bytes(0.8, 0.9999)
-    meets = lambda k: 1 - (1 - 0.8 ** k) ** N.TREES
-    assert meets(d) >= 0.9999 > meets(d + 1)
+def classes_of(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    sample, digests = N.sample_of(docs, 0.8)
+    return N._classes(docs, sample)[1], digests
+
+
+def test_the_prefix_follows_the_links_of_the_sample(spark):
+    """Nearly equal copies meet by long prefixes, copies near the threshold need short ones."""
+    def copies_of(edits, n):
+        out = []
+        for g in range(12):
+            base = prose(400, 500 + g, 9000).split(" ")
+            for c in range(n):
+                w = list(base)
+                for e in range(edits):
+                    w[(c * 37 + e * (400 // max(edits, 1))) % 400] = f"w{g}x{c}x{e}"
+                out.append((len(out), " ".join(w)))
+        return out
+    depth, found, links = N.depth_for(*classes_of(spark, copies_of(1, 6)), 0.8, 0.9999)
+    assert depth > 6 and links >= N.FEW_LINKS and found[depth] >= 0.9999
+    depth, found, links = N.depth_for(*classes_of(spark, copies_of(4, 6)), 0.8, 0.9999)
+    assert links >= N.FEW_LINKS and found[depth] >= 0.9999 and (depth == 8 or found[depth + 1] < 0.9999)
+    near = depth
+    depth, found, links = N.depth_for(*classes_of(spark, copies_of(1, 1)), 0.8, 0.9999)
+    assert links == 0 and depth == 6 and near <= 8      # judged by the threshold: 6 is the longest that meets it
+    assert N.meets(0.8, 6) >= 0.9999 > N.meets(0.8, 7)
+    assert N.depth_for(*classes_of(spark, copies_of(1, 1)), 0.8, 0.9999999)[0] < 6
+
+
+def test_sampled_links_are_exact():
+    r = np.random.default_rng(4)
+    sets = [np.unique(r.integers(0, 300, 250, dtype=np.uint64)) for _ in range(30)] + [np.arange(10, dtype=np.uint64)]
+    sample = N.Sample(sets, 0.4)
+    for g in [*sets, np.zeros(0, np.uint64), np.array([10 ** 9], np.uint64), np.arange(8, dtype=np.uint64)]:
+        got = dict(zip(*sample.links(g)))
+        want = {i: len(np.intersect1d(g, s)) / len(np.union1d(g, s)) for i, s in enumerate(sets)} if len(g) else {}
+        want = {i: s for i, s in want.items() if s >= 0.4}
+        assert got == pytest.approx(want)
+    assert N.Sample([], 0.8).links(sets[0]) == ([], [])
 
 
 def test_signatures_agree_as_often_as_sets():
