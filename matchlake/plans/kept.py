@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..session import shared_dir
 from ..sources import buckets as B
+from ..sources import deadletter as D
 from ..sources import gate as G
 from ..sources import published as P
 from . import incremental as I
@@ -110,6 +111,30 @@ def q_gated_load(spark, sf_dir):
         spark.table(f"{db}.quarantine").select("load_id", row.battle_id.alias("battle_id"), row.player_id.alias("player_id"), "rule"))
 
 
-QUERIES = {"incremental_facts": q_incremental_facts, "incremental_deck_dim": q_incremental_deck_dim,
+def q_landed_broken(spark, sf_dir):
+    """Player documents of which some are cut off and some have a text where a number
+    belongs: read, held back with the reason, and the latter read again once mended."""
+    from . import parse
+    from .registry import Game
+    stats = Game(spark, sf_dir).player_stats()
+    whole = F.to_json(F.struct(*[F.col(c) for c in stats.columns]))
+    text = (F.when(F.col("expLevel") % 5 == 0, F.left(whole, F.length(whole) - 10))
+             .when(F.col("expLevel") % 7 == 0, F.concat(F.left(whole, F.length(whole) - 1), F.lit(', "wins": "many"}')))
+             .otherwise(whole))
+    base, dead = shared_dir(spark, "landed-broken"), f"{_database(spark, 'd')}.dead"
+    stats.select(text.alias("value")).write.text(f"{base}/in")
+    D.create_dead_letters(spark, dead, f"{base}/dead")
+    good = D.land(spark, f"{base}/in", parse.PLAYER, dead, "landed")
+    tag = F.regexp_extract("text", r'"tag":"([^"]*)"', 1)
+    held = shared_dir(spark, "landed-broken", "held")
+    spark.table(dead).select(tag.alias("tag"), "reason").write.parquet(held)
+    mended = D.replay(spark, dead, "landed", parse.PLAYER, F.replace(F.col("text"), F.lit(', "wins": "many"'), F.lit("")))
+    return good.select("tag", F.lit("landed").alias("outcome")).unionByName(
+        spark.read.schema("tag STRING, reason STRING").parquet(held).select("tag", F.col("reason").alias("outcome"))).unionByName(
+        mended.select("tag", F.lit("mended").alias("outcome"))).unionByName(
+        spark.table(dead).select(tag.alias("tag"), F.lit("left").alias("outcome")))
+
+
+QUERIES = {"landed_broken": q_landed_broken, "incremental_facts": q_incremental_facts, "incremental_deck_dim": q_incremental_deck_dim,
            "incremental_date_dim": q_incremental_date_dim, "deck_usage_rolling": q_deck_usage_rolling,
            "load_counters": q_load_counters, "growing_upsert": q_growing_upsert, "gated_load": q_gated_load}

@@ -655,3 +655,7 @@ whole AS (SELECT o.load_id, o.battle_id, o.player_id, CASE WHEN f.battle_id IS N
           FROM own o LEFT JOIN fine f ON f.battle_id = o.battle_id AND f.player_id = o.player_id)
 SELECT load_id, battle_id, player_id, unnest(CASE WHEN len(rules) = 0 THEN [NULL] ELSE rules END)::VARCHAR AS rule FROM whole""",
                               [deck_dim_cte()])
+SQL["landed_broken"] = with_ctes(["player_stats"], """
+SELECT tag, CASE WHEN expLevel % 5 = 0 THEN 'malformed' WHEN expLevel % 7 = 0 THEN 'bad_field' ELSE 'landed' END AS outcome FROM player_stats
+UNION ALL SELECT tag, 'mended' FROM player_stats WHERE expLevel % 5 <> 0 AND expLevel % 7 = 0
+UNION ALL SELECT tag, 'left' FROM player_stats WHERE expLevel % 5 = 0""")
