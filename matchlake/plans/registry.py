@@ -141,9 +141,9 @@ def q_elixir_cost_by_arena(spark, sf_dir):
     return stable(R.elixir_cost_by_arena(g.fct(), g.deck()))
 
 
-def _daily(g, exclude="predefined"):
+def _daily(g, exclude="predefined", ordered=True):
     return R.deck_usage_daily(g.fct(), g.deck(), g.dates(), as_of=AS_OF,
-                              exclude_selection=exclude)
+                              exclude_selection=exclude, ordered=ordered)
 
 
 def q_deck_usage_daily(spark, sf_dir):
@@ -155,11 +155,11 @@ def q_deck_usage_inclusive(spark, sf_dir):
 
 
 def q_deck_usage_pivot(spark, sf_dir):
-    return stable(R.deck_usage_pivot(_daily(Game(spark, sf_dir)), R.window_days(AS_OF)))
+    return stable(R.deck_usage_pivot(_daily(Game(spark, sf_dir), ordered=False), R.window_days(AS_OF)))
 
 
 def q_deck_usage_trend(spark, sf_dir):
-    return stable(R.deck_usage_trend(_daily(Game(spark, sf_dir))))
+    return stable(R.deck_usage_trend(_daily(Game(spark, sf_dir), ordered=False)))
 
 
 def q_card_info(spark, sf_dir):

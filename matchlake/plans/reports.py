@@ -87,13 +87,15 @@ def _as_of(as_of) -> Column:
 
 def deck_usage_daily(fct: DataFrame, deck: DataFrame, dates: DataFrame,
                      days: int = TREND_DAYS, as_of=None,
-                     exclude_selection: str | None = "predefined") -> DataFrame:
+                     exclude_selection: str | None = "predefined", ordered: bool = True) -> DataFrame:
     """``battle_date, cards_list, usage``: battles per day per deck.
 
     Counts a battle once per deck even if both sides used it.  A NULL deck
     selection is dropped like SQL ``<>`` drops it; ``exclude_selection=None``
     keeps every selection method.  The DISTINCT over (battle, day, deck)
-    absorbs copies, so ``fct`` may be the fact rows before their DISTINCT.
+    absorbs copies, so ``fct`` may be the fact rows before their DISTINCT.  A
+    deck's key stands for its list until battles are counted: no card array goes
+    through the DISTINCT, and the lists meet one row per day and deck.
 
     The window also stands on the facts' own day key (and on their month, if
     they are partitioned by ``battle_month``), so it reaches the scan.
@@ -104,14 +106,13 @@ def deck_usage_daily(fct: DataFrame, deck: DataFrame, dates: DataFrame,
         f = f.where(F.col("battle_month") >= F.substring(since, 1, 6))
     if exclude_selection is not None:
         f = f.where(F.col("deck_selection_method") != F.lit(exclude_selection))
-    f = f.select("battle_id", "deck_id", "date_id")
+    f = f.select("battle_id", "deck_id", "date_id").distinct()
     dd = dates.where(F.col("battle_date") > F.date_sub(_as_of(as_of), days)) \
               .select("date_id", "battle_date")
     dk = deck.select("deck_id", "cards_list").distinct()
-    rows = f.join(dd, "date_id").join(dk, "deck_id") \
-            .select("battle_id", "battle_date", "cards_list").distinct()
-    out = rows.groupBy("battle_date", "cards_list").agg(F.count(F.lit(1)).alias("usage"))
-    return out.orderBy(F.asc("battle_date"), F.desc("usage"))
+    used = f.groupBy("date_id", "deck_id").agg(F.count(F.lit(1)).alias("usage"))
+    out = used.join(dd, "date_id").join(dk, "deck_id").select("battle_date", "cards_list", "usage")
+    return out.orderBy(F.asc("battle_date"), F.desc("usage")) if ordered else out
 
 
 def window_days(as_of: _dt.date, days: int = TREND_DAYS) -> list[_dt.date]:
@@ -145,9 +146,8 @@ def deck_usage_trend(daily: DataFrame) -> DataFrame:
     The same rows as pivot-then-row-array, without a pivot whose width grows
     with the day count: the window's day list is a scalar subquery (bounded by
     the window length), each deck's (day, usage) pairs are bounded by it too.
+    Both read the same exchange; nothing runs while the plan is built.
     """
-    ensure_checkpoint_dir(daily.sparkSession)
-    daily = daily.checkpoint(eager=True)   # read by the day list and by the per-deck maps
     day_list = daily.select(F.array_sort(F.collect_set("battle_date")).alias("d")).scalar()
     per = daily.groupBy("cards_list").agg(
         F.map_from_entries(F.collect_list(F.struct("battle_date", "usage"))).alias("__m"))
