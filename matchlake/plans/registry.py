@@ -483,8 +483,19 @@ def _refreshed_query(name):
     return q
 
 
+_SNAPSHOTS: dict[tuple[str, str], dict] = {}
+
+
 def _snapshot(spark, sf_dir):
-    """Every table exported to files and imported again, in schemas of its own."""
+    """Every table exported to files and imported again, in schemas of its own;
+    once per application and directory."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SNAPSHOTS:
+        _SNAPSHOTS[key] = _make_snapshot(spark, sf_dir)
+    return _SNAPSHOTS[key]
+
+
+def _make_snapshot(spark, sf_dir):
     g = Game(spark, sf_dir)
     st = g.star
     frames = {
@@ -504,12 +515,10 @@ def q_snapshot_roundtrip(spark, sf_dir):
     return table_counts(_snapshot(spark, sf_dir))
 
 
-def q_snapshot_facts(spark, sf_dir):
-    return stable(_snapshot(spark, sf_dir)["fct_battle"])
-
-
-def q_snapshot_top_players(spark, sf_dir):
-    return stable(_snapshot(spark, sf_dir)["staging.stg_top_players_by_season"])
+def _snapshot_query(table):
+    def q(spark, sf_dir):
+        return stable(_snapshot(spark, sf_dir)[table])
+    return q
 
 
 QUERIES.update({
@@ -538,8 +547,18 @@ QUERIES.update({
     "refresh_clan_dim": _refreshed_query("clan_dim"),
     "refresh_season_urls": _refreshed_query("stg_seasons"),
     "refresh_top_players_per_season": _refreshed_query("stg_top_players_by_season"),
-    "snapshot_facts": q_snapshot_facts,
-    "snapshot_top_players": q_snapshot_top_players,
+    "snapshot_facts": _snapshot_query("fct_battle"),
+    "snapshot_top_players": _snapshot_query("staging.stg_top_players_by_season"),
+    "snapshot_player_dim": _snapshot_query("player_dim"),
+    "snapshot_deck_dim": _snapshot_query("deck_dim"),
+    "snapshot_date_dim": _snapshot_query("date_dim"),
+    "snapshot_clan_dim": _snapshot_query("clan_dim"),
+    "snapshot_card_dim": _snapshot_query("card_dim"),
+    "snapshot_log": _snapshot_query("raw.player_battle_log"),
+    "snapshot_seasons": _snapshot_query("staging.stg_seasons"),
+    "snapshot_cards": _snapshot_query("staging.stg_cards"),
+    "snapshot_player_stats": _snapshot_query("staging.stg_player_stats"),
+    "snapshot_clan_stats": _snapshot_query("staging.stg_clan_stats"),
     "snapshot_roundtrip": q_snapshot_roundtrip,
 })
 
@@ -698,6 +717,18 @@ def q_landed_ladder(spark, sf_dir):
                                             F.lit(table.split(".")[1]).alias("table_name")))
 
 
+def q_ladder_tags(spark, sf_dir):
+    """Player tags of all dumps of a folder, read by its ``*.parquet`` names, with
+    SQL over the frame (S7, S10, D9)."""
+    log, base = Game(spark, sf_dir).log, shared_dir(spark, "ladder-files")
+    for name, part in {"old": F.col("battleTime") < SPLIT_OLD, "new": F.col("battleTime") >= SPLIT_OLD}.items():
+        ladder_frame(log.where(part)).write.parquet(f"{base}/{name}.parquet")
+    ladder_frame(log.limit(1)).select(F.lit("not a dump").alias("winner.tag"), F.lit("x").alias("loser.tag"), "battleTime") \
+        .write.parquet(f"{base}/other.files")
+    return sql_over(spark, "SELECT `winner.tag` AS player_tag FROM {df} UNION SELECT `loser.tag` FROM {df}",
+                    df=FS.read_parquet_dir(spark, base, "`winner.tag` STRING, `loser.tag` STRING, battleTime STRING"))
+
+
 def q_copied_players(spark, sf_dir):
     """A Parquet file copied into a table twice: appended by name, content kept."""
     stats = Game(spark, sf_dir).player_stats()
@@ -727,13 +758,13 @@ def q_doubled_keys(spark, sf_dir):
         F.expr("f.tag <=> l.tag")).select("f.tag", "kept_first", "kept_last", "last_wins")
 
 
-from ..sources.catalog import append_parquet, create_table, ensure_schemas, ladder_table  # noqa: E402
+from ..sources.catalog import append_parquet, create_table, ensure_schemas, ladder_table, sql_over  # noqa: E402
 
 QUERIES.update({
     "fct_battle_keys": q_fct_battle_keys, "exclude_star": q_exclude_star, "literal_season": q_literal_season,
     "request_rankings": q_request_rankings, "request_clans": q_request_clans, "landed_seasons": q_landed_seasons,
     "landed_battles": q_landed_battles, "landed_players": q_landed_players, "landed_ladder": q_landed_ladder,
-    "copied_players": q_copied_players, "doubled_keys": q_doubled_keys})
+    "ladder_tags": q_ladder_tags, "copied_players": q_copied_players, "doubled_keys": q_doubled_keys})
 
 # ---- tables kept up to date load by load -------------------------------------
 from .kept import QUERIES as _KEPT_QUERIES  # noqa: E402

@@ -659,3 +659,9 @@ SQL["landed_broken"] = with_ctes(["player_stats"], """
 SELECT tag, CASE WHEN expLevel % 5 = 0 THEN 'malformed' WHEN expLevel % 7 = 0 THEN 'bad_field' ELSE 'landed' END AS outcome FROM player_stats
 UNION ALL SELECT tag, 'mended' FROM player_stats WHERE expLevel % 5 <> 0 AND expLevel % 7 = 0
 UNION ALL SELECT tag, 'left' FROM player_stats WHERE expLevel % 5 = 0""")
+SQL["ladder_tags"] = SQL["dotted_columns"]
+for _name in ("player_dim", "deck_dim", "date_dim", "clan_dim", "card_dim"):
+    SQL[f"snapshot_{_name}"] = SQL[_name]
+SQL["snapshot_seasons"], SQL["snapshot_log"] = SQL["season_urls"], with_ctes(BASE, log_out("log"))
+SQL["snapshot_cards"] = with_ctes(["cards"], "\nSELECT * FROM cards")
+SQL["snapshot_player_stats"], SQL["snapshot_clan_stats"] = SQL["parse_players"], SQL["parse_clans"]
