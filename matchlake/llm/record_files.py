@@ -38,6 +38,7 @@ from .crc32c import crc32c
 ROLL_BYTES = 64 << 20
 ENCODE_BYTES = 24 << 20   # text whose distinct words are encoded together
 READ_BYTES = 4 << 20
+TIE_CHARS = 32        # of a text, that set apart rows of one id
 FRAME_AT_ONCE = 1000      # records whose checksums are taken together
 MASK = 0xA282EAD8         # fixed value
 HEAD, PREFIX = struct.Struct("<QI"), struct.Struct("<qB")
@@ -114,8 +115,10 @@ def write_records(docs: DataFrame, folder: str, path: str, end_id: int = 1) -> D
                 "path": [name + ".rec"], "records": [len(index) // 2], "ids": [ids], "bytes": [at]})
             seq += 1
 
-    dealt = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(F.col("doc_id").asc_nulls_first())
-    ordered = dealt.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    # rows of one id, null too, are dealt out by the beginning of their text, which keeps their order
+    by_id = F.col("doc_id").asc_nulls_first()
+    dealt = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(by_id, F.left("text", F.lit(TIE_CHARS)))
+    ordered = dealt.sortWithinPartitions(by_id, "text")
     return cut(ordered.mapInArrow(releasing(write), MANIFEST), "records-manifest")
 
 

@@ -96,7 +96,7 @@ def judge(pages: DataFrame, rules: tuple[UrlRule, ...], url: str = "url", defaul
     fits = spots.join(hint(index), "token").where(F.regexp_like("hp", F.col("regex")))
     best = fits.groupBy("u").agg(F.max(F.struct(
         "tier", F.length("name").alias("n"), F.struct("name", "rule_verdict", "shown").alias("r")))["r"].alias("best"))
-    rows = pages.select(*[F.col(c).alias(f"in_{i}") for i, c in enumerate(keep)], F.col(url).alias("u"))
+    rows = pages.select(*[F.col(f"`{c}`").alias(f"in_{i}") for i, c in enumerate(keep)], F.col(url).alias("u"))
     out = rows.join(best, "u", "left")
     return out.select(*[F.col(f"in_{i}").alias(c) for i, c in enumerate(keep)],
                       host_of(F.col("u")).alias("host"), path_of(F.col("u")).alias("path"),

@@ -78,3 +78,17 @@ def test_checksums_of_every_length():
 def test_no_rows(no_docs, folder):
     manifest = R.write_records(no_docs, folder, vocabulary())
     assert manifest.collect() == [] and R.read_records(manifest).collect() == []
+
+
+def test_rows_without_an_id_go_to_several_tasks(spark, folder):
+    docs = spark.createDataFrame([(None if i % 2 else i, f"{i % 50} text {i}") for i in range(800)], "doc_id long, text string").repartition(4)
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")        # so little data would be one task
+    try:
+        manifest = R.write_records(docs, folder, vocabulary())
+    finally:
+        spark.conf.unset(setting)
+    got = sorted((tuple(r) for r in R.read_records(manifest).collect()), key=lambda r: r[1])
+    assert got == plain(docs)
+    records = [r.records for r in manifest.collect()]
+    assert len(records) >= 3 and max(records) < 400     # 400 rows have no id

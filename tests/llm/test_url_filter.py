@@ -29,9 +29,9 @@ def plain(url):
 
 def test_every_url(spark):
     rows = [(i, u, "x", "y", "z") for i, u in enumerate(URLS * 2)]
-    pages = spark.createDataFrame(rows, "page_id long, url string, token string, host string, rule string").repartition(3)
+    pages = spark.createDataFrame(rows, "page_id long, url string, `to.ken` string, host string, rule string").repartition(3)
     got = U.judge(pages, URL_RULES)
-    assert got.columns == ["page_id", "url", "token", "host", "path", "rule", "verdict"]
+    assert got.columns == ["page_id", "url", "to.ken", "host", "path", "rule", "verdict"]
     assert {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in got.collect()} == {
         i: plain(u) for i, u, *_ in rows}
 
