@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..session import shared_dir
+from ..sources import fixtures as fx
 from ..sources import buckets as B
 from ..sources import deadletter as D
 from ..sources import gate as G
 from ..sources import published as P
+from ..sources import topstate as T
 from . import incremental as I
 from . import models as M
 from . import refresh as RF
@@ -135,6 +137,22 @@ def q_landed_broken(spark, sf_dir):
         spark.table(dead).select(tag.alias("tag"), F.lit("left").alias("outcome")))
 
 
-QUERIES = {"landed_broken": q_landed_broken, "incremental_facts": q_incremental_facts, "incremental_deck_dim": q_incremental_deck_dim,
+def q_kept_top_players(spark, sf_dir):
+    """The ten best customers of each month: loaded with scores of which some are too
+    high, corrected, and completed by customers that come late."""
+    orders = fx.read_table(spark, sf_dir, "orders")
+    true = orders.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("grp"), F.col("o_custkey").alias("c")).agg(
+        F.sum(F.floor(F.col("o_totalprice") * 100)).alias("score"))
+    true = true.select("grp", F.format_string("%012d", "c").alias("member"), "score", "c")
+    wrong = true.withColumn("score", F.when(F.col("c") % 4 == 0, F.col("score") * 3).otherwise(F.col("score")))
+    db = _database(spark, "t")
+    T.create_top(spark, f"{db}.scores", f"{db}.state", shared_dir(spark, "top"))
+    for rows in (wrong.where("c % 5 <> 0"), true.where("c % 4 = 0 AND c % 5 <> 0"), true.where("c % 5 = 0")):
+        T.load_top(spark, f"{db}.scores", f"{db}.state", rows.drop("c"), [F.col("score")])
+    return T.top(spark, f"{db}.state").select(F.col("grp").alias("season_id"), F.col("rank").cast("int").alias("rank"),
+                                              F.col("member").cast("long").alias("custkey"), "score")
+
+
+QUERIES = {"kept_top_players": q_kept_top_players, "landed_broken": q_landed_broken, "incremental_facts": q_incremental_facts, "incremental_deck_dim": q_incremental_deck_dim,
            "incremental_date_dim": q_incremental_date_dim, "deck_usage_rolling": q_deck_usage_rolling,
            "load_counters": q_load_counters, "growing_upsert": q_growing_upsert, "gated_load": q_gated_load}

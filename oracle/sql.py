@@ -665,3 +665,8 @@ for _name in ("player_dim", "deck_dim", "date_dim", "clan_dim", "card_dim"):
 SQL["snapshot_seasons"], SQL["snapshot_log"] = SQL["season_urls"], with_ctes(BASE, log_out("log"))
 SQL["snapshot_cards"] = with_ctes(["cards"], "\nSELECT * FROM cards")
 SQL["snapshot_player_stats"], SQL["snapshot_clan_stats"] = SQL["parse_players"], SQL["parse_clans"]
+SQL["kept_top_players"] = """
+WITH s AS (SELECT strftime(o_orderdate, '%Y-%m') AS season_id, o_custkey AS custkey, CAST(sum(floor(o_totalprice * 100)) AS BIGINT) AS score
+           FROM orders GROUP BY ALL)
+SELECT season_id, CAST(row_number() OVER (PARTITION BY season_id ORDER BY score DESC, custkey) AS INTEGER) AS rank, custkey, score
+FROM s QUALIFY rank <= 10"""
