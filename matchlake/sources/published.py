@@ -44,6 +44,10 @@ def _quoted(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def properties(spark: SparkSession, name: str) -> dict[str, str]:
     return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {_quoted(name)}").collect()}
 
@@ -82,7 +86,7 @@ def _register(spark: SparkSession, name: str, ddl: str, part: str, root: str, pa
 def _point(spark: SparkSession, name: str, version: str, props: dict[str, str]) -> None:
     """The step that publishes: the view names the new version and its properties."""
     columns = ", ".join(f"`{c}`" for c in spark.table(version).columns if c != VERSION)
-    listed = ", ".join(f"'{k}'='{v}'" for k, v in {**props, "current": version}.items())
+    listed = ", ".join(f"{_text(k)}={_text(v)}" for k, v in {**props, "current": version}.items())
     spark.sql(f"CREATE OR REPLACE VIEW {_quoted(name)} TBLPROPERTIES ({listed}) AS SELECT {columns} FROM {_quoted(version)}")
 
 
@@ -128,9 +132,8 @@ def publish(spark: SparkSession, name: str, tag: str | None, drop: Callable[[Pai
     version = _register(spark, name, ddl, old["part"], old["root"], pairs)
     after("registered")
     versions = [*old["versions"].split(","), version]
-    new = {k: v for k, v in old.items() if k in ("part", "root") or k in props or not k.startswith(("view.", "current", "versions"))}
-    new = {**new, **{k: str(v) for k, v in props.items()}, "versions": ",".join(versions[-keep - 1:])}
-    _point(spark, name, version, new)
+    kept = {k: v for k, v in old.items() if not k.startswith("view.")}
+    _point(spark, name, version, {**kept, **{k: str(v) for k, v in props.items()}, "versions": ",".join(versions[-keep - 1:])})
     after("published")
     if versions[:-keep - 1]:
         retire(spark, old["root"], versions[:-keep - 1], versions[-keep - 1:])

@@ -26,12 +26,12 @@ def test_append_and_replace(spark, table):
     assert content(spark, table) == []
     P.append(spark, table, rows(spark, (1, "a"), (2, "b"), (3, None)))
     before = spark.table(table)
-    P.append(spark, table, rows(spark, (4, "b"), (5, "c")), load="x")
+    P.append(spark, table, rows(spark, (4, "b"), (5, "c")), load="it's \\ x")
     assert content(spark, table) == sorted([(1, "a"), (2, "b"), (3, None), (4, "b"), (5, "c")], key=str)
     P.replace_parts(spark, table, rows(spark, (9, "b"), (8, None)), ["b", "a", None])
     assert content(spark, table) == sorted([(9, "b"), (8, None), (5, "c")], key=str)
     assert before.count() == 3                      # a frame keeps its version
-    assert P.properties(spark, table)["load"] == "x"
+    assert P.properties(spark, table)["load"] == "it's \\ x"
     assert spark.table(table).schema == spark.table(P.properties(spark, table)["current"]).drop("version").schema
     plan = spark.table(table).where("month = 'c'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month" in plan
