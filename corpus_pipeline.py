@@ -21,6 +21,10 @@ from matchlake.llm import bpe, line_dedup, mixing, ngram_join, quality_rules
 from matchlake.llm.common import cut, n_words, prepare, table
 from matchlake.llm.queries import vocabulary
 
+#: Text of a block in the last stage: smaller than the operator's own, as the
+#: executors still hold memory of the stages before.
+ENCODED_AT_ONCE = 4 << 20
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that break no rule."""
@@ -47,7 +51,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, the ids, and digests of ids and decoded text."""
-    return bpe.encode_decode(docs, vocabulary(), ["doc_id", "source"], bpe.ids_and_digests, bpe.IDS_AND_DIGESTS)
+    return bpe.encode_decode(docs, vocabulary(), ["doc_id", "source"], bpe.ids_and_digests, bpe.IDS_AND_DIGESTS,
+                             block_bytes=ENCODED_AT_ONCE)
 
 
 STAGES = [("quality_rules", quality), ("line_dedup", lines), ("ngram_join", near_duplicates),
