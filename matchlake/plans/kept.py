@@ -17,7 +17,9 @@ from ..sources import fixtures as fx
 from ..sources import buckets as B
 from ..sources import deadletter as D
 from ..sources import gate as G
+from ..sources import keydict as K
 from ..sources import published as P
+from ..sources import reconcile as RC
 from ..sources import topstate as T
 from . import incremental as I
 from . import models as M
@@ -153,6 +155,47 @@ def q_kept_top_players(spark, sf_dir):
                                               F.col("member").cast("long").alias("custkey"), "score")
 
 
-QUERIES = {"kept_top_players": q_kept_top_players, "landed_broken": q_landed_broken, "incremental_facts": q_incremental_facts, "incremental_deck_dim": q_incremental_deck_dim,
+def _differing_dumps(spark, sf_dir, kind):
+    """Player statistics as three dumps: the second has its columns moved and one
+    widened, the third one more, another widened and one in conflict."""
+    from .registry import Game
+    stats, base = Game(spark, sf_dir).player_stats(), shared_dir(spark, f"dumps-{kind}")
+    level, wins, trophies = F.col("expLevel") % 3, F.col("wins"), F.col("trophies")
+    dumps = {"a": stats.where(level == 0).select("tag", "wins", "trophies"),
+             "b": stats.where(level == 1).select((trophies.cast("long") + 10_000_000_000).alias("Trophies"), "tag", "wins"),
+             "c": stats.where(level == 2).select("tag", "name", (wins + F.lit(0.5).cast("double")).alias("wins"),
+                                                 F.concat(F.lit("t"), trophies.cast("string")).alias("trophies"))}
+    for name, rows in dumps.items():
+        rows.write.option("header", True).format(kind).save(f"{base}/{name}")
+    return RC.read_dumps(spark, {name: f"{base}/{name}" for name in dumps}, kind)[0]
+
+
+def q_reconciled_parquet(spark, sf_dir):
+    """Parquet dumps whose columns differ, as one table."""
+    return _differing_dumps(spark, sf_dir, "parquet")
+
+
+def q_reconciled_csv(spark, sf_dir):
+    """CSV dumps whose columns differ, as one table with types from all values."""
+    return _differing_dumps(spark, sf_dir, "csv")
+
+
+def _battle_key():
+    return F.concat_ws("|", "battleTime", "team_tag", "opponent_tag")
+
+
+def q_battle_ids(spark, sf_dir):
+    """Dense ids of the battles of three loads that overlap, with their 60-bit hashes."""
+    from .registry import Game
+    log, name = Game(spark, sf_dir).log, f"{_database(spark, 'n')}.battles"
+    K.create_dictionary(spark, name, shared_dir(spark, "battle-ids"))
+    for load, part in LOADS.items():
+        K.extend(spark, name, _battle_key(), log.where(part), load)
+    return K.with_ids(log.select(_battle_key().alias("battle")), F.col("battle"), spark.table(name), "id").join(
+        spark.table(name).select("id", "hash", "load"), "id").select("battle", "id", "hash", "load")
+
+
+QUERIES = {"reconciled_parquet": q_reconciled_parquet, "reconciled_csv": q_reconciled_csv,
+           "battle_ids": q_battle_ids, "kept_top_players": q_kept_top_players, "landed_broken": q_landed_broken, "incremental_facts": q_incremental_facts, "incremental_deck_dim": q_incremental_deck_dim,
            "incremental_date_dim": q_incremental_date_dim, "deck_usage_rolling": q_deck_usage_rolling,
            "load_counters": q_load_counters, "growing_upsert": q_growing_upsert, "gated_load": q_gated_load}

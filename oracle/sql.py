@@ -670,3 +670,14 @@ WITH s AS (SELECT strftime(o_orderdate, '%Y-%m') AS season_id, o_custkey AS cust
            FROM orders GROUP BY ALL)
 SELECT season_id, CAST(row_number() OVER (PARTITION BY season_id ORDER BY score DESC, custkey) AS INTEGER) AS rank, custkey, score
 FROM s QUALIFY rank <= 10"""
+SQL["reconciled_parquet"] = SQL["reconciled_csv"] = with_ctes(["player_stats"], """
+SELECT tag, CAST(wins AS DOUBLE) AS wins, CAST(trophies AS VARCHAR) AS trophies, CAST(NULL AS VARCHAR) AS name
+FROM player_stats WHERE expLevel % 3 = 0
+UNION ALL SELECT tag, CAST(wins AS DOUBLE), CAST(trophies + 10000000000 AS VARCHAR), NULL FROM player_stats WHERE expLevel % 3 = 1
+UNION ALL SELECT tag, wins + CAST(0.5 AS DOUBLE), 't' || trophies, name FROM player_stats WHERE expLevel % 3 = 2""")
+_battle = "concat_ws('|', battleTime, team_tag, opponent_tag)"
+SQL["battle_ids"] = with_ctes(BASE, ", landed AS (" + "\nUNION ALL\n".join(
+    f"SELECT {i} AS n, '{k}' AS load, {_battle} AS battle FROM log WHERE {where}" for i, (k, where) in enumerate(_of.items())) + f"""),
+first_seen AS (SELECT battle, min(n) AS n, arg_min(load, n) AS load FROM landed GROUP BY battle),
+ids AS (SELECT battle, load, CAST(row_number() OVER (ORDER BY n, battle) - 1 AS BIGINT) AS id FROM first_seen)
+SELECT i.battle, i.id, {key('i.battle')} AS hash, i.load FROM (SELECT {_battle} AS battle FROM log) l JOIN ids i USING (battle)""")
