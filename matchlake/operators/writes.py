@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .repeats import split_repeats
+
 
 def dedupe_batch(batch: DataFrame, keys: list[str], order: list[Column], keep: str = "first") -> DataFrame:
     """One row per key (NULLs equal), the first or last in load ``order``.  An
@@ -41,6 +43,18 @@ def dedupe_batch(batch: DataFrame, keys: list[str], order: list[Column], keep: s
               .select(*[F.col(f"`{c}`") for c in batch.columns])
 
 
+def dedupe_stored(batch: DataFrame, keys: list[str], order: list[Column], keep: str = "first") -> DataFrame:
+    """The rows of :func:`dedupe_batch` for a batch that is in files: a row whose key
+    comes once passes without sort or shuffle; the repeated keys are looked for now."""
+    if not order and set(batch.columns) - set(keys):
+        raise ValueError("load order is needed to choose between rows of the same key")
+    once, rest = split_repeats(batch, F.xxhash64(*[F.col(f"`{k}`") for k in keys]))
+    if rest is None:
+        return once
+    rest = dedupe_batch(rest, keys, order, keep)
+    return rest if once is None else once.unionByName(rest)
+
+
 def _key_match(keys: list[str], left: str, right: str) -> Column:
     cond = None
     for k in keys:
@@ -51,7 +65,7 @@ def _key_match(keys: list[str], left: str, right: str) -> Column:
 
 def insert_ignore(target: DataFrame, batch: DataFrame, keys: list[str],
                   order: list[Column] | None = None, by_name: bool = True,
-                  prune_on: str | None = None) -> DataFrame:
+                  prune_on: str | None = None, stored: bool = False, unique: bool = False) -> DataFrame:
     """Rows of ``batch`` to append to ``target`` (an anti join on ``keys``).
 
     ``by_name`` aligns the batch to the target's columns, filling absent ones
@@ -62,10 +76,16 @@ def insert_ignore(target: DataFrame, batch: DataFrame, keys: list[str],
     partition column).  Only target rows between the batch's least and greatest
     value can match; the two are scalar subqueries, so the scan reads just the
     partitions between them.  Exact for any batch.
+
+    ``stored`` says that the batch is in files and may be read more than once:
+    whole rows are then shuffled only to meet stored keys, if there are any.
+    ``unique`` says that no key comes twice in it, NULLs being equal.
     """
     if not by_name:
         batch = batch.toDF(*target.columns)
-    deduped = align_by_name(dedupe_batch(batch, keys, order), target)
+    deduped = align_by_name(batch if unique else (dedupe_stored if stored else dedupe_batch)(batch, keys, order), target)
+    if stored and target.isEmpty():
+        return deduped
     # stored rows with a NULL key part can never match: drop them before the
     # shuffle (they would all hash to one partition)
     t = target.where(_all_keys_present(keys))
@@ -96,17 +116,18 @@ def align_by_name(batch: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str],
-           order: list[Column] | None = None, by_name: bool = True) -> DataFrame:
+           order: list[Column] | None = None, by_name: bool = True, unique: bool = False) -> DataFrame:
     """Full new content of ``target`` after an insert-or-replace, by name or
     (``by_name=False``) by position.
 
     Batch rows whose key has a NULL part never match and are appended.
-    Within the batch the *last* row per key in load order wins.
+    Within the batch the *last* row per key in load order wins; ``unique`` says
+    that no key comes twice, NULLs being equal.
     """
     if not by_name:
         batch = batch.toDF(*target.columns)
     supplied = [c for c in target.columns if c in set(batch.columns) and c not in keys]
-    b = dedupe_batch(batch, keys, order, keep="last").select(
+    b = (batch if unique else dedupe_batch(batch, keys, order, keep="last")).select(
         *[F.col(f"`{c}`") for c in batch.columns if c in set(target.columns)])
     # rows with a NULL key part never match: they bypass the join (a full
     # outer join cannot split a skewed partition, and they would all share one)

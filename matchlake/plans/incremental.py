@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -35,8 +36,8 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.dates import yyyymmdd
 from ..functions.keys import list_key
-from ..operators.writes import insert_ignore
-from ..session import shared_dir
+from ..operators.writes import dedupe_stored, insert_ignore
+from ..session import CODEC, shared_dir, small_splits
 from ..sources import buckets as B
 from ..sources import published as P
 from . import models as M
@@ -110,28 +111,49 @@ def stored_keys(spark: SparkSession, store: Store, landed: DataFrame) -> DataFra
     return log.where(F.col(MONTH).between(first[:6], last[:6]) & F.col("battleTime").between(first, last))
 
 
+def new_battles(spark: SparkSession, store: Store, landed: DataFrame, order: list[Column]) -> DataFrame:
+    """Battles of the batch that the log lacks; only those of months that the log has meet its keys."""
+    there = {p for p, _ in P.parts(spark, store.log)}
+    months = [m for (m,) in landed.select(MONTH).distinct().collect() if m in there]
+    one = dedupe_stored(landed, S.PLAYER_BATTLE_LOG_KEY, order)
+    if not months:
+        return one
+    known = F.coalesce(F.col(MONTH).isin(months), F.lit(False))
+    held = stored_keys(spark, store, landed.where(known)).where(F.col(MONTH).isin(months))
+    return one.where(~known).unionByName(insert_ignore(held, one.where(known), S.PLAYER_BATTLE_LOG_KEY, unique=True))
+
+
 def _clustered(rows: DataFrame, part: str, order: str) -> DataFrame:
     """Rows of a part together, in files of the size AQE advises, ordered for row group statistics."""
     return rows.hint("rebalance", part).sortWithinPartitions(order)
 
 
+def _in_log_order(facts: DataFrame) -> DataFrame:
+    """Facts of staged battles without a shuffle: the stage's files hold a month each,
+    so a task has few months to write."""
+    return facts.sortWithinPartitions(MONTH, "date_id")
+
+
 def _new_facts(spark: SparkSession, store: Store, delta: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(facts to append, (date_id, deck_id, battle_id) that the day partials have not counted)."""
-    def facts(log: DataFrame) -> DataFrame:
-        return M.fct_battle(log.drop(MONTH)).withColumn(MONTH, F.substring("date_id", 1, 6))
+    """(facts to append, ordered for writing; (date_id, deck_id, battle_id) that the day partials have not counted)."""
+    def month(fct: DataFrame) -> DataFrame:
+        return fct.withColumn(MONTH, F.substring("date_id", 1, 6))
 
     def uses(fct: DataFrame) -> DataFrame:
         return fct.where(F.col("deck_selection_method") != PREDEFINED).select("date_id", "deck_id", "battle_id").distinct()
 
-    new = facts(delta.where(~_null_key()))
-    new_uses = uses(new)
+    once, rest = (f if f is None else month(f) for f in M.fct_battle_parts(delta.where(~_null_key()).drop(MONTH)))
+    sorted_ = [f for f in (once if once is None else _in_log_order(once),
+                           rest if rest is None else _clustered(rest, MONTH, "date_id")) if f is not None]
+    new = reduce(DataFrame.unionByName, sorted_)
+    new_uses = uses(reduce(DataFrame.unionByName, [f for f in (once, rest) if f is not None]))
     odd = delta.where(_null_key())
     months = [r[0] for r in odd.select(F.substring("battleTime", 1, 6)).distinct().collect()]
     if months:
-        own = facts(odd)
+        own = month(M.fct_battle(odd.drop(MONTH)))
         there = spark.table(store.facts).where(F.col(MONTH).isin([m for m in months if m is not None]) | F.col(MONTH).isNull()) \
                      .join(own.select("battle_id").distinct(), "battle_id", "left_semi").select(*own.columns)
-        new = new.unionByName(own.subtract(there))
+        new = new.unionByName(_clustered(own.subtract(there), MONTH, "date_id"))
         new_uses = new_uses.unionByName(uses(own).subtract(uses(there)))
     return new, new_uses
 
@@ -227,9 +249,9 @@ def load(spark: SparkSession, store: Store, battles: DataFrame, order: list[Colu
         return {"fetched": 0, "inserted": 0, "ignored": 0, "decks": 0}
     folder = shared_dir(spark, "incremental", "landed")
     counts = Observation(), Observation()       # counted while the rows are written, without another pass (A11)
-    battles.observe(counts[0], F.count(F.lit(1)).alias("n")).write.parquet(folder)
+    battles.observe(counts[0], F.count(F.lit(1)).alias("n")).write.parquet(folder, compression=CODEC)
     landed = spark.read.schema(battles.schema).parquet(folder).withColumn(MONTH, F.substring("battleTime", 1, 6))
-    new = insert_ignore(stored_keys(spark, store, landed), landed, S.PLAYER_BATTLE_LOG_KEY, order)
+    new = new_battles(spark, store, landed, order)
     tag = P.stage(spark, store.log, _clustered(new, MONTH, "battleTime").observe(counts[1], F.count(F.lit(1)).alias("n")))
     delta = staged_rows(spark, store.log, tag)
     fetched, inserted = (c.get["n"] for c in counts)
@@ -244,7 +266,8 @@ def load(spark: SparkSession, store: Store, battles: DataFrame, order: list[Colu
             facts, uses = _new_facts(spark, store, delta)
             if as_of is not None:
                 add_usage(spark, store, uses, as_of, load_id)
-            P.append(spark, store.facts, _clustered(facts, MONTH, "date_id"), **{LOAD: load_id})
+            with small_splits(spark):
+                P.append(spark, store.facts, facts, **{LOAD: load_id})
     P.publish(spark, store.log, tag, **{LOAD: load_id})
     return {"fetched": fetched, "inserted": inserted, "ignored": fetched - inserted, "decks": decks}
 

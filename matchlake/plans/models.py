@@ -13,6 +13,7 @@ from ..functions.arrays import list_avg, slots
 from ..functions.dates import (day_name, is_weekend, month_day_year, month_name,
                                parse_battle_time, yyyymmdd)
 from ..functions.keys import battle_id, list_key, md5_key
+from ..operators.repeats import split_repeats
 from ..operators.sides import two_sided_unpivot
 
 # fixed values: the game's deck-count categories -> (catalogue column, value)
@@ -92,19 +93,41 @@ def fct_battle(log: DataFrame, key=md5_key, distinct: bool = True) -> DataFrame:
     }
     for out, suffix in _SIDED.items():
         sided[out] = (F.col(f"team_{suffix}"), F.col(f"opponent_{suffix}"))
-    rows = two_sided_unpivot(log, common, sided)
     order = ["battle_id", "date_id", "player_id", "deck_id", "clan_id", "battle_type",
              "is_ladder_tournament", "arena_id", "arena_name", "game_mode_id", "game_mode_name",
              "deck_selection_method", "is_hosted_match", "league_number", "starting_trophies",
              "trophy_change", "crowns_earned", "king_tower_hit_points",
              "princess_tower_hit_points", "cards", "support_cards", "global_rank",
              "elixir_leaked"]
-    rows = rows.select(*order)
+    rows = two_sided_unpivot(log, common, sided).select(*order)
     # a plain DISTINCT: its partial aggregation collapses copies map-side, so
     # a battle landed many times never gathers whole in one task
     return rows.distinct() if distinct else rows
 
 
+def fct_battle_parts(log: DataFrame, key=md5_key) -> tuple[DataFrame | None, DataFrame | None]:
+    """The rows of :func:`fct_battle` from a log that is in files, in two disjoint
+    parts: those that need no DISTINCT, in the log's order, and the others (None:
+    no such rows).
+
+    Equal fact rows share their battle id and player, so only battles whose id comes
+    twice in the log, or which have the same player on both sides, are made
+    distinct; the others are neither shuffled nor held in memory.  The ids that
+    come twice are looked for now, by hashes of their parts.
+    """
+    player = key(F.col("team_tag")), key(F.col("opponent_tag"))
+    once, rest = split_repeats(log, F.xxhash64(F.concat_ws("", "battleTime", "team_tag", "opponent_tag")),
+                               alone=~player[0].eqNullSafe(player[1]))
+    return (once if once is None else fct_battle(once, key, distinct=False),
+            rest if rest is None else fct_battle(rest, key))
+
+
+def fct_battle_stored(log: DataFrame, key=md5_key) -> DataFrame:
+    """:func:`fct_battle` of a log that is in files, see :func:`fct_battle_parts`."""
+    once, rest = fct_battle_parts(log, key)
+    return rest if once is None else once if rest is None else once.unionByName(rest)
+
+
 def date_dim(log: DataFrame) -> DataFrame:
     """Calendar days seen in the log (distinct), keyed by ``yyyyMMdd``."""
     d = log.select(F.to_date(parse_battle_time("battleTime")).alias("battle_date")).distinct()

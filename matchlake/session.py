@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -32,6 +33,10 @@ DEFAULT_CONF = {
 }
 
 
+#: Codec of the files that loads write and read again; smaller than Spark's default.
+CODEC = "zstd"
+
+
 def build_session(master: str | None = None, app: str = "matchlake",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
@@ -83,4 +88,17 @@ def local_path(p: str) -> str:
     return p[5:] if p.startswith("file:") else p
 
 
-__all__ = ["build_session", "shared_dir", "ensure_checkpoint_dir", "local_path"]
+@contextmanager
+def small_splits(spark: SparkSession, size: str = "16m"):
+    """Files are read in splits of at most ``size``, so that a task that widens and
+    sorts the rows of its split holds little; the setting is put back afterwards."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+__all__ = ["CODEC", "small_splits", "build_session", "shared_dir", "ensure_checkpoint_dir", "local_path"]

@@ -65,7 +65,7 @@ def upsert_growing(spark: SparkSession, name: str, batch: DataFrame, keys: list[
     now = max(buckets, -(-(rows + inserted) // bucket_rows), 1)
     touched |= {address(b, buckets) for b in range(buckets, now)}       # buckets to split
     old = table.where(F.col(BUCKET).isin(sorted(touched))).drop(BUCKET, P.VERSION)
-    new = upsert(old, one.drop("__old"), keys, [F.lit(1)])
+    new = upsert(old, one.drop("__old"), keys, unique=True)
     new = new.withColumn(BUCKET, bucket_of(keys, now)).repartition(BUCKET)
     gone = {str(b) for b in touched}
     P.publish(spark, name, P.stage(spark, name, new, props), lambda p: p[0] in gone, buckets=now, rows=rows + inserted)

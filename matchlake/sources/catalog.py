@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators.writes import align_by_name, insert_ignore, upsert
-from ..session import shared_dir
+from ..session import CODEC, shared_dir
 
 
 def ensure_schemas(spark: SparkSession, *names: str) -> None:
@@ -42,7 +42,7 @@ def replace_table(spark: SparkSession, name: str, df: DataFrame, location: str)
     """CREATE OR REPLACE TABLE ... AS SELECT (K1) without a moment in which
     readers find no table: the new content is written to ``location`` first,
     then the table is pointed at it."""
-    df.write.mode("error").parquet(location)
+    df.write.mode("error").parquet(location, compression=CODEC)
     if spark.catalog.tableExists(name):
         swap_location(spark, name, location)
     else:
@@ -68,7 +68,7 @@ def write_table(df: DataFrame, name: str, location: str, mode: str = "overwrite"
 
     ``mode='ignore'`` gives CREATE TABLE IF NOT EXISTS ... AS SELECT.
     """
-    df.write.mode(mode).option("path", location).format("parquet").saveAsTable(name)
+    df.write.mode(mode).option("path", location).option("compression", CODEC).format("parquet").saveAsTable(name)
 
 
 def append_parquet(spark: SparkSession, name: str, path: str, schema_ddl: str) -> None:
@@ -141,7 +141,7 @@ def import_snapshot(spark: SparkSession, src_dir: str, dest_dir: str,
 def export_snapshot(frames: dict[str, DataFrame], dest_dir: str) -> None:
     """Write each table as ``schema_table.parquet`` (a directory of parts)."""
     for t, df in frames.items():
-        df.write.mode("overwrite").parquet(f"{dest_dir.rstrip('/')}/{t.replace('.', '_')}.parquet")
+        df.write.mode("overwrite").option("compression", CODEC).parquet(f"{dest_dir.rstrip('/')}/{t.replace('.', '_')}.parquet")
 
 
 def table_counts(frames: dict[str, DataFrame]) -> DataFrame:

@@ -29,6 +29,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import CODEC
 
 VERSION = "version"
 NULL_PART = "__HIVE_DEFAULT_PARTITION__"
@@ -107,7 +108,7 @@ def stage(spark: SparkSession, name: str, rows: DataFrame, props: dict[str, str]
     table = spark.table(props["current"])
     rows = rows.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
                              for f in table.schema.fields if f.name != VERSION], f"'{tag}' AS {VERSION}")
-    rows.write.mode("append").partitionBy(props["part"], VERSION).parquet(f"{props['root']}/data")
+    rows.write.mode("append").partitionBy(props["part"], VERSION).parquet(f"{props['root']}/data", compression=CODEC)
     after("staged")
     return tag
 
