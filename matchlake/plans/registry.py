@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DateType, DoubleType, MapType, StructType
 
-from ..session import shared_dir
+from ..session import CODEC, shared_dir
 from ..sources import fixtures as fx
 from . import models as M
 from . import refresh as RF
@@ -50,8 +50,8 @@ def stable(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*cols)
 
 
-#: Tables written by this application: (application, sf_dir, name) -> path.
-_WRITTEN: dict[tuple[str, str, str], str] = {}
+#: Tables written by this application: (application, sf_dir, name) -> (path, schema).
+_WRITTEN: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
 class Game:
@@ -70,13 +70,13 @@ class Game:
 
     def written(self, name: str, make, partition_by: str | None = None):
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-        df = None
         if key not in _WRITTEN:
             df, path = make(), shared_dir(self.spark, "game", name)
             out = df.hint("rebalance", partition_by).write.partitionBy(partition_by) if partition_by else df.write
-            out.parquet(path)
-            _WRITTEN[key] = path
-        return self.spark.read.schema((df if df is not None else make()).schema).parquet(_WRITTEN[key])
+            out.parquet(path, compression=CODEC)
+            _WRITTEN[key] = path, df.schema
+        path, schema = _WRITTEN[key]
+        return self.spark.read.schema(schema).parquet(path)
 
     @property
     def log(self):
@@ -92,7 +92,7 @@ class Game:
 
     def fct(self):
         """Facts, made distinct when written and partitioned by month."""
-        return self.written("fct_battle", lambda: RF.with_fact_month(M.fct_battle(self.log)), RF.BATTLE_MONTH)
+        return self.written("fct_battle", lambda: RF.with_fact_month(M.fct_battle_stored(self.log)), RF.BATTLE_MONTH)
 
     def deck_model(self, dedupe=True, normalize=False):
         return M.deck_dim(self.log, self.cards, dedupe=dedupe,
@@ -170,7 +170,7 @@ def q_card_info(spark, sf_dir):
 # ---- models ------------------------------------------------------------------
 
 def q_fct_battle(spark, sf_dir):
-    return stable(M.fct_battle(Game(spark, sf_dir).log))
+    return stable(M.fct_battle_stored(Game(spark, sf_dir).log))
 
 
 def q_date_dim(spark, sf_dir):
@@ -293,7 +293,7 @@ def q_insert_ignore_log(spark, sf_dir):
     target = spark.read.schema(log.schema).parquet(stored)
     batch = log.where(F.col("battleTime") >= SPLIT_NEW)
     new = insert_ignore(target, batch, S.PLAYER_BATTLE_LOG_KEY, order=RF.log_order(),
-                        prune_on=RF.BATTLE_MONTH)
+                        prune_on=RF.BATTLE_MONTH, stored=True)
     return stable(target.unionByName(new).drop(RF.BATTLE_MONTH))
 
 
@@ -442,7 +442,7 @@ def q_csv_to_parquet(spark, sf_dir):
 def q_stream_ingest(spark, sf_dir):
     log = Game(spark, sf_dir).log
     base = shared_dir(spark, "stream")
-    log.write.mode("overwrite").json(base + "/landing")
+    log.write.mode("overwrite").option("compression", "gzip").json(base + "/landing")
     from ..streaming.ingest import stream_insert_ignore
     stream_insert_ignore(spark, base + "/landing", base + "/table", base + "/checkpoint", order=RF.log_order())
     return stable(spark.read.schema(S.PLAYER_BATTLE_LOG).parquet(base + "/table").drop(RF.BATTLE_MONTH))
@@ -660,7 +660,7 @@ def q_landed_battles(spark, sf_dir):
     # some hundred battles to an array, as a player's log has
     groups = docs.groupBy(F.spark_partition_id().alias("p"), F.pmod(F.xxhash64("value"), F.lit(50)).alias("g")).agg(
         F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]")).alias("value"))
-    groups.select("value").write.text(path)
+    groups.select("value").write.option("compression", "gzip").text(path)
     return stable(P.parse_battle_log(JS.read_array(spark, path, P.BATTLE, multi_line=False)))
 
 
