@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators.writes import insert_ignore
+from ..session import CODEC, shared_dir
 
 MONTH = "battle_month"
 
@@ -50,8 +51,14 @@ def stream_insert_ignore(spark: SparkSession, source_dir: str, target_dir: str,
     def sink(batch: DataFrame, epoch_id: int) -> None:
         session = batch.sparkSession
         table = session.read.schema(f"{schema}, {MONTH} STRING").parquet(target_dir)
-        new = insert_ignore(table, with_month(batch), keys, order=order or [F.col("__file")], prune_on=MONTH)
-        new.write.mode("append").partitionBy(MONTH).parquet(target_dir)
+        # parsed once: the batch is read for its repeated keys, its months and its rows
+        folder = shared_dir(session, "stream-batch")
+        batch.write.parquet(folder, compression=CODEC)
+        rows = with_month(session.read.schema(batch.schema).parquet(folder))
+        new = insert_ignore(table, rows, keys, order=order or [F.col("__file")], prune_on=MONTH, stored=True)
+        new.hint("rebalance", MONTH).write.mode("append").partitionBy(MONTH).parquet(target_dir, compression=CODEC)
+        path = session._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(session._jsc.hadoopConfiguration()).delete(path, True)
 
     w = src.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
