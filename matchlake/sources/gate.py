@@ -10,10 +10,13 @@ left alone, so a load that failed half way can be repeated.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..operators.repeats import BROADCAST_KEYS, split_repeats
+from ..session import CODEC, shared_dir
 from . import published as P
 
 LOAD = "last_load"
@@ -36,23 +39,38 @@ def judged(spark: SparkSession, stored: DataFrame, batch: DataFrame, keys: list[
     """
     folder = shared_dir(spark, "gate", "batch")
     # numbered once, in files, so that the numbers stay what they are
-    batch.withColumn("__row", F.monotonically_increasing_id()).write.parquet(folder)
+    batch.withColumn("__row", F.monotonically_increasing_id()).write.parquet(folder, compression=CODEC)
     rows = spark.read.schema(f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in batch.schema.fields)}, __row LONG").parquet(folder)
     null_key = F.lit(False)
     for k in keys:
         null_key = null_key | F.col(f"`{k}`").isNull()
-    # partial aggregation: a key with very many rows does not gather in a task
-    first = rows.where(~null_key).groupBy(*keys).agg(F.min_by("__row", F.struct(*order, "__row")).alias("__row")) \
-                .select("__row", F.lit(True).alias("__first"))
-    known = stored.select(*keys).where(~null_key).distinct().withColumn("__stored", F.lit(True))
-    out = rows.join(first, "__row", "left").join(known, keys, "left")
-    broken = [F.when(null_key, F.lit("null_key")), F.when(~null_key & F.col("__first").isNull(), F.lit("duplicate_key")),
-              F.when(F.col("__stored"), F.lit("stored_key"))]
-    broken += [F.when(~F.coalesce(c, F.lit(True)), F.lit(f"check:{name}")) for name, c in checks.items()]
+    # what needs other rows is judged on keys alone, and comes back for the rows that break a rule
+    far = []
+    keyed = rows.where(~null_key)
+    _, rest = split_repeats(keyed, F.xxhash64(*[F.col(f"`{k}`") for k in keys]))
+    if rest is not None:
+        # partial aggregation: a key with very many rows does not gather in a task
+        first = rest.groupBy(*keys).agg(F.min_by("__row", F.struct(*order, "__row")).alias("__row")).select("__row")
+        far.append(rest.select("__row").join(first, "__row", "left_anti").withColumn("rule", F.lit("duplicate_key")))
+    known = stored.select(*keys).where(~null_key)
+    far.append(keyed.select("__row", *keys).join(known, keys, "left_semi").select("__row", F.lit("stored_key").alias("rule")))
     for i, (name, (dim, own, other)) in enumerate(references.items()):
-        there = dim.select(F.col(other).alias(f"__k{i}")).where(f"__k{i} IS NOT NULL").distinct().withColumn(f"__hit{i}", F.lit(True))
-        out = out.join(there, F.col(own) == F.col(f"__k{i}"), "left")
-        broken.append(F.when(F.col(own).isNotNull() & F.col(f"__hit{i}").isNull(), F.lit(f"orphan:{name}")))
+        there = dim.select(F.col(other).alias(f"__k{i}")).where(f"__k{i} IS NOT NULL").distinct()
+        far.append(rows.select("__row", F.col(own).alias("__own")).where("__own IS NOT NULL").join(
+            there, F.col("__own") == F.col(f"__k{i}"), "left_anti").select("__row", F.lit(f"orphan:{name}").alias("rule")))
+    found = reduce(DataFrame.unionByName, far).groupBy("__row").agg(F.collect_set("rule").alias("__far"))
+    folder = shared_dir(spark, "gate", "broken")
+    found.write.parquet(folder)
+    found = spark.read.schema("__row LONG, __far ARRAY<STRING>").parquet(folder)
+    if found.count() <= BROADCAST_KEYS:
+        found = F.broadcast(found)
+    out = rows.join(found, "__row", "left")
+
+    def is_far(rule: str) -> Column:
+        return F.when(F.array_contains("__far", rule), F.lit(rule))
+    broken = [F.when(null_key, F.lit("null_key")), is_far("duplicate_key"), is_far("stored_key")]
+    broken += [F.when(~F.coalesce(c, F.lit(True)), F.lit(f"check:{name}")) for name, c in checks.items()]
+    broken += [is_far(f"orphan:{name}") for name in references]
     return out.select(*[F.col(f"`{c}`") for c in batch.columns],
                       F.filter(F.array(*broken), lambda x: x.isNotNull()).alias("__broken"))
 
@@ -72,7 +90,7 @@ def gated_load(spark: SparkSession, target: str, quarantine: str, batch: DataFra
     folder = shared_dir(spark, "gate", "judged")
     seen = Observation()
     rows = judged(spark, stored, batch, keys, order, checks, references)
-    rows.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(F.size("__broken") > 0).alias("bad")).write.parquet(folder)
+    rows.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(F.size("__broken") > 0).alias("bad")).write.parquet(folder, compression=CODEC)
     rows = spark.read.schema(rows.schema).parquet(folder)
     bad = rows.where(F.size("__broken") > 0).select(
         F.explode("__broken").alias("rule"),
