@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DateType, DoubleType, MapType, StructType
 
-from ..session import CODEC, shared_dir
+from ..session import CODEC, shared_dir, small_splits
 from ..sources import fixtures as fx
 from . import models as M
 from . import refresh as RF
@@ -653,14 +653,38 @@ def landed_battle_documents(log):
     )).alias("value"))
 
 
+#: Battles in a landed array at most, as a player's log has.
+BATTLES_PER_ARRAY = 250
+
+
+def battle_arrays(docs, size: int = BATTLES_PER_ARRAY):
+    """Battle documents -> JSON arrays of ``size`` documents, the last of a task with
+    the rest.  A task passes its rows on array by array: nothing is shuffled, and it
+    holds one Arrow batch and the array it fills, however many battles it reads."""
+    def arrays(batches):
+        import pyarrow as pa
+
+        def rows(found):
+            return pa.RecordBatch.from_arrays([pa.array([f"[{','.join(x)}]" for x in found], pa.string())], ["value"])
+
+        held = []
+        for batch in batches:
+            held += batch.column(0).drop_null().to_pylist()
+            full = len(held) - len(held) % size
+            yield rows([held[i:i + size] for i in range(0, full, size)])
+            held = held[full:]
+        if held:
+            yield rows([held])
+    return docs.select("value").mapInArrow(arrays, "value string")
+
+
 def q_landed_battles(spark, sf_dir):
     """Battle arrays as an API lands them, written to files and read back."""
     path = shared_dir(spark, "landed-battles")
     docs = landed_battle_documents(Game(spark, sf_dir).log)
-    # some hundred battles to an array, as a player's log has
-    groups = docs.groupBy(F.spark_partition_id().alias("p"), F.pmod(F.xxhash64("value"), F.lit(50)).alias("g")).agg(
-        F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]")).alias("value"))
-    groups.select("value").write.option("compression", "gzip").text(path)
+    # a gzip file is one task when it is read again: it holds a small split of the log
+    with small_splits(spark):
+        battle_arrays(docs).write.option("compression", "gzip").text(path)
     return stable(P.parse_battle_log(JS.read_array(spark, path, P.BATTLE, multi_line=False)))
 
 

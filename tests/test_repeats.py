@@ -1,5 +1,6 @@
 """Rows whose key comes once pass without a shuffle; the others give the same result as before."""
 
+import json
 import random
 
 import pytest
@@ -90,3 +91,31 @@ def test_landed_text_is_compressed(spark):
         Q.QUERIES[query](spark, SF_SMALL)
         files = [f for f in glob.glob(f"{root}/{folder}/part-*")]
         assert files and all(os.path.basename(f).endswith(".gz") for f in files)
+
+
+def test_landed_arrays_do_not_grow_with_the_log(spark, tmpdir_path, monkeypatch):
+    """However many battles a task reads, an array has a player's log of them, and none is lost."""
+    log = Q.Game(spark, SF_SMALL).log
+    log.crossJoin(spark.range(12)).drop("id").coalesce(1).write.parquet(f"{tmpdir_path}/log")
+    many = spark.read.schema(log.schema).parquet(f"{tmpdir_path}/log").coalesce(1)
+    once = Q.q_landed_battles(spark, SF_SMALL)
+    monkeypatch.setattr(Q.Game, "log", property(lambda g: many))
+    got = Q.q_landed_battles(spark, SF_SMALL)
+    sizes = [r[0] for r in spark.read.text(got.inputFiles()).select(F.json_array_length("value")).collect()]
+    assert max(sizes) <= 250 and sum(sizes) == many.count() > 12 * 250
+    assert sizes.count(250) >= len(sizes) - len(got.inputFiles())       # only a task's last array is shorter
+    assert bag(got) == sorted(bag(once) * 12, key=repr)
+
+
+def test_battles_are_put_into_arrays_without_a_shuffle(spark):
+    docs = spark.range(0, 1003, 1, 2).select(F.when(F.col("id") != 7, F.format_string('{"leagueNumber":%d}', "id")).alias("value"))
+    arrays = Q.battle_arrays(docs, 100)
+    assert "Exchange" not in plan(arrays) and "Aggregate" not in plan(arrays)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "30")       # an array goes on over batches
+    try:
+        found = [[d["leagueNumber"] for d in json.loads(r.value)] for r in arrays.collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(x for f in found for x in f) == [x for x in range(1003) if x != 7]
+    assert sorted(map(len, found)) == [2] + [100] * 10
+    assert Q.battle_arrays(docs.limit(0)).collect() == []
